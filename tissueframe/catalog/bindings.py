@@ -120,7 +120,7 @@ from (select cell_id, chip, cx, cy, c, n, SERIES(0, n-1) k
     "landmark": """
 select grp, k, x, y, cast(x*1.5-y*0.25+12.0+k%3*0.125 as double) u, cast(x*0.25+y*1.5-7.0-k%2*0.25 as double) v
 from (select cast(floor(s_suppkey/8) as bigint) grp, s_suppkey%8 k,
-        cast((s_suppkey*53)%997 as double) x, cast((s_suppkey*29)%991 as double) y from {supplier}) q""",
+        cast((s_suppkey*s_suppkey*53)%997 as double) x, cast((s_suppkey*s_suppkey*29+s_suppkey*7)%991 as double) y from {supplier}) q""",
     "corner": """
 select chip, k, cast(100.0+case when k in (2,3) then w else 0 end+(chip%4)*0.5*k as double) x,
  cast(100.0+case when k in (1,2) then h else 0 end+(chip%3)*1.25*k+case when chip%5=4 and k=2 then 40.0 else 0.0 end as double) y,

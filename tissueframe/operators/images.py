@@ -80,7 +80,7 @@ def _cumulative(hist: DataFrame) -> DataFrame:
     """Histogram rows with running counts and the totals of their image."""
     up = Window.partitionBy("img").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("img")
-    p = hist.withColumn("N", F.sum("n").over(whole)).withColumn("S", F.sum(F.col("n") * F.col("v")).over(whole))
+    p = hist.withColumn("total", F.sum("n").over(whole)).withColumn("moment", F.sum(F.col("n") * F.col("v")).over(whole))
     return p.withColumn("w0", F.sum("n").over(up)).withColumn("s0", F.sum(F.col("n") * F.col("v")).over(up))
 
 
@@ -96,24 +96,24 @@ def hist_threshold(pixels: DataFrame, method: str) -> DataFrame:
     c = F.col
     first = lambda score: F.max(F.struct(F.round(score, 9).alias("s"), (-c("v")).alias("nv")))
     if method == "otsu":
-        t = _cumulative(hist).where("w0 < N")
-        gap = c("s0") / c("w0") - (c("S") - c("s0")) / (c("N") - c("w0"))
-        score = c("w0") / c("N") * ((c("N") - c("w0")) / c("N")) * gap * gap
+        t = _cumulative(hist).where("w0 < total")
+        gap = c("s0") / c("w0") - (c("moment") - c("s0")) / (c("total") - c("w0"))
+        score = c("w0") / c("total") * ((c("total") - c("w0")) / c("total")) * gap * gap
     elif method == "yen":
         up = Window.partitionBy("img").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        q = _cumulative(hist).withColumn("p", c("n") / c("N"))
+        q = _cumulative(hist).withColumn("p", c("n") / c("total"))
         q = q.withColumn("q0", F.sum(c("p") * c("p")).over(up)).withColumn(
             "q", F.sum(c("p") * c("p")).over(Window.partitionBy("img")))
-        t = q.where((c("w0") < c("N")) & (c("q") - c("q0") > 1e-15))
-        p0 = c("w0") / c("N")
+        t = q.where((c("w0") < c("total")) & (c("q") - c("q0") > 1e-15))
+        p0 = c("w0") / c("total")
         score = F.log(p0 * p0 * (1 - p0) * (1 - p0) / (c("q0") * (c("q") - c("q0"))))
     elif method == "entropy":
         up = Window.partitionBy("img").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         e = _cumulative(hist).withColumn("e", c("n") * F.log(c("n").cast("double")))
-        e = e.withColumn("e0", F.sum("e").over(up)).withColumn("E", F.sum("e").over(Window.partitionBy("img")))
-        t = e.where("w0 < N")
+        e = e.withColumn("e0", F.sum("e").over(up)).withColumn("ent", F.sum("e").over(Window.partitionBy("img")))
+        t = e.where("w0 < total")
         score = (F.log(c("w0").cast("double")) - c("e0") / c("w0")
-                 + F.log((c("N") - c("w0")).cast("double")) - (c("E") - c("e0")) / (c("N") - c("w0")))
+                 + F.log((c("total") - c("w0")).cast("double")) - (c("ent") - c("e0")) / (c("total") - c("w0")))
     else:
         fn = _ITERATIVE[method]
 

@@ -18,12 +18,12 @@ def _midpoint_quartiles(values: DataFrame, col: str) -> DataFrame:
     """
     counts = values.groupBy(*KEYS, F.col(col).alias("val")).agg(F.count("*").alias("n"))
     up = Window.partitionBy(*KEYS).orderBy("val")
-    c = (counts.withColumn("hi", F.sum("n").over(up)).withColumn("N", F.sum("n").over(Window.partitionBy(*KEYS)))
+    c = (counts.withColumn("hi", F.sum("n").over(up)).withColumn("total", F.sum("n").over(Window.partitionBy(*KEYS)))
          .withColumn("lo", F.col("hi") - F.col("n")))
     def at(q, fn):
-        i = fn(F.lit(q) * (F.col("N") - 1))
+        i = fn(F.lit(q) * (F.col("total") - 1))
         return F.max(F.when((i >= F.col("lo")) & (i < F.col("hi")), F.col("val")))
-    return c.groupBy(*KEYS).agg(F.max("N").alias("N"),
+    return c.groupBy(*KEYS).agg(F.max("total").alias("total"),
                                 ((at(0.25, F.floor) + at(0.25, F.ceil)) / 2.0).alias("q1"),
                                 ((at(0.75, F.floor) + at(0.75, F.ceil)) / 2.0).alias("q3"))
 
@@ -38,7 +38,7 @@ def filter_abnormal_offset(jitter: DataFrame, conf_thr: int = 2) -> DataFrame:
         quart = _midpoint_quartiles(jitter.where(F.col(comp).isNotNull() & (F.col("conf") > conf_thr)), comp)
         rng = F.col("q3") - F.col("q1")
         iqr = F.when(rng > 5, rng).otherwise(rng + 3)
-        fence = small(quart.where("N > 3").select(*KEYS, (F.col("q1") - 1.5 * iqr).alias("_lo"),
+        fence = small(quart.where("total > 3").select(*KEYS, (F.col("q1") - 1.5 * iqr).alias("_lo"),
                                                   (F.col("q3") + 1.5 * iqr).alias("_hi"), (0.6 * iqr).alias("_wide")))
         slack = F.when(F.col("conf") > conf_thr * 3, F.col("_wide")).otherwise(0.0)
         bad = F.coalesce((F.col(comp) > F.col("_hi") + slack) | (F.col(comp) < F.col("_lo") - slack), F.lit(False))
