@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.fixpoint import label_components
@@ -167,18 +169,24 @@ def fov_global_location(fov: DataFrame, jitter: DataFrame, w: int, h: int, overl
     seeds = cut(domain.join(size, ["slide", "root"]).groupBy("slide", "root", "main").agg(
         F.min(F.struct(far.alias("d"), "r", "c", "x", "y")).alias("s")).select("slide", "main", "s.r", "s.c", "s.x", "s.y"))
 
-    def spread(placed: DataFrame) -> DataFrame:
-        placed = cut(placed)
-        front = placed
+    def spread(seed: DataFrame) -> DataFrame:
+        """Breadth-first rounds over the grid.
+
+        Links join rows or columns next to each other, so the neighbours of a
+        front are in the front before it or new: only that one is looked up.
+        """
+        front = cut(seed)
+        fronts, last = [front], front.limit(0)
         for _ in range(max_rounds):
-            said = (front.select("slide", F.col("r").alias("r0"), F.col("c").alias("c0")).join(edges, ["slide", "r0", "c0"])
-                    .select("slide", "r", "c").distinct().join(placed, ["slide", "r", "c"], "left_anti"))
-            fresh = cut(said.join(edges, ["slide", "r", "c"])
-                        .join(placed.select("slide", F.col("r").alias("r0"), F.col("c").alias("c0"), "x", "y"), ["slide", "r0", "c0"])
-                        .groupBy("slide", "r", "c").agg(F.avg(F.col("x") + F.col("ex")).alias("x"), F.avg(F.col("y") + F.col("ey")).alias("y")))
+            said = (edges.join(front.select("slide", F.col("r").alias("r0"), F.col("c").alias("c0"), "x", "y"), ["slide", "r0", "c0"])
+                    .groupBy("slide", "r", "c").agg(F.avg(F.col("x") + F.col("ex")).alias("x"), F.avg(F.col("y") + F.col("ey")).alias("y")))
+            fresh = cut(said.join(last.select("slide", "r", "c"), ["slide", "r", "c"], "left_anti"))
             if fresh.isEmpty():
-                return placed
-            placed, front = cut(placed.unionByName(fresh)), fresh
+                return cut(reduce(DataFrame.unionByName, fronts))
+            last, front = front, fresh
+            fronts.append(fresh)
+            if len(fronts) == 32:
+                fronts = [cut(reduce(DataFrame.unionByName, fronts))]
         raise RuntimeError("placement did not settle")
 
     as_double = lambda df: df.select("slide", "r", "c", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Largest table (rows) that is sent to every executor.
@@ -56,14 +55,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder and drop the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared folder and read back: lineage ends there.
 
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep a result that several branches of one plan read (spills, recomputable)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    A written table survives lost executors, is computed once, and tells the
+    planner its real size, so small results are broadcast without a hint.
+    """
+    spark = df.sparkSession
+    path = scratch(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
