@@ -1 +1,27 @@
-"""Pending."""
+"""Streaming forms, run to completion over the given points."""
+
+from ..session import scratch
+from ..streaming import incremental
+from . import query
+
+
+def _chunks(t):
+    path = scratch(t.spark, "chunks")
+    t.expression.repartition(8, "y").write.parquet(path)
+    return path
+
+
+@query("k01_stream_dnb", "select chip, x, y, least(cast(sum(mid) as bigint), 255) mid from expression group by chip, x, y")
+def _(t):
+    out = scratch(t.spark, "dnb")
+    incremental.stream_dnb(t.spark, _chunks(t), out, scratch(t.spark, "state"), 4).awaitTermination()
+    return incremental.read_dnb(t.spark, out)
+
+
+@query("k02_stream_cell_counts", """
+select e.chip, n.label cell_id, cast(sum(mid) as bigint) mid, count(*) n from expression e
+join nuclei n on e.chip=n.chip and e.y=n.y and e.x between n.x0 and n.x1 group by 1,2""")
+def _(t):
+    out = scratch(t.spark, "counts")
+    incremental.stream_cell_counts(t.spark, _chunks(t), t.nuclei, out, scratch(t.spark, "state"), 4).awaitTermination()
+    return incremental.read_cell_counts(t.spark, out)

@@ -1 +1,74 @@
-"""Pending."""
+"""Composite jobs."""
+
+from pyspark.sql import functions as F
+
+from .. import jobs
+from ..operators import cells
+from . import query
+from .d_aggregates import CANDS, OBS, TURNS, assigned, fixed_moving
+from .d_aggregates import ASSIGNED  # noqa: F401  (used by OBS)
+
+R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
+
+
+@query("l01_extract_matrix")
+def _(t):
+    out = jobs.extract_matrix(t.expression, t.tissue, t.nuclei, 5)
+    total = None
+    for name in ("tissue", "nuclear_gene", "corrected_gene"):
+        part = out[name].groupBy("chip").agg(F.count("*").alias("n_rows"), F.sum("mid").cast("long").alias("mid")).withColumn("matrix", F.lit(name))
+        total = part if total is None else total.unionByName(part)
+    return total
+
+
+@query("l02_metrics")
+def _(t):
+    return jobs.metrics_job(t.expression, t.nuclei, t.tissue, 100).withColumn("value", F.round("value", 5))
+
+
+@query("l03_mask_job")
+def _(t):
+    return jobs.mask_job(t.nuclei, t.boundary, t.interior, t.matrix)
+
+
+@query("l04_double_cell_filter", "with " + OBS + """,
+g as (select chip, floor(count(*)/100)+1 n, max(cx) mx, max(cy) my from obs group by chip),
+t as (select obs.*, floor(cx/(mx/n)) kx, floor(cy/(my/n)) ky, mx/n sx, my/n sy, n from obs join g on g.chip=obs.chip),
+r as (select * from t where cx>kx*sx and cx<(kx+1)*sx and kx<n and cy>ky*sy and cy<(ky+1)*sy and ky<n),
+m as (select chip, kx, ky, quantile_cont(area,0.5) ma, quantile_cont(mid,0.5) mm from r group by 1,2,3),
+d as (select r.chip, r.kx, r.ky, quantile_cont(abs(area-ma),0.5) da, quantile_cont(abs(mid-mm),0.5) dm
+ from r join m on m.chip=r.chip and m.kx=r.kx and m.ky=r.ky group by 1,2,3),
+ok as (select r.chip, cell_id from r join m on m.chip=r.chip and m.kx=r.kx and m.ky=r.ky
+ join d on d.chip=r.chip and d.kx=r.kx and d.ky=r.ky where not (area>ma+3*da or mid>mm+3.5*dm))
+select a.chip, a.cell_id, gene, cast(sum(a.mid) as bigint) mid from assigned a join ok on ok.chip=a.chip and ok.cell_id=a.cell_id group by 1,2,3""")
+def _(t):
+    return jobs.double_cell_filter(t.expression, t.nuclei, 100)
+
+
+@query("l05_gene_registration")
+def _(t):
+    _, image = fixed_moving(t)
+    out = jobs.gene_registration(t.dnb, image, TURNS, (460, 460), 360)
+    n = out["template"].groupBy("chip").agg(F.count("*").alias("template_points"))
+    box = out["chip_box"].withColumnsRenamed({"x": "box_x", "y": "box_y"})
+    return (out["alignment"].withColumnRenamed("img", "chip").join(n, "chip", "left").join(box, "chip", "left")
+            .join(out["center"].select("chip", *R("x", "y")), "chip"))
+
+
+@query("l06_stitch_plan")
+def _(t):
+    out = jobs.stitch_plan(t.fov.select("slide", "r", "c"), t.fov_jitter, 2000, 2000)
+    return out["location"].join(out["error"], ["slide", "r", "c"], "left")
+
+
+@query("l07_template_fit")
+def _(t):
+    out = jobs.template_fit(t.track_point.withColumn("conf", F.col("conf_pct") / 100), t.template_point)
+    return (out["score"].select("chip", *R("score"), "good_fov").join(
+        out["quality"].select("chip", *R("mean", "std", "recall_detected", "recall_template"), "passed"), "chip")
+        .join(out["offset"], "chip", "left"))
+
+
+@query("l08_cluster_job")
+def _(t):
+    return jobs.cluster_job(cells.cell_gene_matrix(assigned(t)), min_counts=20, min_genes=2, n_bins=3)
