@@ -12,7 +12,7 @@ from ..plans.islands import merge_runs
 from ..plans.tiles import TILE, runs_to_tiles
 from ..session import cut
 
-#: Raster id of a pixel: row * STRIDE + column.
+#: Raster id of a pixel: row * STRIDE + column + 1, so that 0 stays background.
 STRIDE = 1 << 31
 
 
@@ -50,7 +50,7 @@ def connected_components(runs: DataFrame, conn: int, size: int = TILE) -> DataFr
         pdf = pdf.sort_values(["y", "x0"], ignore_index=True)
         y, x0, x1 = (pdf[c].to_numpy() for c in ("y", "x0", "x1"))
         first = _tile_roots(y, x0, x1, reach)
-        return pdf.assign(root=y[first] * STRIDE + x0[first])
+        return pdf.assign(root=y[first] * STRIDE + x0[first] + 1)
 
     pieces = cut(runs_to_tiles(flat, 0, size).groupBy("chip", "ty", "tx").applyInPandas(
         local, "chip long, y long, x0 long, x1 long, ty long, tx long, root long"))

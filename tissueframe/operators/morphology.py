@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.buckets import overlap_runs
 from ..plans.islands import area, merge_runs, subtract
-from ..plans.tiles import map_label_tiles
+from ..plans.tiles import TILE, map_label_tiles
 from ..session import cut
 from .components import connected_components
 
@@ -99,7 +99,8 @@ def _reach_mask(on: np.ndarray, r: int) -> np.ndarray:
     return best <= r * r
 
 
-def expand_labels(runs: DataFrame, r: int = 10, conn: int = 8, labelled: bool = False) -> DataFrame:
+def expand_labels(runs: DataFrame, r: int = 10, conn: int = 8, labelled: bool = False,
+                  size: int = TILE) -> DataFrame:
     """Grow each object into the background up to distance ``r``; objects never touch.
 
     ``r`` synchronous rounds: a background pixel takes the label around it when
@@ -127,7 +128,7 @@ def expand_labels(runs: DataFrame, r: int = 10, conn: int = 8, labelled: bool =
             a = np.where(fresh & ~rival, cand, a)
         return a
 
-    return cut(map_label_tiles(objects, grow, 2 * r + 2))
+    return cut(map_label_tiles(objects, grow, 2 * r + 2, size))
 
 
 def distance_band(runs: DataFrame, r: int) -> DataFrame:
