@@ -52,6 +52,7 @@ def test_nearest_site_far_away(spark):
 
 def test_spatial_knn(spark):
     pts = [(0, i, int(x), int(y)) for i, (x, y) in enumerate(RNG.integers(0, 300, (80, 2)))] + [(1, 500, 0, 0), (1, 501, 9, 9)]
+    pts += [(0, 900 + i, 40, 40) for i in range(40)]  # a pile of copies
     got = cluster.spatial_knn(spark.createDataFrame(pts, "chip long, id long, x long, y long"), 4, 10).collect()
     for c, i, x, y in pts:
         want = sorted(((x - a) ** 2 + (y - b) ** 2, j) for d, j, a, b in pts if d == c and j != i)[:4]

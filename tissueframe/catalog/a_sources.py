@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import cells, masks
 from ..plans.islands import pixels_from_runs
 from ..session import scratch
-from ..sources import cellbins, gem, masks as mask_io, records
+from ..sources import cell_tables, gem, masks as mask_io, records
 from . import query
 from .d_aggregates import ASSIGNED, OBS, assigned, obs
 
@@ -74,8 +74,8 @@ select o.chip, o.cell_id, area, mid, n_gene, coalesce(g.k,0) genes_stored from o
  (select chip, cell_id, count(distinct gene) k from assigned where cell_id>0 group by 1,2) g on g.chip=o.chip and g.cell_id=o.cell_id""")
 def _(t):
     path = scratch(t.spark, "cells")
-    cellbins.write_cells(obs(t), cells.cell_gene_matrix(assigned(t)), path)
-    cell, cg = cellbins.read_cells(t.spark, path)
+    cell_tables.write_cells(obs(t), cells.cell_gene_matrix(assigned(t)), path)
+    cell, cg = cell_tables.read_cells(t.spark, path)
     k = cg.groupBy("chip", "cell_id").agg(F.count("*").alias("k"))
     return cell.join(k, ["chip", "cell_id"], "left").select(
         "chip", "cell_id", "area", "mid", "n_gene", F.coalesce("k", F.lit(0)).cast("long").alias("genes_stored"))
@@ -90,8 +90,8 @@ select c.chip, cell_id, least(cast(floor((cx-x0)/(w/gx)) as bigint), gx-1) chunk
 from cells c join g on g.chip=c.chip""")
 def _(t):
     path = scratch(t.spark, "blocks")
-    cellbins.write_cell_blocks(t.cells.select("chip", "cell_id", F.col("cx").alias("x"), F.col("cy").alias("y")), path, 100)
-    return cellbins.read_cell_blocks(t.spark, path).select("chip", "cell_id", "chunk_x", "chunk_y")
+    cell_tables.write_cell_blocks(t.cells.select("chip", "cell_id", F.col("cx").alias("x"), F.col("cy").alias("y")), path, 100)
+    return cell_tables.read_cell_blocks(t.spark, path).select("chip", "cell_id", "chunk_x", "chunk_y")
 
 
 @query("a10_export_label_pixels", """
@@ -99,8 +99,8 @@ select x "X coordinate", y "Y coordinate", 'tissue' "Group name", printf('Label
 from (select label, y, unnest(generate_series(x0,x1)) x from interior)""")
 def _(t):
     path = scratch(t.spark, "labels")
-    cellbins.export_label_pixels(pixels_from_runs(t.interior), path)
-    return cellbins.read_label_pixels(t.spark, path)
+    cell_tables.export_label_pixels(pixels_from_runs(t.interior), path)
+    return cell_tables.read_label_pixels(t.spark, path)
 
 
 @query("a11_export_geojson", """
@@ -108,7 +108,7 @@ select cell_id, max(n)+1 points, min(cx+dx) min_x, max(cy+dy) max_y from border_
 def _(t):
     path = scratch(t.spark, "geojson")
     ring = t.border_vertex.select("chip", "cell_id", "idx", (F.col("cx") + F.col("dx")).alias("x"), (F.col("cy") + F.col("dy")).alias("y"))
-    cellbins.export_geojson(ring, path)
+    cell_tables.export_geojson(ring, path)
     shape = "id bigint, geometry struct<coordinates: array<array<array<bigint>>>>"
     f = t.spark.read.text(path).select(F.from_json("value", shape).alias("f"))
     pts = F.col("f.geometry.coordinates")[0]
