@@ -68,11 +68,16 @@ def _(t):
     return geometry.rotate_about_center(t.track_point, 25, (1300, 1500)).select("chip", "id", *R("x", "y", n=5))
 
 
-@query("b08_perspective_points")
+SRC4 = ((0, 0), (0, 1500), (1500, 1500), (1500, 0))
+DST4 = ((10, 20), (-5, 1480), (1530, 1510), (1490, 12))
+
+
+@query("b08_perspective_points", """
+with h as (select chip, id, x, y, {6:.17e}*x+{7:.17e}*y+1 d from track_point)
+select chip, id, round(({0:.17e}*x+{1:.17e}*y+{2:.17e})/d,5) x, round(({3:.17e}*x+{4:.17e}*y+{5:.17e})/d,5) y from h""".format(
+    *geometry.homography(SRC4, DST4)))
 def _(t):
-    src = ((0, 0), (0, 1500), (1500, 1500), (1500, 0))
-    dst = ((10, 20), (-5, 1480), (1530, 1510), (1490, 12))
-    return geometry.perspective_points(t.track_point, src, dst).select("chip", "id", *R("x", "y", n=5))
+    return geometry.perspective_points(t.track_point, SRC4, DST4).select("chip", "id", *R("x", "y", n=5))
 
 
 @query("b09_template_index", """

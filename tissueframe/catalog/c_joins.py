@@ -6,6 +6,7 @@ from ..functions import geometry
 from ..operators import cells, masks, registration, ranking, slots
 from ..plans.islands import area
 from . import query
+from .sql_parts import big_enough, components_of, fragments_kept, pixels_of, runs_of
 
 RND = lambda c, n=6: F.round(c, n).alias(c)
 
@@ -73,23 +74,38 @@ def _(t):
     return masks.overlap_fraction(t.nuclei, t.boundary, "a").withColumn("fraction", F.round("fraction", 6))
 
 
-@query("c07_mask_minus")
+MINUS = "d as (select a.* from {a} a left join {b} b on b.chip=a.chip and b.y=a.y and b.x=a.x where b.x is null)"
+BOTH = ", ".join((pixels_of("boundary", "bp"), pixels_of("nuclei", "np")))
+
+
+@query("c07_mask_minus", "with recursive " + ", ".join((
+    BOTH, MINUS.format(a="bp", b="np"), components_of("d", "cc", 4), big_enough("cc", "fin", 15))) + " select * from fin")
 def _(t):
     return masks.mask_minus(t.boundary, t.nuclei)
 
 
-@query("c08_mask_and")
+@query("c08_mask_and", "with recursive " + ", ".join((
+    BOTH, "d as (select bp.* from bp join np on np.chip=bp.chip and np.y=bp.y and np.x=bp.x)",
+    components_of("d", "cc", 4), big_enough("cc", "fin", 15))) + " select * from fin")
 def _(t):
     return masks.mask_and(t.boundary, t.nuclei)
 
 
-@query("c09_keep_large_fragments")
+@query("c09_keep_large_fragments", "with recursive " + ", ".join((
+    BOTH, MINUS.format(a="bp", b="np"), components_of("bp", "ob", 8), fragments_kept("ob", "d", "kept", 0.2),
+    runs_of("kept", "fin"))) + " select * from fin")
 def _(t):
     from ..plans.islands import subtract
     return masks.keep_large_fragments(t.boundary, subtract(t.boundary, t.nuclei), 0.2)
 
 
-@query("c10_overlap_merge")
+@query("c10_overlap_merge", "with recursive " + ", ".join((
+    BOTH, MINUS.format(a="np", b="bp"), components_of("d", "cc", 4), big_enough("cc", "lf", 15), pixels_of("lf", "lp"),
+    components_of("np", "ob", 8), fragments_kept("ob", "lp", "kept", 0.2),
+    """edge as (select k.* from kept k where (select count(*) from kept q where q.chip=k.chip and abs(q.y-k.y)+abs(q.x-k.x)=1)<4)""",
+    "un as (select * from bp union select * from kept)",
+    "res as (select u.* from un u left join edge e on e.chip=u.chip and e.y=u.y and e.x=u.x where e.x is null)",
+    runs_of("res", "fin"))) + " select * from fin")
 def _(t):
     return masks.overlap_merge(t.nuclei, t.boundary, 0.2)[1]
 

@@ -279,7 +279,11 @@ for _m in ("li", "isodata", "minimum", "triangle", "shanbhag"):
     query(f"d23_threshold_{_m}")(_run)
 
 
-@query("d24_local_threshold")
+@query("d24_local_threshold", """
+with w as (select p.img, p.y, p.x, p.v, sum(q.v) s, sum(q.v*q.v) ss from pixel p join
+  (select img, y, v, unnest(generate_series(x-7,x+7)) x from (select img, v, x, unnest(generate_series(y-7,y+7)) y from pixel)) q
+  on q.img=p.img and q.y=p.y and q.x=p.x group by 1,2,3,4)
+select img, y, x from w where v > s/225*(1+0.2::double*(sqrt(greatest(ss/225-(s/225)*(s/225),0))/128-1))""")
 def _(t):
     return images.local_threshold(t.pixel, 15, 0.2, 128.0)
 

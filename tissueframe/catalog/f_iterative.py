@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import borders, cells, cluster, components, masks, morphology, registration, stitching
 from ..plans import islands
 from . import query
+from .sql_parts import components_of, pixels_of
 
 FOV = ("chip", "fov_row", "fov_col")
 
@@ -14,7 +15,8 @@ def _(t):
     return components.connected_components(t.tissue, 4)
 
 
-@query("f01_connected_components_8")
+@query("f01_connected_components_8", "with recursive both_layers as (select * from mask_run where layer in ('boundary','nuclei')), "
+       + pixels_of("both_layers", "px") + ", " + components_of("px", "fin", 8) + " select * from fin")
 def _(t):
     return components.connected_components(t.mask_run.where("layer in ('boundary', 'nuclei')"), 8)
 

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 from .. import jobs
 from ..operators import cells
 from . import query
-from .d_aggregates import CANDS, OBS, TURNS, assigned, fixed_moving
-from .d_aggregates import ASSIGNED  # noqa: F401  (used by OBS)
+from .d_aggregates import NEAREST, OBS, TURNS, assigned, fixed_moving
 
 R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
 
@@ -61,7 +60,17 @@ def _(t):
     return out["location"].join(out["error"], ["slide", "r", "c"], "left")
 
 
-@query("l07_template_fit")
+@query("l07_template_fit", "with good as (select * from track_point where conf_pct/100>0.5), "
+       + NEAREST.replace("track_point", "good") + """,
+f as (select chip, fov_row, fov_col, count(*) n, avg(conf_pct/100) conf from good group by 1,2,3),
+s as (select chip, sum((case when n>=20 then 2 when n>=5 then 1 else 0 end)/2*conf) score,
+ cast(sum(case when n>=5 then 1 else 0 end) as bigint) good_fov from f group by 1),
+p as (select chip, avg(sqrt(d2)) me, stddev_pop(sqrt(d2)) sd, sum(case when d2<25 then 1 else 0 end) k,
+ -quantile_cont(ddx,0.5) dx, -quantile_cont(ddy,0.5) dy from near where d2<100 group by chip),
+nd as (select chip, count(*) n from good group by chip), nt as (select chip, count(*) n from template_point group by chip)
+select s.chip, round(score,6) score, good_fov, round(me,6) mean, round(sd,6) std, round(k/nd.n,6) recall_detected,
+ round(k/nt.n,6) recall_template, k/nd.n>0.5 passed, dx, dy
+from s join nd on nd.chip=s.chip join nt on nt.chip=s.chip left join p on p.chip=s.chip""")
 def _(t):
     out = jobs.template_fit(t.track_point.withColumn("conf", F.col("conf_pct") / 100), t.template_point)
     return (out["score"].select("chip", *R("score"), "good_fov").join(
