@@ -6,7 +6,7 @@ from ..functions import geometry
 from ..operators import cells, masks, registration, ranking, slots
 from ..plans.islands import area
 from . import query
-from .sql_parts import big_enough, components_of, fragments_kept, pixels_of, runs_of
+from .sql_parts import big_enough, components_of, fragments_kept, overlap_merge_of, pixels_of, runs_of
 
 RND = lambda c, n=6: F.round(c, n).alias(c)
 
@@ -100,17 +100,14 @@ def _(t):
 
 
 @query("c10_overlap_merge", "with recursive " + ", ".join((
-    BOTH, MINUS.format(a="np", b="bp"), components_of("d", "cc", 4), big_enough("cc", "lf", 15), pixels_of("lf", "lp"),
-    components_of("np", "ob", 8), fragments_kept("ob", "lp", "kept", 0.2),
-    """edge as (select k.* from kept k where (select count(*) from kept q where q.chip=k.chip and abs(q.y-k.y)+abs(q.x-k.x)=1)<4)""",
-    "un as (select * from bp union select * from kept)",
-    "res as (select u.* from un u left join edge e on e.chip=u.chip and e.y=u.y and e.x=u.x where e.x is null)",
-    runs_of("res", "fin"))) + " select * from fin")
+    BOTH, overlap_merge_of("np", "bp", "res", 0.2), runs_of("res", "fin"))) + " select * from fin")
 def _(t):
     return masks.overlap_merge(t.nuclei, t.boundary, 0.2)[1]
 
 
-@query("c11_multimodal_merge")
+@query("c11_multimodal_merge", "with recursive " + ", ".join((
+    BOTH, pixels_of("interior", "ip"), overlap_merge_of("ip", "bp", "first_", 0.5),
+    overlap_merge_of("np", "first_", "second_", 0.8), runs_of("second_", "fin"))) + " select * from fin")
 def _(t):
     return masks.multimodal_merge(t.nuclei, t.boundary, t.interior)[2]
 
@@ -207,7 +204,19 @@ def _(t):
     return masks.centroid_containment(t.matrix, t.nuclei)
 
 
-@query("c20_split_multi_cells")
+@query("c20_split_multi_cells", "with " + CENT + """,
+hit as (select m.chip, m.label, cen.label ref, cx, cy from cen join matrix m on m.chip=cen.chip and m.y=floor(cen.cy+0.5)
+ and floor(cen.cx+0.5) between m.x0 and m.x1),
+multi as (select chip, label from hit group by 1,2 having count(*)>=2),
+px as (select chip, label, y, unnest(generate_series(x0,x1)) x from matrix),
+own as (select p.chip, p.y, p.x, h.ref from px p join multi u on u.chip=p.chip and u.label=p.label join hit h on h.chip=p.chip and h.label=p.label
+ qualify row_number() over (partition by p.chip, p.label, p.y, p.x order by (p.x-cx)*(p.x-cx)+(p.y-cy)*(p.y-cy), ref)=1),
+nb as (select chip, y+1 y, x, ref from own union all select chip, y-1, x, ref from own union all select chip, y, x+1, ref from own
+ union all select chip, y, x-1, ref from own),
+bad as (select distinct o.chip, o.y, o.x from own o join nb on nb.chip=o.chip and nb.y=o.y and nb.x=o.x and nb.ref<>o.ref),
+res as (select distinct chip, y, x from own o where not exists (select 1 from bad b where b.chip=o.chip and b.y=o.y and b.x=o.x)
+ union select chip, y, x from px p where not exists (select 1 from multi u where u.chip=p.chip and u.label=p.label)), """
+       + runs_of("res", "fin") + " select * from fin")
 def _(t):
     return masks.split_multi_cells(t.matrix, t.nuclei)
 

@@ -45,3 +45,16 @@ def fragments_kept(objects: str, frag_px: str, out: str, thr: float) -> str:
   join {out}_sz s on s.chip=o.chip and s.label=o.label group by p.chip, p.label, o.label, s.n having count(*)/s.n>={thr}),
 {out} as (select p.chip, p.y, p.x from {out}_pp p join {out}_ok k on k.chip=p.chip and k.label=p.label
   union select f.chip, f.y, f.x from {frag_px} f where not exists (select 1 from {out}_op o where o.chip=f.chip and o.y=f.y and o.x=f.x))"""
+
+
+def overlap_merge_of(sec: str, pri: str, out: str, thr: float, size: int = 15) -> str:
+    """Pixels ``out`` of primary plus kept secondary without the outline of the kept part."""
+    o = out
+    return f"""{o}_d as (select a.* from {sec} a left join {pri} b on b.chip=a.chip and b.y=a.y and b.x=a.x where b.x is null),
+{components_of(o + '_d', o + '_cc', 4)}, {big_enough(o + '_cc', o + '_lf', size)}, {pixels_of(o + '_lf', o + '_lp')},
+{components_of(sec, o + '_ob', 8)}, {fragments_kept(o + '_ob', o + '_lp', o + '_kept', thr)},
+{o}_edge as (select k.* from {o}_kept k left join (select chip, y+1 y, x from {o}_kept union all select chip, y-1, x from {o}_kept
+  union all select chip, y, x+1 from {o}_kept union all select chip, y, x-1 from {o}_kept) q on q.chip=k.chip and q.y=k.y and q.x=k.x
+  group by k.chip, k.y, k.x having count(q.x)<4),
+{o}_un as (select * from {pri} union select * from {o}_kept),
+{o} as (select u.* from {o}_un u left join {o}_edge e on e.chip=u.chip and e.y=u.y and e.x=u.x where e.x is null)"""
