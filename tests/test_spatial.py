@@ -22,11 +22,11 @@ def test_density_with_duplicates(spark):
 
 
 def test_nms_equals_sequential_greedy(spark):
-    n = 300
+    n = 160
     det = pd.DataFrame({"img": 0, "id": range(n), "cx": RNG.integers(0, 150, n), "cy": RNG.integers(0, 150, n),
                         "w": RNG.integers(4, 30, n), "h": RNG.integers(4, 30, n), "score": RNG.integers(0, 40, n),
                         "cls": RNG.integers(0, 2, n)})
-    det.loc[:90, ["cx", "cy"]] = 50  # a pile
+    det.loc[:60, ["cx", "cy"]] = 50  # a pile
     order = det.sort_values(["score", "id"], ascending=[False, True])
     kept, gone = [], set()
     for r in order.itertuples():

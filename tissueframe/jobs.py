@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .functions import intensity
 from .operators import cells, cluster, images, masks, morphology, registration, stitching
@@ -96,20 +96,22 @@ def template_fit(track: DataFrame, template: DataFrame, conf: float = 0.5) -> di
             "offset": registration.median_offset(registration.pair_nearest(points.select("chip", "id", "x", "y"), template, 10))}
 
 
-def cluster_job(cell_gene: DataFrame, components: int = 8, neighbours: int = 10, **hvg) -> DataFrame:
+def cluster_job(cell_gene: DataFrame, components: int = 8, neighbours: int = 10, top: int = 5000, **hvg) -> DataFrame:
     """Communities of cells from their highly variable genes.
 
-    The gene list is bounded by the top-n of the gene filter; a cell becomes one
-    dense array over it, log1p of its counts.
+    The ``top`` genes that vary in most chips span the features; a cell becomes
+    one array of that length, log1p of its counts.
     """
-    genes = cells.highly_variable(cell_gene, **hvg).select("gene").distinct()
-    index = cut(genes.orderBy("gene"))
-    names = [r["gene"] for r in index.collect()]  # at most `top` names per chip
-    picked = cell_gene.join(index, "gene", "left_semi")
-    packed = picked.groupBy("chip", "cell_id").agg(F.map_from_entries(F.collect_list(F.struct("gene", F.log1p("mid")))).alias("m"))
-    dense = F.transform(F.array(*[F.lit(n) for n in names]), lambda g: F.coalesce(F.element_at("m", g), F.lit(0.0)))
+    ranked = cells.highly_variable(cell_gene, top=top, **hvg).groupBy("gene").agg(
+        F.count("*").alias("n"), F.avg("norm_disp").alias("d"))
+    best = ranked.orderBy(F.desc("n"), F.desc("d"), "gene").limit(top)
+    index = cut(best.withColumn("idx", F.row_number().over(Window.orderBy("gene"))).select("gene", "idx"))  # at most `top` rows
+    width = index.count()
+    picked = cell_gene.join(F.broadcast(index), "gene")
+    packed = picked.groupBy("chip", "cell_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", F.log1p("mid")))).alias("m"))
+    dense = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
     vectors = cut(packed.select("chip", "cell_id", dense.alias("f")))
-    reduced = cluster.pca_features(vectors, "f", min(components, len(names)))
+    reduced = cluster.pca_features(vectors, "f", min(components, width))
     graph = cluster.knn_graph(reduced.select("cell_id", "pca"), "cell_id", "pca", neighbours)
     labels = cluster.community_labels(graph)
     return vectors.select("chip", "cell_id").join(labels.withColumnRenamed("node", "cell_id"), "cell_id")

@@ -37,26 +37,32 @@ def pixels_from_runs(runs: DataFrame) -> DataFrame:
 def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> DataFrame:
     """Pixels of ``a`` that ``b`` does not cover, keeping the labels of ``a``.
 
-    Works on interval events: within a row, the gaps of ``b`` inside each run of
-    ``a`` are read off with a lead over the covered pieces of that run.
+    Both sides meet in one shuffle on (row, bucket).  A bucket is 128 pixels wide,
+    so its distinct pieces are few; each run of ``a`` walks over the sorted
+    pieces of ``b`` and emits the gaps.
     """
-    from .buckets import RUN_BUCKET, run_pieces
+    from .buckets import run_pieces
 
-    left = run_pieces(a).select(*keys, "label", "y", "_xb", "x0", "x1")
-    cover = run_pieces(merge_runs(b.select(*keys, "y", "x0", "x1"), (*keys, "y")), RUN_BUCKET)
-    cover = cover.select(*keys, "y", "_xb", F.col("x0").alias("_b0"), F.col("x1").alias("_b1"))
-    j = left.join(cover, [*keys, "y", "_xb"], "left")
-    hit = F.col("_b1").isNotNull() & (F.col("_b0") <= F.col("x1")) & (F.col("_b1") >= F.col("x0"))
-    group = [*keys, "label", "y", "_xb", "x0", "x1"]
-    holes = j.groupBy(*group).agg(F.sort_array(F.collect_list(
-        F.when(hit, F.struct("_b0", "_b1")))).alias("_cov"))
-    # at most `size` covered pieces per bucket: walk the gaps between them
-    starts = F.concat(F.array(F.col("x0")), F.transform("_cov", lambda c: c["_b1"] + 1))
-    ends = F.concat(F.transform("_cov", lambda c: c["_b0"] - 1), F.array(F.col("x1")))
-    gaps = F.arrays_zip(starts.alias("s"), ends.alias("e"))
-    free = (holes.select(*keys, "label", "y", F.explode(gaps).alias("g"))
-            .select(*keys, "label", "y", F.col("g.s").alias("x0"), F.col("g.e").alias("x1"))
-            .where("x0 <= x1"))
+    spot = [*keys, "y", "_xb"]
+    own = run_pieces(a).select(*spot, F.struct("label", "x0", "x1").alias("_a"),
+                               F.lit(None).cast("struct<b0:bigint,b1:bigint>").alias("_b"))
+    cover = run_pieces(b).select(*spot, F.lit(None).cast(own.schema["_a"].dataType).alias("_a"),
+                                 F.struct(F.col("x0").cast("long").alias("b0"), F.col("x1").cast("long").alias("b1")).alias("_b"))
+    met = own.unionByName(cover).groupBy(*spot).agg(F.collect_set("_a").alias("_as"),
+                                                    F.sort_array(F.collect_set("_b")).alias("_bs"))
+    runs = met.select(*keys, "y", "_bs", F.explode("_as").alias("_a"))
+    x0, x1 = F.col("_a.x0").cast("long"), F.col("_a.x1").cast("long")
+    none = F.array().cast("array<struct<s:bigint,e:bigint>>")
+    piece = lambda lo, hi: F.array(F.struct(lo.alias("s"), hi.alias("e")))
+    gaps = F.aggregate(
+        F.filter("_bs", lambda c: (c["b0"] <= x1) & (c["b1"] >= x0)),
+        F.struct(x0.alias("at"), none.alias("gaps")),
+        lambda st, c: F.struct(
+            F.greatest(st["at"], c["b1"] + 1).alias("at"),
+            F.when(c["b0"] > st["at"], F.concat(st["gaps"], piece(st["at"], c["b0"] - 1))).otherwise(st["gaps"]).alias("gaps")),
+        lambda st: F.when(st["at"] <= x1, F.concat(st["gaps"], piece(st["at"], x1))).otherwise(st["gaps"]))
+    free = (runs.select(*keys, F.col("_a.label").alias("label"), "y", F.explode(gaps).alias("g"))
+            .select(*keys, "label", "y", F.col("g.s").alias("x0"), F.col("g.e").alias("x1")))
     return merge_runs(free, (*keys, "label", "y"))
 
 
