@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, simhash, substring_dedup
+from . import language_id, mixing, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.taken(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.components(_table(spark, sf_dir, "documents"))
@@ -31,6 +36,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
+    "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
 }
 
