@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, mixing, simhash, substring_dedup
+from . import language_id, mixing, packing, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    _, placed = packing.pack(_table(spark, sf_dir, "documents"), packing.tokenizer_path())
+    return placed.drop("key")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.taken(_table(spark, sf_dir, "documents"))
@@ -36,6 +42,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
 }

@@ -51,12 +51,17 @@ def _powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
         m = 1 << max(18, (n - 1).bit_length())
         pair = tuple(np.concatenate([np.ones(1, np.uint64), np.full(m - 1, b, np.uint64)]).cumprod(dtype=np.uint64)
                      for b in (base, pow(base, -1, 1 << 64)))
-        if m > 1 << 22:
+        if m > 1 << 24:
             return pair  # one very long text: not kept
         _POWERS[kind] = have = pair
     return have
 
 
+def byte_values(view: np.ndarray) -> np.ndarray:
+    """A fixed random number for each byte."""
+    return _BYTE[view]
+
+
 class Ranges:
     """Hashes of ranges of a sequence of 64-bit values."""
 
@@ -85,7 +90,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word's bytes."""
-        return Ranges(_BYTE[self.buf], "byte").hash(self.start, self.end)
+        return Ranges(byte_values(self.buf), "byte").hash(self.start, self.end)
 
 
 def text_bytes(column) -> list[bytes]:
