@@ -19,6 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .textops import PACK
@@ -105,33 +106,44 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tu
     return [name for name, _ in rows], np.array([v for _, v in rows], float).reshape(-1, DIMENSIONS)
 
 
+class Predictor:
+    """Nearest prototype by cosine, for many texts."""
+
+    def __init__(self, languages: list[str], prototypes: np.ndarray):
+        norm = np.linalg.norm(prototypes, axis=1, keepdims=True)
+        self._names, self._unit = languages, (prototypes / np.where(norm > 0, norm, 1)).astype(np.float32)
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        names, scores = [], []
+        for _, pack in _packs(texts):
+            doc, gram = _trigrams(pack)
+            keys = np.sort(doc * CODES ** 3 + gram)
+            new = np.flatnonzero(np.diff(keys, prepend=-1))
+            count, keys = np.diff(new, append=len(keys)).astype(np.float32), keys[new]
+            gram, bound = keys % CODES ** 3, np.searchsorted(keys // CODES ** 3, np.arange(len(pack) + 1))
+            for a, b in zip(bound[:-1], bound[1:]):
+                if a == b or not self._names:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                text = np.zeros(DIMENSIONS, np.float32)
+                for i in range(a, b, 8192):
+                    j = min(b, i + 8192)
+                    text += count[i:j] @ _trigram_vectors()[gram[i:j]].astype(np.float32)
+                cosine = np.round(self._unit @ text / max(float(np.linalg.norm(text)), 1e-9), 6)
+                best = int(cosine.argmax())
+                names.append(self._names[best])
+                scores.append(min(1.0, max(0.0, float(cosine[best]))))
+        return names, scores
+
+
 def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score)``; score is the cosine with the chosen prototype, not below 0."""
-    norm = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    unit = (prototypes / np.where(norm > 0, norm, 1)).astype(np.float32)
+    predictor = Predictor(languages, prototypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = [], []
-            for _, pack in _packs(batch.column(1).to_pylist()):
-                doc, gram = _trigrams(pack)
-                keys = np.sort(doc * CODES ** 3 + gram)
-                new = np.flatnonzero(np.diff(keys, prepend=-1))
-                count, keys = np.diff(new, append=len(keys)).astype(np.float32), keys[new]
-                gram, bound = keys % CODES ** 3, np.searchsorted(keys // CODES ** 3, np.arange(len(pack) + 1))
-                for a, b in zip(bound[:-1], bound[1:]):
-                    if a == b or not languages:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    text = np.zeros(DIMENSIONS, np.float32)
-                    for i in range(a, b, 8192):
-                        j = min(b, i + 8192)
-                        text += count[i:j] @ _trigram_vectors()[gram[i:j]].astype(np.float32)
-                    cosine = np.round(unit @ text / max(float(np.linalg.norm(text)), 1e-9), 6)
-                    best = int(cosine.argmax())
-                    names.append(languages[best])
-                    scores.append(min(1.0, max(0.0, float(cosine[best]))))
+            names, scores = predictor(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=["doc_id", "lang_pred", "score"])
 
@@ -139,6 +151,20 @@ def predict(docs: DataFrame, languages: list[str], prototypes: np.ndarray, id_co
         run, "doc_id long, lang_pred string, score double")
 
 
+def known_only(docs: DataFrame, languages: list[str], prototypes: np.ndarray, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose language is found, with the language filled in where it is missing; no shuffle."""
+    predictor, at, lang = Predictor(languages, prototypes), docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = pa.array(predictor(batch.column(at).to_pylist())[0], pa.string())
+            columns = list(batch.columns)
+            columns[lang] = pc.coalesce(columns[lang].cast(pa.string()), names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pc.not_equal(names, UNKNOWN))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def is_held_out(id_col: str = "doc_id", fold: int = 2, folds: int = 4) -> Column:
     """Fold of a document by the CRC-32 of its id as text (null id: empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold

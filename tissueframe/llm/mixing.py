@@ -135,14 +135,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
         F.sort_array(F.collect_list(F.struct("first", "length"))).alias("ranges"))
     named = plan.select("sid", F.col("source").alias("s"))
     rows = (placed.where("size > 0").join(named, F.col("source").eqNullSafe(F.col("s")))
-            .join(ranges, ["sid", "start"]).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"), "start", "epoch", "ranges"))
-    numbered = Window.partitionBy("_id", "_tag", "epoch").orderBy("start")
-    rows = rows.withColumn("_copy", F.row_number().over(numbered))
-    same = Window.partitionBy(id_col, "_tag").orderBy("_tag")
-    tagged = docs.withColumn("_tag", F.xxhash64(text_col)).withColumn("_copy", F.row_number().over(same))
-    joined = tagged.alias("d").join(rows.alias("r"), F.col(f"d.{id_col}").eqNullSafe(F.col("r._id"))
-                                    & (F.col("d._tag") == F.col("r._tag")) & (F.col("d._copy") == F.col("r._copy")))
+            .join(ranges, ["sid", "start"]).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), "start", "epoch", "ranges"))
+    numbered = Window.partitionBy("__id", "__tag", "epoch").orderBy("start")
+    rows = rows.withColumn("__copy", F.row_number().over(numbered))
+    same = Window.partitionBy(id_col, "__tag").orderBy("__tag")
+    tagged = docs.withColumn("__tag", F.xxhash64(text_col)).withColumn("__copy", F.row_number().over(same))
+    joined = tagged.alias("d").join(rows.alias("r"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.__id"))
+                                    & (F.col("d.__tag") == F.col("r.__tag")) & (F.col("d.__copy") == F.col("r.__copy")))
     split = words(F.col(f"d.{text_col}"))
-    part = F.array_join(F.flatten(F.transform("ranges", lambda x: F.slice(F.col("_w"), (x["first"] + 1).cast("int"), x["length"].cast("int")))), " ")
-    return joined.withColumn("_w", split).select(
+    part = F.array_join(F.flatten(F.transform("ranges", lambda x: F.slice(F.col("__w"), (x["first"] + 1).cast("int"), x["length"].cast("int")))), " ")
+    return joined.withColumn("__w", split).select(
         *[part.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns])

@@ -192,9 +192,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     table = cut(fingerprint_table(docs, id_col, text_col))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     best = (table.join(classes(table).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("b"))
-            .select(F.col("b.doc_id").alias("_id"), F.col("b.tag").alias("_tag")))
-    tagged = docs.withColumn("_tag", F.xxhash64(text_col))
-    same = F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("b._id")) & (F.col("d._tag") == F.col("b._tag"))
+            .select(F.col("b.doc_id").alias("__id"), F.col("b.tag").alias("__tag")))
+    tagged = docs.withColumn("__tag", F.xxhash64(text_col))
+    same = F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("b.__id")) & (F.col("d.__tag") == F.col("b.__tag"))
     kept = tagged.alias("d").join(best.alias("b"), same, "left_semi")
-    once = Window.partitionBy("_tag", id_col).orderBy("_tag")
-    return kept.withColumn("_n", F.row_number().over(once)).where("_n = 1").select(*docs.columns)
+    once = Window.partitionBy("__tag", id_col).orderBy("__tag")
+    return kept.withColumn("__n", F.row_number().over(once)).where("__n = 1").select(*docs.columns)

@@ -273,3 +273,30 @@ def dedup(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col
 
     return _packed(docs, id_col, text_col).join(lists, ["doc", "tag"], "left").select("id", "z", "spans").mapInArrow(
         run, f"doc_id long, n_words long, n_removed long, {last} string")
+
+
+def clean(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with redundant words taken out of the texts, all columns kept.
+
+    A text that loses nothing is unchanged, the words left of any other are joined by one space, and a row that loses
+    all its words goes.
+    """
+    spans = redundant_spans(docs, min_words, id_col, text_col)
+    lists = spans.groupBy(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).agg(
+        F.collect_set(F.struct("start", "end")).alias("__spans"))
+    at, names = docs.columns.index(text_col), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            texts, gone, keep = text_bytes(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist(), []
+            out = batch.column(at).to_pylist()
+            for i, (text, spans) in enumerate(zip(texts, gone)):
+                if spans:
+                    out[i] = b" ".join(_kept(text.split(), spans)).decode()
+                keep.append(not spans or bool(out[i]))
+            columns = [*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1: -1]]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    tag = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).bitwiseAND(_TAG)
+    keyed = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "__tag": tag})
+    return keyed.join(lists, ["__doc", "__tag"], "left").select(*names, "__spans").mapInArrow(run, docs.schema)
