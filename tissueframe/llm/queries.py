@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, mixing, packing, simhash, substring_dedup
+from . import language_id, mixing, packing, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("key")
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best other vectors for every hundredth vector."""
+    return topk.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.taken(_table(spark, sf_dir, "documents"))
@@ -43,8 +48,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_exact_top_k": op6_exact_top_k,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_top_k": """
+        with v as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] v from embeddings
+                   where vec_id is not null and len(embedding) > 0
+                     and len([x for x in embedding if x is not null and isfinite(x)]) = len(embedding)),
+        u as (select vec_id, min(v) v from v group by vec_id),
+        s as (select q.vec_id query_id, c.vec_id, cast(list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)]) as bigint) score
+              from u q join u c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 100 = 0),
+        r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
+}

@@ -221,13 +221,13 @@ def redundant_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id"
                     references: int = REFERENCES) -> DataFrame:
     """``(doc, tag, start, end)``: word ranges under windows that occur earlier; ranges may overlap."""
     found = stretches(docs, min_words, id_col, text_col)
-    again = found.groupBy("anchor").count().where("count > 1").select("anchor")
+    again = cut(found.groupBy("anchor").count().where("count > 1").select("anchor"))  # apart, so that hot anchors can be split
     rows = cut(found.join(again, "anchor").select("doc", "at", "anchor", "stretch"))
     equal = cut(rows.groupBy("anchor", "stretch").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")))
     start, n = _windows(F.col("at"))
     copies = rows.join(equal.where("n > 1").select("anchor", "stretch", "first"), ["anchor", "stretch"]).where(
         (F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
-    several = equal.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1")
+    several = cut(equal.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1"))
     places = equal.join(several, "anchor").select("anchor", "first.doc", "first.at", (F.col("k") > references).alias("hot"))
     texts = cut(_texts_of(docs, places, min_words, id_col, text_col))
     dealt = texts.where("not hot").select("anchor", "doc", "at", "words").repartition("anchor").sortWithinPartitions(
