@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, mixing, packing, simhash, substring_dedup, topk
+from . import language_id, mixing, packing, quality, simhash, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.drop("key")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances from the nearest language reference and verdict for every document."""
+    return quality.quality(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 best other vectors for every hundredth vector."""
     return topk.search(_table(spark, sf_dir, "embeddings"))
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
     "op6_exact_top_k": op6_exact_top_k,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
