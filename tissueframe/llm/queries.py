@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, mixing, packing, quality, simhash, substring_dedup, topk
+from . import language_id, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a third of the documents is held out of learning."""
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of passages that occur earlier."""
     return substring_dedup.dedup(_table(spark, sf_dir, "documents"), min_words=20, digest=True)
@@ -50,6 +55,7 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op4_best_fit_packing": op4_best_fit_packing,
