@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
+from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,16 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(_table(spark, sf_dir, "embeddings"))
 
 
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the side of each of its participants."""
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best matching licence template of every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mixing.taken(_table(spark, sf_dir, "documents"))
@@ -61,11 +71,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_exact_top_k": op6_exact_top_k,
+    "op7_chat_rotation": op7_chat_rotation,
+    "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
 }
 
 ORACLES: dict[str, str] = {
+    "op7_chat_rotation": chat.ORACLE,
+    "op8_license_scan": license_scan.oracle(),
     "op6_exact_top_k": """
         with v as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] v from embeddings
                    where vec_id is not null and len(embedding) > 0
