@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
 
-BLOCK, CHUNKS, SHARD, ROUNDS = 32, 4096, 65_536, 24
+BLOCK, CHUNKS, SHARD, ROUNDS = 32, 4096, 65_536, 16
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Separators between words.
 _SPACE = " \\t\\n\\u000B\\f\\r"
@@ -77,10 +77,12 @@ def place(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataF
         "doc_id", "tag", "source", "size", (F.col("head") + F.col("inner")).alias("start"))
 
 
-def _each(rows: DataFrame, count: str, name: str, step: int = 10_000) -> DataFrame:
+def _each(rows: DataFrame, count: str, name: str, step: int = SHARD, steps: int = 4) -> DataFrame:
     """A row for each number below ``count``; large counts are dealt to many tasks before they are spelled out."""
-    many = rows.where(F.col(count) > 0).withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(step).cast("long"))))
-    return (many.repartition("sid", "_from")
+    many = cut(rows.where(F.col(count) > 0).withColumn(
+        "_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1, F.lit(step).cast("long")))))
+    tasks = min(200_000, many.count() // steps + 1)
+    return (many.repartition(tasks, "sid", "_from")
             .withColumn(name, F.explode(F.sequence(F.col("_from"), F.least(F.col(count), F.col("_from") + step) - 1))).drop("_from"))
 
 
@@ -107,7 +109,8 @@ def mix(placed: DataFrame, plan: DataFrame, block: int = BLOCK, shard: int = SHA
     low = F.greatest(F.col("start"), F.col("block") * block)
     spans = spans.select("sid", "block", "start", (low - F.col("start")).alias("first"),
                          (F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - low).alias("length"))
-    return slots.join(spans, ["sid", "block"]).select(
+    # spelled-out rows look smaller to the planner than they are: never broadcast them
+    return slots.join(spans.hint("merge"), ["sid", "block"]).select(
         F.floor(F.col("slot") / shard).alias("shard"), "slot", "sid", "block", "epoch", "start", "first", "length")
 
 
@@ -119,7 +122,7 @@ def taken(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     used = used.withColumn("some", F.lit(True))
     sized = plan.select(F.col("source").alias("s"), "sid", "source_size", "target")
     rows = placed.join(sized, F.col("source").eqNullSafe(F.col("s"))).withColumn("some", F.col("size") > 0)
-    return rows.join(used, ["sid", "start", "some"], "left").select(
+    return rows.join(used.hint("merge"), ["sid", "start", "some"], "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -135,12 +138,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
         F.sort_array(F.collect_list(F.struct("first", "length"))).alias("ranges"))
     named = plan.select("sid", F.col("source").alias("s"))
     rows = (placed.where("size > 0").join(named, F.col("source").eqNullSafe(F.col("s")))
-            .join(ranges, ["sid", "start"]).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), "start", "epoch", "ranges"))
+            .join(ranges.hint("merge"), ["sid", "start"]).select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag"), "start", "epoch", "ranges"))
     numbered = Window.partitionBy("__id", "__tag", "epoch").orderBy("start")
     rows = rows.withColumn("__copy", F.row_number().over(numbered))
     same = Window.partitionBy(id_col, "__tag").orderBy("__tag")
     tagged = docs.withColumn("__tag", F.xxhash64(text_col)).withColumn("__copy", F.row_number().over(same))
-    joined = tagged.alias("d").join(rows.alias("r"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.__id"))
+    joined = tagged.alias("d").join(rows.alias("r").hint("merge"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.__id"))
                                     & (F.col("d.__tag") == F.col("r.__tag")) & (F.col("d.__copy") == F.col("r.__copy")))
     split = words(F.col(f"d.{text_col}"))
     part = F.array_join(F.flatten(F.transform("ranges", lambda x: F.slice(F.col("__w"), (x["first"] + 1).cast("int"), x["length"].cast("int")))), " ")
