@@ -145,7 +145,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     tagged = docs.withColumn("__tag", F.xxhash64(text_col)).withColumn("__copy", F.row_number().over(same))
     joined = tagged.alias("d").join(rows.alias("r").hint("merge"), F.col(f"d.{id_col}").eqNullSafe(F.col("r.__id"))
                                     & (F.col("d.__tag") == F.col("r.__tag")) & (F.col("d.__copy") == F.col("r.__copy")))
-    split = words(F.col(f"d.{text_col}"))
-    part = F.array_join(F.flatten(F.transform("ranges", lambda x: F.slice(F.col("__w"), (x["first"] + 1).cast("int"), x["length"].cast("int")))), " ")
-    return joined.withColumn("__w", split).select(
-        *[part.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns])
+    # the words are a variable of the outer function, so they are split once and not for each range
+    part = F.element_at(F.transform(F.array(words(F.col(f"d.{text_col}"))), lambda w: F.array_join(F.flatten(F.transform(
+        F.col("ranges"), lambda x: F.slice(w, (x["first"] + 1).cast("int"), x["length"].cast("int")))), " ")), 1)
+    return joined.select(*[part.alias(c) if c == text_col else F.col(f"d.{c}") for c in docs.columns])
