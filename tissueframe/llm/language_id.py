@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .textops import PACK
 
-DIMENSIONS, CODES, SEED = 512, 64, 7
+DIMENSIONS, CODES, SEED = 512, 48, 7
 UNKNOWN = "und"
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PACK = 1 << 20
+PACK = 1_000_000
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93}
@@ -51,7 +51,7 @@ def _powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
         m = 1 << max(18, (n - 1).bit_length())
         pair = tuple(np.concatenate([np.ones(1, np.uint64), np.full(m - 1, b, np.uint64)]).cumprod(dtype=np.uint64)
                      for b in (base, pow(base, -1, 1 << 64)))
-        if m > 1 << 24:
+        if m > 1 << 21:
             return pair  # one very long text: not kept
         _POWERS[kind] = have = pair
     return have
