@@ -30,7 +30,7 @@ from .textops import Ranges, byte_values, packs, text_bytes
 
 CAPACITY, CHUNKS = 2048, 1024
 #: Bytes of text encoded at a time, and different words whose ids a worker remembers.
-PACK, REMEMBERED = 2_000_000, 2_000_000
+PACK, REMEMBERED = 800_000, 700_000
 #: White space other than space and line feed, as the tokenizer sees it; a text with any is encoded whole.
 _OTHER_SPACE = [x.encode() for x in "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0        "
                 "        　"]

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
 
+from .textops import small_batches
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-PACK = 1_000_000
+PACK = 500_000
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD6E8FEB86659FD93}
@@ -25,6 +25,11 @@ IS_LETTER[97:123] = True
 IS_LETTER[128:] = True
 
 
+def small_batches(spark, rows: int = 1000) -> None:
+    """Ask Spark for small Arrow batches: documents are long, and batches are held by the JVM and the worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def packs(texts: list[bytes], size: int = PACK) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts of about ``size`` bytes."""
     start = total = 0
