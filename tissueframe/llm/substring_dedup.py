@@ -199,10 +199,13 @@ def _texts_of(docs: DataFrame, places: DataFrame, min_words: int, id_col: str, t
 
 def _shards(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     """Stretches sorted by anchor and place: one automaton for each anchor, built while it is read."""
-    anchor, automaton = None, SuffixAutomaton()
+    anchor, automaton, last = None, SuffixAutomaton(), None
     for batch in batches:
         rows = {"doc": [], "tag": [], "start": [], "end": []}
         for key, doc, at, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if (key, doc, at) == last:
+                continue  # a repeated row of the corpus
+            last = key, doc, at
             if key != anchor:
                 anchor, automaton = key, SuffixAutomaton()
             start, n = _windows(at)
