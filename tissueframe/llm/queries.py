@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
-
 from .textops import small_batches
 
 
