@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.buckets import bucket, overlap_pairs, overlap_runs, points_in_runs
@@ -87,28 +89,47 @@ def multimodal_merge(nuclei: DataFrame, boundary: DataFrame, interior: DataFrame
 
 def merge_layers(nuclei: DataFrame, boundary: DataFrame, interior: DataFrame, matrix: DataFrame,
                  r: int = 10, min_size: int = 15) -> tuple[DataFrame, DataFrame]:
-    """Combine the layers that exist into (cell mask, nuclear mask)."""
-    has = {n: not df.isEmpty() for n, df in
-           (("nuclei", nuclei), ("boundary", boundary), ("interior", interior), ("matrix", matrix))}
-    cell = None
-    if has["nuclei"] and has["boundary"] and has["interior"]:
+    """Combine the layers that each chip has into (cell mask, nuclear mask).
+
+    Chips with the same layers are merged together; there are at most 15 such sets.
+    """
+    layers = {"nuclei": nuclei, "boundary": boundary, "interior": interior, "matrix": matrix}
+    found = reduce(DataFrame.unionByName, (df.select("chip", F.lit(n).alias("layer")).distinct() for n, df in layers.items()))
+    present = cut(found.groupBy("chip").agg(F.array_join(F.sort_array(F.collect_set("layer")), ",").alias("has")))
+    sets = sorted(row["has"] for row in present.select("has").distinct().collect())
+    if len(sets) < 2:
+        return _merge_present(layers, set(sets[0].split(",")) if sets else set(), r, min_size)
+    parts = []
+    for has in sets:
+        chips = present.where(F.col("has") == has).select("chip")
+        own = {n: df.join(chips, "chip", "left_semi") for n, df in layers.items()}
+        parts.append(_merge_present(own, set(has.split(",")), r, min_size))
+    cell, core = zip(*parts)
+    return reduce(DataFrame.unionByName, cell), reduce(DataFrame.unionByName, core)
+
+
+def _merge_present(layers: dict[str, DataFrame], has: set[str], r: int, min_size: int) -> tuple[DataFrame, DataFrame]:
+    """Merge the layers ``has`` of chips that all have them."""
+    nuclei, boundary, interior = layers["nuclei"], layers["boundary"], layers["interior"]
+    stained = has - {"matrix"}
+    if has >= {"nuclei", "matrix"}:
+        cell = split_multi_cells(layers["matrix"], nuclei)
+    elif stained == {"nuclei", "boundary", "interior"}:
         kept, base, _ = multimodal_merge(nuclei, boundary, interior)
         cell = overlap_merge(expand_labels(kept, r), base, 0.1)[1]
-    elif has["nuclei"] and has["boundary"]:
+    elif stained == {"nuclei", "boundary"}:
         kept, _ = overlap_merge(nuclei, boundary, 0.8)
         cell = overlap_merge(expand_labels(kept, r), boundary, 0.1)[1]
-    elif has["nuclei"] and not has["interior"]:
+    elif stained == {"nuclei"}:
         cell = expand_labels(nuclei, r)
-    elif has["boundary"] and not has["nuclei"] and not has["interior"]:
+    elif stained == {"boundary"}:
         cell = boundary
-    elif has["interior"] and not has["nuclei"] and not has["boundary"]:
+    elif stained == {"interior"}:
         cell = interior
-    if has["matrix"] and has["nuclei"]:
-        cell = split_multi_cells(matrix, nuclei)
-    if cell is None:
+    else:
         return nuclei, nuclei
     cell = cut(drop_small_objects(connected_components(cell, 4), min_size))
-    if not has["nuclei"]:
+    if "nuclei" not in has:
         return cell, nuclei
     core = mask_and(nuclei, cell, min_size)
     return cell, keep_large_fragments(nuclei, core)
