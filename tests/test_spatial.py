@@ -192,7 +192,7 @@ def test_gmm_keeps_own_points_and_dedupes(spark):
 
 
 def test_scale_search_finds_scale(spark):
-    lattice = [registration.PREFIX[i % 9] + 294 * (i // 9) for i in range(12)]
+    lattice = [registration.track_prefix(registration.PITCH)[i % 9] + 2940 * (i // 9) for i in range(12)]
     pts = [(0, 0, 0, k, 1.2 * x, 1.2 * y) for k, (x, y) in enumerate(itertools.product(lattice, lattice))]
     df = spark.createDataFrame(pts, "chip long, fov_row long, fov_col long, id long, x double, y double")
     r = registration.scale_search(df, ("chip", "fov_row", "fov_col"), (0.9, 1.0, 1.1, 1.2, 1.3)).first()

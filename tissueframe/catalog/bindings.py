@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+#: Track steps of the fixture tables, a tenth of a chip's.
+TRACK = (24, 30, 33, 39, 39, 33, 30, 24, 42)
 PITCH = "(case i when 0 then 0 when 1 then 24 when 2 then 54 when 3 then 87 when 4 then 126 " \
         "when 5 then 165 when 6 then 198 when 7 then 228 else 252 end)"
 

@@ -313,9 +313,11 @@ MOVING = "moving as (select chip img, y, x, 1+c%3 v from (select chip, c, cy y,
 
 
 @query("d26_align_score", "with " + MOVING + """,
-cand as (select 0 rot, a.v dx, b.v dy from (values (-7),(0),(7)) a(v), (values (-7),(0),(7)) b(v))
-select p.img, cast(rot as bigint) rot, cast(dx as bigint) dx, cast(dy as bigint) dy, cast(sum(p.v*m.v) as bigint) score
-from moving m, cand, pixel p where p.img=m.img and p.x=m.x+dx and p.y=m.y+dy group by 1,2,3,4""")
+cand as (select 0 rot, a.v dx, b.v dy from (values (-7),(0),(7)) a(v), (values (-7),(0),(7)) b(v)),
+sc as (select p.img, dx, dy, sum(p.v*m.v) s from moving m, cand, pixel p where p.img=m.img and p.x=m.x+dx and p.y=m.y+dy group by 1,2,3),
+im as (select distinct img from moving where img in (select img from pixel))
+select im.img, cast(c.rot as bigint) rot, cast(c.dx as bigint) dx, cast(c.dy as bigint) dy, cast(coalesce(s, 0) as bigint) score
+from im cross join cand c left join sc on sc.img=im.img and sc.dx=c.dx and sc.dy=c.dy""")
 def _(t):
     return registration.align_score(*fixed_moving(t), CANDS)
 

@@ -3,11 +3,12 @@
 from pyspark.sql import functions as F
 
 from ..operators import borders, cells, components, masks, morphology, ranking, registration, slots, stitching
-from ..operators.registration import PREFIX
 from ..plans import islands
 from . import query
+from .bindings import TRACK
 from .c_joins import CENT, WINDOWS
 
+PREFIX, TEMPLATE = registration.track_prefix(TRACK), (TRACK, TRACK)
 R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
 
 
@@ -75,13 +76,13 @@ val as (select chip, axis, shift+1 as first, cast(s as bigint) total from tot
 
 def _first(t):
     marginals = registration.axis_marginals(t.dnb)
-    return marginals, registration.track_valley(marginals)
+    return marginals, registration.track_valley(marginals, template=TEMPLATE)
 
 
 def _positions(t):
     marginals, first = _first(t)
     length = marginals.groupBy("chip", "axis").agg((F.max("pos") + 1).alias("length"))
-    return registration.cyclic_positions(first.join(length, ["chip", "axis"]).select("chip", "axis", "first", "length"))
+    return registration.cyclic_positions(first.join(length, ["chip", "axis"]).select("chip", "axis", "first", "length"), TEMPLATE)
 
 
 POS = VALLEY + """,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import borders, cells, cluster, components, masks, morphology, registration, stitching
 from ..plans import islands
 from . import query
+from .bindings import TRACK
 from .sql_parts import components_of, pixels_of
 
 FOV = ("chip", "fov_row", "fov_col")
@@ -138,7 +139,7 @@ def _(t):
 
 @query("f13_scale_search")
 def _(t):
-    return registration.scale_search(t.track_point.select(*FOV, "id", "x", "y"), FOV, (0.8, 0.9, 1.0, 1.1, 1.2))
+    return registration.scale_search(t.track_point.select(*FOV, "id", "x", "y"), FOV, (0.8, 0.9, 1.0, 1.1, 1.2), template=(TRACK, TRACK))
 
 
 @query("f14_gmm_correct")

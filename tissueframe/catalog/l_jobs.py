@@ -5,19 +5,37 @@ from pyspark.sql import functions as F
 from .. import jobs
 from ..operators import cells
 from . import query
+from .bindings import TRACK
 from .d_aggregates import NEAREST, OBS, TURNS, assigned, fixed_moving
 
 R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
 
 
-@query("l01_extract_matrix")
+def _cell_sql(mask: str) -> str:
+    return f"""a_{mask} as (select e.*, n.label cell_id from inside e join {mask} n on e.chip=n.chip and e.y=n.y and e.x between n.x0 and n.x1),
+s_{mask} as (select chip, label cell_id, cast(sum(x1-x0+1) as bigint) area from {mask} group by 1,2),
+c_{mask} as (select chip, cell_id, cast(sum(mid) as bigint) mid, count(distinct gene) n_gene, count(distinct x*100000+y) n_dnb
+ from a_{mask} group by 1,2)"""
+
+
+def _cell_rows(mask: str, name: str) -> str:
+    return f"""union all select chip, '{name}_gene', cell_id, gene, null, null, cast(sum(mid) as bigint), null, null, null from a_{mask} group by 1,3,4
+union all select s.chip, '{name}_cell', s.cell_id, null, null, null, coalesce(mid,0), area, coalesce(n_gene,0), coalesce(n_dnb,0)
+ from s_{mask} s left join c_{mask} c on c.chip=s.chip and c.cell_id=s.cell_id"""
+
+
+@query("l01_extract_matrix", """with inside as (select e.* from expression e where exists (select 1 from tissue s
+ where s.chip=e.chip and s.y=e.y and e.x between s.x0 and s.x1)), """ + _cell_sql("nuclei") + ", " + _cell_sql("boundary") + """
+select chip, 'tissue' as matrix, cast(null as bigint) cell_id, gene, x, y, cast(sum(mid) as bigint) mid, cast(null as bigint) area,
+ cast(null as bigint) n_gene, cast(null as bigint) n_dnb from inside group by chip, gene, x, y
+""" + _cell_rows("nuclei", "nuclear") + " " + _cell_rows("boundary", "cell"))
 def _(t):
-    out = jobs.extract_matrix(t.expression, t.tissue, t.nuclei, 5)
+    out = jobs.extract_matrix(t.expression, t.tissue, t.nuclei, t.boundary)
     total = None
-    for name in ("tissue", "nuclear_gene", "corrected_gene"):
-        part = out[name].groupBy("chip").agg(F.count("*").alias("n_rows"), F.sum("mid").cast("long").alias("mid")).withColumn("matrix", F.lit(name))
-        total = part if total is None else total.unionByName(part)
-    return total
+    for name, part in out.items():
+        part = part.withColumnsRenamed({"bx": "x", "by": "y"}).drop("cx", "cy").withColumn("matrix", F.lit(name))
+        total = part if total is None else total.unionByName(part, allowMissingColumns=True)
+    return total.select("chip", "matrix", "cell_id", "gene", "x", "y", "mid", "area", "n_gene", "n_dnb")
 
 
 @query("l02_metrics")
@@ -47,7 +65,7 @@ def _(t):
 @query("l05_gene_registration")
 def _(t):
     _, image = fixed_moving(t)
-    out = jobs.gene_registration(t.dnb, image, TURNS, (460, 460), 360)
+    out = jobs.gene_registration(t.dnb, image, TURNS, (460, 460), 360, (TRACK, TRACK))
     n = out["template"].groupBy("chip").agg(F.count("*").alias("template_points"))
     box = out["chip_box"].withColumnsRenamed({"x": "box_x", "y": "box_y"})
     return (out["alignment"].withColumnRenamed("img", "chip").join(n, "chip", "left").join(box, "chip", "left")

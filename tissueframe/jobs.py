@@ -12,15 +12,21 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .functions import intensity
 from .operators import cells, cluster, images, masks, morphology, registration, stitching
-from .session import cut
+from .session import cut, small
 
 
-def extract_matrix(expression: DataFrame, tissue: DataFrame, nuclei: DataFrame, r: int = 10,
+def extract_matrix(expression: DataFrame, tissue: DataFrame, nuclei: DataFrame, cell: DataFrame | None = None, r: int = 10,
                    bin_size: int = 1) -> dict[str, DataFrame]:
-    """Tissue counts, nuclear cell table and the table of cells grown by ``r``."""
-    out = {"tissue": cells.tissue_cut(expression, tissue, bin_size)}
-    for name, mask in (("nuclear", nuclei), ("corrected", morphology.expand_labels(nuclei, r, labelled=True))):
-        assigned = cut(cells.assign_cells(expression, mask))
+    """Tissue counts, and gene and cell tables of the final nuclear and cell masks, all from the points in tissue.
+
+    Without a cell mask nuclei grown by ``r`` take its place.
+    """
+    inside = cut(cells.points_in_tissue(expression, tissue))
+    if cell is None:
+        cell = cut(morphology.expand_labels(nuclei, r, labelled=True))
+    out = {"tissue": cells.bin_gene_matrix(inside, bin_size)}
+    for name, mask in (("nuclear", nuclei), ("cell", cell)):
+        assigned = cut(cells.assign_cells(inside, mask))
         out[f"{name}_gene"] = cells.cell_gene_matrix(assigned)
         out[f"{name}_cell"] = cells.cell_obs(assigned, mask)
     return out
@@ -28,8 +34,9 @@ def extract_matrix(expression: DataFrame, tissue: DataFrame, nuclei: DataFrame,
 
 def metrics_job(expression: DataFrame, nuclei: DataFrame, tissue: DataFrame, radius: int = 200,
                 resolution: float = 500.0) -> DataFrame:
-    """All cell metrics of a chip as ``(chip, section, name, value)``."""
-    assigned = cut(cells.assign_cells(expression, nuclei))
+    """All cell metrics of a chip as ``(chip, section, name, value)``, from the points in tissue."""
+    inside = cut(cells.points_in_tissue(expression, tissue))
+    assigned = cut(cells.assign_cells(inside, nuclei))
     obs = cut(cells.cell_obs(assigned, nuclei).withColumn("diameter", intensity.cell_diameter(F.col("area"), resolution)))
     density = cells.cell_density(obs.select("chip", "cell_id", F.floor(F.col("cx") + 0.5).cast("long").alias("x"),
                                             F.floor(F.col("cy") + 0.5).cast("long").alias("y")), radius)
@@ -43,7 +50,7 @@ def metrics_job(expression: DataFrame, nuclei: DataFrame, tissue: DataFrame, rad
         "chip", F.lit("distribution").alias("section"), F.concat_ws("_", "name", "stat").alias("name"), "value")
     parts = [long(cells.cell_summary(obs), "cells"),
              long(cells.fraction_rich_cells(obs).drop("percent"), "rich"),
-             long(cells.cell_to_tissue_ratio(assigned, cells.tissue_cut(expression, tissue)), "ratio"),
+             long(cells.cell_to_tissue_ratio(assigned, cells.bin_gene_matrix(inside, 1)), "ratio"),
              long(images.area_ratio(nuclei, tissue), "area"),
              long(cells.trace_exceed(cells.object_trace(nuclei)), "trace"),
              long(density.groupBy("chip").agg(F.avg("density").alias("mean_density"), F.max("density").alias("max_density")), "density"),
@@ -66,12 +73,13 @@ def double_cell_filter(expression: DataFrame, nuclei: DataFrame, cells_per_regio
     return cells.filter_cells_by_list(cells.cell_gene_matrix(assigned), flags)
 
 
-def gene_registration(dnb: DataFrame, image: DataFrame, candidates, shape: tuple[int, int], box: int) -> dict[str, DataFrame]:
+def gene_registration(dnb: DataFrame, image: DataFrame, candidates, shape: tuple[int, int], box: int,
+                      template=registration.TEMPLATE) -> dict[str, DataFrame]:
     """Track template of the counts, chip box, and the best turn and shift of an image."""
     marginals = cut(registration.axis_marginals(dnb))
-    first = registration.track_valley(marginals)
+    first = registration.track_valley(marginals, template=template)
     length = marginals.groupBy("chip", "axis").agg((F.max("pos") + 1).alias("length"))
-    positions = registration.cyclic_positions(first.join(length, ["chip", "axis"]).select("chip", "axis", "first", "length"))
+    positions = registration.cyclic_positions(first.join(length, ["chip", "axis"]).select("chip", "axis", "first", "length"), template)
     fixed = dnb.select(F.col("chip").alias("img"), "y", "x", F.col("mid").alias("v"))
     return {"template": registration.template_lattice(positions),
             "center": registration.mass_center(dnb),
@@ -99,19 +107,19 @@ def template_fit(track: DataFrame, template: DataFrame, conf: float = 0.5) -> di
 def cluster_job(cell_gene: DataFrame, components: int = 8, neighbours: int = 10, top: int = 5000, **hvg) -> DataFrame:
     """Communities of cells from their highly variable genes.
 
-    The ``top`` genes that vary in most chips span the features; a cell becomes
-    one array of that length, log1p of its counts.
+    The features are the genes that are among the ``top`` of any chip; a cell
+    becomes one array of that length, log1p of its counts.  Neighbours and
+    communities are those of a chip, so cell ids need to be unique only there.
     """
-    ranked = cells.highly_variable(cell_gene, top=top, **hvg).groupBy("gene").agg(
-        F.count("*").alias("n"), F.avg("norm_disp").alias("d"))
-    best = ranked.orderBy(F.desc("n"), F.desc("d"), "gene").limit(top)
-    index = cut(best.withColumn("idx", F.row_number().over(Window.orderBy("gene"))).select("gene", "idx"))  # at most `top` rows
+    cell_gene = cut(cell_gene)
+    genes = cells.highly_variable(cell_gene, top=top, **hvg).select("gene").distinct()
+    index = cut(genes.withColumn("idx", F.row_number().over(Window.orderBy("gene"))))  # a row for each gene
     width = index.count()
-    picked = cell_gene.join(F.broadcast(index), "gene")
+    picked = cell_gene.join(small(index), "gene")
     packed = picked.groupBy("chip", "cell_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", F.log1p("mid")))).alias("m"))
     dense = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
     vectors = cut(packed.select("chip", "cell_id", dense.alias("f")))
     reduced = cluster.pca_features(vectors, "f", min(components, width))
-    graph = cluster.knn_graph(reduced.select("cell_id", "pca"), "cell_id", "pca", neighbours)
-    labels = cluster.community_labels(graph)
-    return vectors.select("chip", "cell_id").join(labels.withColumnRenamed("node", "cell_id"), "cell_id")
+    graph = cluster.knn_graph(reduced.select("chip", "cell_id", "pca"), "cell_id", "pca", neighbours, by=("chip",))
+    labels = cluster.community_labels(graph, ("chip",))
+    return vectors.select("chip", "cell_id").join(labels.withColumnRenamed("node", "cell_id"), ["chip", "cell_id"])

@@ -16,9 +16,14 @@ def assign_cells(expression: DataFrame, runs: DataFrame) -> DataFrame:
             .withColumn("cell_id", F.coalesce("label", F.lit(0)).cast("long")).drop("label"))
 
 
+def points_in_tissue(expression: DataFrame, tissue: DataFrame) -> DataFrame:
+    """The points that lie in tissue."""
+    return points_in_runs(expression, tissue, "left_semi")
+
+
 def tissue_cut(expression: DataFrame, tissue: DataFrame, bin_size: int = 1) -> DataFrame:
     """Counts inside tissue per gene and bin."""
-    return bin_gene_matrix(points_in_runs(expression, tissue, "left_semi"), bin_size)
+    return bin_gene_matrix(points_in_tissue(expression, tissue), bin_size)
 
 
 def saturate(total: Column, bits: int) -> Column:

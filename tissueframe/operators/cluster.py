@@ -29,53 +29,56 @@ def pca_features(df: DataFrame, col: str, k: int = 30) -> DataFrame:
 
 
 def knn_graph(df: DataFrame, id_col: str, col: str, k: int, directions: int = 8, block: int = 256,
-              seed: int = 7) -> DataFrame:
-    """Approximate k nearest neighbours of array features.
+              seed: int = 7, by: tuple[str, ...] = ()) -> DataFrame:
+    """Approximate k nearest neighbours of array features, among the points that share the columns ``by``.
 
     Points are ranked along random directions; a point is compared with the
     points of its own and the next block of ``block`` consecutive ranks on each
     direction, and only its best ``k`` leave the block.  Blocks hold a fixed
     number of points, so duplicates or dense regions cannot form a large group.
-    A table of up to two blocks is exact.
+    A group of up to two blocks is exact.
     """
-    feats = cut(df.select(F.col(id_col).alias("id"), F.col(col).cast("array<double>").alias("f")))
+    feats = cut(df.select(*by, F.col(id_col).alias("id"), F.col(col).cast("array<double>").alias("f")))
     width = feats.select(F.size("f")).first()
     if width is None:
-        return feats.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"),
+        return feats.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"),
                             F.lit(0).cast("long").alias("rank")).limit(0)
+    types = dict(feats.dtypes)
+    head = "".join(f"`{c}` {types[c]}, " for c in by)
     dirs = np.random.default_rng(seed).normal(size=(directions, width[0]))
 
     def project(it):
         for pdf in it:
             p = np.stack(pdf["f"].to_numpy()) @ dirs.T
-            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(), directions),
-                                "dir": np.tile(np.arange(directions), len(pdf)), "p": p.ravel()})
-
-    spread = feats.mapInPandas(project, "id long, dir int, p double")
-    ranged = cut(spread.repartitionByRange("dir", "p", "id").withColumn("_part", F.spark_partition_id()))
-    sizes = ranged.groupBy("dir", "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy("dir").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("dir", "_part").orderBy("p", "id")) - 1
-    blocks = (ranged.withColumn("_rn", rank).join(sizes.drop("_n"), ["dir", "_part"])
-              .select("dir", "id", F.floor((F.col("_rn") + F.col("_before")) / block).alias("blk"))
+            rows = pdf[[*by, "id"]].iloc[np.repeat(np.arange(len(pdf)), directions)]
+            yield rows.assign(dir=np.tile(np.arange(directions), len(pdf)), p=p.ravel())
+
+    spread = feats.mapInPandas(project, head + "id long, dir int, p double")
+    ranged = cut(spread.repartitionByRange(*by, "dir", "p", "id").withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy(*by, "dir", "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*by, "dir").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy(*by, "dir", "_part").orderBy("p", "id")) - 1
+    blocks = (ranged.withColumn("_rn", rank).join(sizes.drop("_n"), [*by, "dir", "_part"])
+              .select(*by, "dir", "id", F.floor((F.col("_rn") + F.col("_before")) / block).alias("blk"))
               .withColumn("blk", F.explode(F.array(F.col("blk"), F.col("blk") - 1))))
 
     def near(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, x = pdf["id"].to_numpy(), np.stack(pdf["f"].to_numpy())
         n = min(k, len(ids) - 1)
         if n < 1:
-            return pd.DataFrame({"src": [], "dst": [], "dist": []})
+            return pd.DataFrame({c: [] for c in (*by, "src", "dst", "dist")})
         sq = (x * x).sum(axis=1)
         d2 = sq[:, None] + sq[None] - 2 * x @ x.T
         np.fill_diagonal(d2, np.inf)
         pick = np.argpartition(d2, n - 1, axis=1)[:, :n]
         src = np.repeat(np.arange(len(ids)), n)
         gap = x[src] - x[pick.ravel()]
-        return pd.DataFrame({"src": ids[src], "dst": ids[pick.ravel()], "dist": np.sqrt((gap * gap).sum(axis=1))})
+        found = {"src": ids[src], "dst": ids[pick.ravel()], "dist": np.sqrt((gap * gap).sum(axis=1))}
+        return pd.DataFrame({c: pdf[c].iloc[0] for c in by} | found)
 
-    pairs = blocks.join(feats, "id").groupBy("dir", "blk").applyInPandas(near, "src long, dst long, dist double")
-    best = pairs.groupBy("src", "dst").agg(F.min("dist").alias("dist"))
-    order = Window.partitionBy("src").orderBy(F.round("dist", 9), "dst")
+    pairs = blocks.join(feats, [*by, "id"]).groupBy(*by, "dir", "blk").applyInPandas(near, head + "src long, dst long, dist double")
+    best = pairs.groupBy(*by, "src", "dst").agg(F.min("dist").alias("dist"))
+    order = Window.partitionBy(*by, "src").orderBy(F.round("dist", 9), "dst")
     return best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
 
 
@@ -111,26 +114,46 @@ def spatial_knn(points: DataFrame, k: int, reach: int) -> DataFrame:
         reach *= 2
 
 
-def community_labels(edges: DataFrame, rounds: int = 10) -> DataFrame:
-    """Communities of an undirected graph ``(src, dst)`` by label propagation.
+def community_labels(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Communities of an undirected graph ``(src, dst)`` by label propagation, apart for each value of ``by``.
 
     Each round every node takes the most frequent label among itself and its
-    neighbours, the smaller label on ties; stops when nothing changes.
+    neighbours, the smaller label on ties, until nothing changes.  Nodes that
+    move at once can swap labels for ever.  So when a round does not move fewer
+    nodes than every one before, only nodes move from then on that come before
+    all their moving neighbours in a hash order: each such move makes more
+    neighbours agree, which ends.
     """
-    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = cut(both.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node")))
-    for _ in range(rounds):
-        votes = (both.join(labels.select(F.col("node").alias("dst"), "label"), "dst").select(F.col("src").alias("node"), "label")
-                 .unionByName(labels.select("node", "label")).groupBy("node", "label").agg(F.count("*").alias("n")))
-        best = votes.groupBy("node").agg(F.max(F.struct("n", (-F.col("label")).alias("neg"))).alias("m"))
-        nxt = cut(labels.join(best, "node").select("node", (-F.col("m.neg")).alias("new"), "label"))
-        moved = not nxt.where("new <> label").isEmpty()
-        labels = nxt.select("node", F.col("new").alias("label"))
-        if not moved:
+    both = cut(edges.select(*by, "src", "dst").unionByName(
+        edges.select(*by, F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    labels = cut(both.select(*by, F.col("src").alias("node")).distinct().withColumn("label", F.col("node")))
+    fewest, alone, at = None, False, [*by, "node"]
+    while True:
+        votes = (both.join(labels.select(*by, F.col("node").alias("dst"), "label"), [*by, "dst"])
+                 .select(*by, F.col("src").alias("node"), "label")
+                 .unionByName(labels.select(*at, "label")).groupBy(*at, "label").agg(F.count("*").alias("n")))
+        best = votes.groupBy(*at).agg(F.max(F.struct("n", (-F.col("label")).alias("neg"))).alias("m"))
+        nxt = cut(labels.join(best, at).select(*at, (-F.col("m.neg")).alias("new"), "label"))
+        moving = nxt.where("new <> label").select(*at)
+        n = moving.count()
+        if not n:
             break
-    dense = consecutive_labels(labels.withColumn("label", F.col("label") + 1).withColumn("chip", F.lit(0)), ("chip",), 0)
-    return labels.join(dense.select((F.col("label") - 1).alias("label"), F.col("new_label").alias("community")), "label").select(
-        "node", "community")
+        alone = alone or (fewest is not None and n >= fewest)
+        fewest = n
+        if not alone:
+            labels = nxt.select(*at, F.col("new").alias("label"))
+            continue
+        order = lambda c: F.struct(F.xxhash64(c), c)
+        waits = (both.join(moving.withColumnRenamed("node", "src"), [*by, "src"], "left_semi")
+                 .join(moving.withColumnRenamed("node", "dst"), [*by, "dst"], "left_semi")
+                 .where(order("dst") < order("src")).select(*by, F.col("src").alias("node")).distinct())
+        first = moving.join(waits, at, "left_anti").withColumn("_first", F.lit(True))
+        labels = cut(nxt.join(first, at, "left").select(*at, F.when(F.col("_first"), F.col("new")).otherwise(F.col("label")).alias("label")))
+    keys = by or ("_all",)
+    full = labels if by else labels.withColumn("_all", F.lit(0))
+    dense = consecutive_labels(full.withColumn("label", F.col("label") + 1), keys, 0)
+    return full.join(dense.select(*keys, (F.col("label") - 1).alias("label"), F.col("new_label").alias("community")),
+                     [*keys, "label"]).select(*at, "community")
 
 
 def _fit_spherical(x: np.ndarray, k: int, seed: int, rounds: int = 100):

@@ -159,7 +159,7 @@ def _minimum(h: np.ndarray) -> float:
         if len(peaks) <= 2:
             break
         f = np.convolve(np.pad(f, 1, mode="edge"), np.ones(3) / 3, mode="valid")
-    if len(peaks) < 2:
+    if len(peaks) != 2:
         return float("nan")
     return float(peaks[0] + np.argmin(f[peaks[0]:peaks[1] + 1]))
 

@@ -15,10 +15,28 @@ from .components import point_components
 from .masks import nearest_site
 from .morphology import dilate
 
-#: Cumulative offsets of the nine-step track pitch, and its period.
-PITCH = (24, 30, 33, 39, 39, 33, 30, 24, 42)
-PERIOD = sum(PITCH)
-PREFIX = tuple(sum(PITCH[:i]) for i in range(9))
+#: Steps between the nine track lines of a period.
+PITCH = (240, 300, 330, 390, 390, 330, 300, 240, 420)
+#: Steps along x and along y.
+TEMPLATE = (PITCH, PITCH)
+
+
+def track_prefix(pitch) -> tuple[int, ...]:
+    """Offsets of the track lines from the first of a period."""
+    return tuple(sum(pitch[:i]) for i in range(len(pitch)))
+
+
+def _by_axis(value, template) -> Column:
+    """``value`` of the steps along the axis of a row."""
+    return F.when(F.col("axis") == "x", value(template[0])).otherwise(value(template[1]))
+
+
+def _offsets(template) -> Column:
+    return _by_axis(lambda p: F.array(*[F.lit(v).cast("long") for v in track_prefix(p)]), template)
+
+
+def _whole(value, template) -> Column:
+    return _by_axis(lambda p: F.lit(value(p)).cast("long"), template)
 
 
 def pair_nearest(detected: DataFrame, template: DataFrame, high: float, low: float | None = None) -> DataFrame:
@@ -95,40 +113,46 @@ def mass_center(dnb: DataFrame, key: str = "chip", w: str = "mid") -> DataFrame:
                                 (F.sum(F.col("y") * F.col(w)) / total).alias("y"))
 
 
-def track_valley(marginals: DataFrame, find_range: int | None = None, center: DataFrame | None = None) -> DataFrame:
-    """Offset of the quietest nine track lines per chip and axis.
+def track_valley(marginals: DataFrame, find_range: int | None = None, center: DataFrame | None = None,
+                 template=TEMPLATE) -> DataFrame:
+    """Offset of the quietest track lines per chip and axis.
 
-    Every shift of the cumulative pitch is a candidate; the first smallest sum
-    wins, and the result sits one past that shift.
+    Every shift of the offsets in ``template`` (steps along x, steps along y) is a
+    candidate; the first smallest sum wins, and the result sits one past that shift.
     """
+    length = marginals.groupBy("chip", "axis").agg((F.max("pos") + 1).alias("_n"))
     if find_range is not None:
         mid = small(center.unpivot(["chip"], ["x", "y"], "axis", "_c"))
-        marginals = marginals.join(mid, ["chip", "axis"]).withColumn("_o", F.rint("_c").cast("long") - find_range).where(
-            (F.col("pos") >= F.col("_o")) & (F.col("pos") < F.col("_o") + 2 * find_range)).withColumn(
-            "pos", F.col("pos") - F.col("_o"))
-        base = marginals.groupBy("chip", "axis").agg(F.max("_o").alias("_o"))
+        start = F.rint("_c").cast("long") - find_range
+        length = length.join(mid, ["chip", "axis"]).select(
+            "chip", "axis", F.least(F.col("_n") - start, F.lit(2 * find_range)).alias("_n"), start.alias("_o"))
+        marginals = marginals.join(mid, ["chip", "axis"]).withColumn("pos", F.col("pos") - start).where(
+            (F.col("pos") >= 0) & (F.col("pos") < 2 * find_range))
     else:
-        base = marginals.groupBy("chip", "axis").agg(F.lit(0).cast("long").alias("_o"))
-    length = marginals.groupBy("chip", "axis").agg((F.max("pos") + 1).alias("_n"))
-    cand = length.where(F.col("_n") - PREFIX[-1] - 1 >= 1).select("chip", "axis", F.explode(F.sequence(
-        F.lit(1).cast("long"), F.col("_n") - PREFIX[-1] - 1)).alias("shift"))
-    hits = (marginals.withColumn("shift", F.explode(F.array(*[F.col("pos") - p for p in PREFIX])))
+        length = length.withColumn("_o", F.lit(0).cast("long"))
+    last = F.col("_n") - _whole(lambda p: sum(p[:-1]), template) - 1
+    cand = length.withColumn("_m", last).where("_m >= 1").select("chip", "axis", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.col("_m"))).alias("shift"))
+    hits = (marginals.withColumn("shift", F.explode(F.transform(_offsets(template), lambda p: F.col("pos") - p)))
             .groupBy("chip", "axis", "shift").agg(F.sum("total").alias("_t")))
     best = (cand.join(hits, ["chip", "axis", "shift"], "left")
             .groupBy("chip", "axis").agg(F.min(F.struct(F.coalesce("_t", F.lit(0)).alias("t"), "shift")).alias("m")))
-    return best.join(base, ["chip", "axis"]).select(
+    return best.join(length.select("chip", "axis", "_o"), ["chip", "axis"]).select(
         "chip", "axis", (F.col("m.shift") + 1 + F.col("_o")).alias("first"), F.col("m.t").cast("long").alias("total"))
 
 
-def cyclic_positions(first: DataFrame) -> DataFrame:
+def cyclic_positions(first: DataFrame, template=TEMPLATE) -> DataFrame:
     """Track positions and indices along one axis from ``(chip, axis, first, length)``."""
-    lower = F.ceil(F.col("first") / PERIOD) * 9
-    upper = F.ceil((F.col("length") - F.col("first")) / PERIOD) * 9
-    steps = first.select("chip", "axis", "first", "length", F.explode(F.sequence(-lower, upper)).alias("k"))
-    prefix = F.element_at(F.array(*[F.lit(p) for p in PREFIX]), F.pmod("k", F.lit(9)).cast("int") + 1)
-    return (steps.withColumn("pos", F.col("first") + F.floor(F.col("k") / 9) * PERIOD + prefix)
+    period, lines = _whole(sum, template), _whole(len, template)
+    lower = F.ceil(F.col("first") / period) * lines
+    upper = F.ceil((F.col("length") - F.col("first")) / period) * lines
+    steps = first.select("chip", "axis", "first", "length", period.alias("_period"), lines.alias("_lines"),
+                         F.explode(F.sequence(-lower, upper)).alias("k"))
+    idx = F.pmod(F.col("k"), F.col("_lines"))
+    offset = F.element_at(_offsets(template), (idx + 1).cast("int"))
+    return (steps.withColumn("pos", F.col("first") + F.floor(F.col("k") / F.col("_lines")) * F.col("_period") + offset)
             .where((F.col("pos") >= 0) & (F.col("pos") <= F.col("length")))
-            .select("chip", "axis", F.col("pos").cast("long").alias("pos"), F.pmod("k", F.lit(9)).cast("long").alias("idx")))
+            .select("chip", "axis", F.col("pos").cast("long").alias("pos"), idx.cast("long").alias("idx")))
 
 
 def template_lattice(positions: DataFrame) -> DataFrame:
@@ -193,7 +217,7 @@ def align_score(fixed: DataFrame, moving: DataFrame, candidates, method: str = "
                 shape: tuple[int, int] | None = None) -> DataFrame:
     """Score every ``(rot, dx, dy)`` candidate of a moving image in one join.
 
-    ``product`` sums a*b over the overlap (larger is better); ``absdiff`` sums
+    ``product`` sums a*b over the overlap (larger is better, 0 without overlap); ``absdiff`` sums
     \\|a - dilate9(b)\\| over the joint frame (smaller is better), using
     \\|a - b\\| = a + b + (\\|a - b\\| - a - b) so only matching pixels are joined.
     """
@@ -208,7 +232,10 @@ def align_score(fixed: DataFrame, moving: DataFrame, candidates, method: str = "
     both = m.join(fixed.select("img", "x", "y", F.col("v").alias("a")), ["img", "x", "y"])
     keys = ["img", "c"]
     if method == "product":
-        score = both.groupBy(*keys).agg(F.sum(F.col("a") * F.col("b")).cast("long").alias("score"))
+        images = fixed.select("img").distinct().join(moving.select("img").distinct(), "img")
+        hit = both.groupBy(*keys).agg(F.sum(F.col("a") * F.col("b")).alias("_s"))
+        score = (images.withColumn("c", F.explode(_candidates(candidates))).join(hit, keys, "left")
+                 .withColumn("score", F.coalesce("_s", F.lit(0)).cast("long")))
     else:
         sums = (fixed.groupBy("img").agg(F.sum("v").alias("_a"))
                 .join(moving.groupBy("img").agg(F.sum("v").alias("_b")), "img")
@@ -411,34 +438,37 @@ def rotate_search(points: DataFrame, keys: tuple[str, ...], search: int = 45, re
 
 
 def scale_search(points: DataFrame, keys: tuple[str, ...], scales: tuple[float, ...], n: int = 3,
-                 rate: float = 1.2) -> DataFrame:
+                 rate: float = 1.2, template=TEMPLATE) -> DataFrame:
     """Template scale per group, by vote of the central points.
 
     The template is a lattice, so the distance to its nearest point splits into
-    one term per axis, each a modular expression; all scales and all 81 start
+    one term per axis, each a modular expression; all scales and all start
     indices are scored in one aggregation.  A candidate is valid while its
     lattice is not much denser than the points.
     """
     center = center_points(points, n, keys).select(*keys, "rank", F.col("x").alias("cx"), F.col("y").alias("cy"))
     box = small(points.groupBy(*keys).agg(F.count("*").alias("_n"), (F.max("x") - F.min("x")).alias("_w"),
                                           (F.max("y") - F.min("y")).alias("_h")))
-    idx = F.array(*[F.lit(i) for i in range(9)])
-    pre = F.array(*[F.lit(float(p)) for p in PREFIX])
 
-    def off(u: Column) -> Column:
+    def off(u: Column, pitch) -> Column:
+        idx = F.array(*[F.lit(i) for i in range(len(pitch))])
+        pre = F.array(*[F.lit(float(p)) for p in track_prefix(pitch)])
+        period = float(sum(pitch))
+
         def nearest(i):
             start = F.element_at(pre, i + 1)
-            gap = F.transform(pre, lambda q: F.abs(F.pmod(u - (q - start) + PERIOD / 2, F.lit(float(PERIOD))) - PERIOD / 2))
+            gap = F.transform(pre, lambda q: F.abs(F.pmod(u - (q - start) + period / 2, F.lit(period)) - period / 2))
             return F.array_min(gap)
         return F.transform(idx, nearest)
 
     s = F.col("scale")
     tried = (points.join(center, [*keys]).withColumn("scale", F.explode(F.array(*[F.lit(v) for v in scales])))
-             .withColumn("ox", off((F.col("x") - F.col("cx")) / s)).withColumn("oy", off((F.col("y") - F.col("cy")) / s)))
+             .withColumn("ox", off((F.col("x") - F.col("cx")) / s, template[0])).withColumn("oy", off((F.col("y") - F.col("cy")) / s, template[1])))
     cell = (tried.select(*keys, "rank", "scale", "oy", F.posexplode("ox").alias("ix", "dx"))
             .select(*keys, "rank", "scale", "ix", "dx", F.posexplode("oy").alias("iy", "dy")))
     cost = cell.groupBy(*keys, "rank", "scale", "ix", "iy").agg(F.sum(F.hypot("dx", "dy") * s).alias("cost"))
-    lattice = (F.floor(F.col("_w") / (s * PERIOD / 9)) + 1) * (F.floor(F.col("_h") / (s * PERIOD / 9)) + 1)
+    step_x, step_y = (sum(p) / len(p) for p in template)
+    lattice = (F.floor(F.col("_w") / (s * step_x)) + 1) * (F.floor(F.col("_h") / (s * step_y)) + 1)
     valid = (lattice / F.col("_n") <= rate) | (lattice - F.col("_n") <= 10)
     best = (cost.join(box, [*keys]).where(valid).groupBy(*keys, "rank")
             .agg(F.min(F.struct(F.round("cost", 6).alias("cost"), "scale", "ix", "iy")).alias("b")))

@@ -43,7 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named
     if not sc.getCheckpointDir():
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tissueframe-"))
     return sc.getCheckpointDir()
