@@ -239,7 +239,7 @@ def redundant_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id"
     split = F.split(F.col("words").cast("string"), " ")
     windows = (texts.where("hot").withColumn("i", F.explode(F.sequence(F.lit(0), F.size(split) - min_words)))
                .select("doc", "at", "i", "anchor", F.sha2(F.array_join(F.slice(split, F.col("i") + 1, min_words), " "), 256).alias("w")))
-    earliest = windows.groupBy("anchor", "w").agg(F.min(F.struct("doc", "at")).alias("first"))
+    earliest = cut(windows.groupBy("anchor", "w").agg(F.min(F.struct("doc", "at")).alias("first")))  # apart, as above
     late = windows.join(earliest.hint("merge"), ["anchor", "w"]).where((F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
     return (_spans(copies, start, start + n + (min_words - 1)).unionByName(matched)
             .unionByName(_spans(late, start + F.col("i"), start + F.col("i") + min_words)))
