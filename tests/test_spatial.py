@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tissueframe.functions import geometry
-from tissueframe.operators import borders, cells, cluster, components, images, masks, ranking, registration, stitching
+from tissueframe.operators import borders, cells, cluster, components, images, masks, morphology, ranking, registration, stitching
 
 RNG = np.random.default_rng(5)
 
@@ -40,6 +40,21 @@ def test_nms_equals_sequential_greedy(spark):
     assert ranking.rotated_nms(spark.createDataFrame(det), max_keep=5).count() == 5
 
 
+def test_nms_with_one_huge_box(spark):
+    rows = [(0, i, 20 * i, 0, 8, 8, 50 - i, 0) for i in range(30)] + [(0, 99, 2000, 0, 700, 700, 1, 0), (0, 100, 1500, 0, 8, 8, 0, 0)]
+    det = spark.createDataFrame(rows, "img long, id long, cx long, cy long, w long, h long, score long, cls long")
+    assert [r["id"] for r in ranking.rotated_nms(det).orderBy("rank").collect()] == [*range(30), 99]
+
+
+def test_semantic_pixels_keep_the_frame_edge(spark):
+    grid = np.array([[1, 1, 0, 2], [1, 1, 2, 2], [0, 3, 2, 2], [3, 3, 0, 2]])
+    px = spark.createDataFrame([(0, int(v), y, x) for (y, x), v in np.ndenumerate(grid) if v], "chip long, label long, y long, x long")
+    frame = spark.createDataFrame([(0, 4, 4)], "chip long, h long, w long")
+    want = {(y, x) for (y, x), v in np.ndenumerate(grid) if v and (
+        y == 3 or x == 3 or (grid[y + 1, x + 1] == v and grid[y + 1, x] == grid[y, x + 1]))}
+    assert {(r["y"], r["x"]) for r in morphology.instance_to_semantic(px, frame).collect()} == want
+
+
 def test_nearest_site_far_away(spark):
     sites = [(0, 0, 0, 1), (0, 500, 40, 2), (1, 9000, 9000, 3)]
     points = [(0, i, int(x), int(y)) for i, (x, y) in enumerate(RNG.integers(-400, 900, (60, 2)))] + [(1, 99, 5, 5), (2, 100, 1, 1)]

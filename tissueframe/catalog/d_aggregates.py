@@ -486,9 +486,10 @@ def record(t):
 
 
 @query("d39_image_report", """
-with s as (select run, tech layer, slot, round(cast(w as double)*0.0005,3) wm, round(cast(h as double)*0.0005,3) hm, case when reuse>=0 then reuse end ru from slots)
+with s as (select run, tech layer, slot, round(cast(w as double)*0.0005,3) wm, round(cast(h as double)*0.0005,3) hm, case when reuse>=0 then reuse end ru, count(*) over (partition by run) ni from slots)
 select run, layer, name, value from (
 select run, layer, 'width_mm' as name, cast(wm as varchar) as value from s union all select run, layer, 'height_mm', cast(hm as varchar) from s
+union all select run, layer, 'images', cast(ni as varchar) from s
 union all select run, layer, 'reuse', cast(ru as varchar) from s union all select run, layer, 'slot', cast(slot as varchar) from s)
 where value is not null""")
 def _(t):

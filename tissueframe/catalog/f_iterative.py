@@ -80,12 +80,14 @@ def _(t):
 
 
 @query("f06_instance_to_semantic", """
-with px as (select chip, label, y, unnest(generate_series(x0,x1)) x from boundary)
-select p.chip, p.y, p.x, 1 v from px p join px d on d.chip=p.chip and d.y=p.y+1 and d.x=p.x+1 and d.label=p.label
+with px as (select chip, label, y, unnest(generate_series(x0,x1)) x from boundary),
+f as (select chip, max(y)+1 h, max(x1)+1 w from boundary group by 1)
+select p.chip, p.y, p.x, 1 v from px p join f on f.chip=p.chip left join px d on d.chip=p.chip and d.y=p.y+1 and d.x=p.x+1
 left join px s on s.chip=p.chip and s.y=p.y+1 and s.x=p.x left join px e on e.chip=p.chip and e.y=p.y and e.x=p.x+1
-where coalesce(s.label,0)=coalesce(e.label,0)""")
+where p.y=h-1 or p.x=w-1 or (coalesce(d.label,0)=p.label and coalesce(s.label,0)=coalesce(e.label,0))""")
 def _(t):
-    return morphology.instance_to_semantic(islands.pixels_from_runs(t.boundary))
+    frame = t.boundary.groupBy("chip").agg((F.max("y") + 1).alias("h"), (F.max("x1") + 1).alias("w"))
+    return morphology.instance_to_semantic(islands.pixels_from_runs(t.boundary), frame)
 
 
 @query("f07_fill_holes")

@@ -76,6 +76,7 @@ def double_cell_filter(expression: DataFrame, nuclei: DataFrame, cells_per_regio
 def gene_registration(dnb: DataFrame, image: DataFrame, candidates, shape: tuple[int, int], box: int,
                       template=registration.TEMPLATE) -> dict[str, DataFrame]:
     """Track template of the counts, chip box, and the best turn and shift of an image."""
+    dnb = cut(dnb)
     marginals = cut(registration.axis_marginals(dnb))
     first = registration.track_valley(marginals, template=template)
     length = marginals.groupBy("chip", "axis").agg((F.max("pos") + 1).alias("length"))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..session import cut
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The two pairs that pad a border to its fixed length.
 PAD_ZERO, PAD_MAX = 0, 32767
@@ -36,29 +34,28 @@ def pack_borders(vertices: DataFrame, length: int = 32, pad: Column | None = Non
     return packed.withColumn("border", F.concat("border", padding))
 
 
-def simplify_borders(vertices: DataFrame, n: int, cut_every: int = 6) -> DataFrame:
+def _thinner(ring: Column) -> Column:
+    """A ring of ``(dx, dy)`` without the vertex that spans the smallest triangle, the first of equal ones."""
+    size = F.size(ring)
+
+    def area(p: Column, i: Column) -> Column:
+        a, b = F.get(ring, F.pmod(i - 1, size)), F.get(ring, F.pmod(i + 1, size))
+        return F.struct(F.abs((p["dx"] - a["dx"]) * (b["dy"] - a["dy"]) - (b["dx"] - a["dx"]) * (p["dy"] - a["dy"])).alias("a"),
+                        i.alias("i"))
+
+    least = F.array(F.array_min(F.transform(ring, area))["i"])  # a variable of the function below, so computed once
+    return F.element_at(F.transform(least, lambda i: F.concat(F.slice(ring, 1, i), F.slice(ring, i + 2, size))), 1)
+
+
+def simplify_borders(vertices: DataFrame, n: int) -> DataFrame:
     """Drop the vertex spanning the smallest triangle until each ring has ``n`` vertices.
 
-    All cells step together.  The rows stay partitioned by cell, so the rounds
-    between two cuts are windows over the same layout without another shuffle.
+    A cell's ring is one array that is thinned as often as it needs, so a long
+    ring costs nothing to the others and there is one shuffle.
     """
-    keys = ("chip", "cell_id")
-    ring = Window.partitionBy(*keys).orderBy("idx")
-    whole = Window.partitionBy(*keys)
-    pick = Window.partitionBy(*keys).orderBy("_a", "idx")
-    state = cut(vertices.select(*keys, "idx", "dx", "dy"))
-    top = state.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    for i in range(max(0, top - n)):
-        def near(c, step):
-            side = (F.lag if step < 0 else F.lead)(c).over(ring)
-            wrap = (F.last_value(c).over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) if step < 0
-                    else F.first_value(c).over(ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-            return F.coalesce(side, wrap)
-        ax, ay, bx, by = near("dx", -1), near("dy", -1), near("dx", 1), near("dy", 1)
-        tri = F.abs((F.col("dx") - ax) * (by - ay) - (bx - ax) * (F.col("dy") - ay)) / 2
-        state = (state.withColumn("_n", F.count("*").over(whole)).withColumn("_a", tri)
-                 .withColumn("_rk", F.row_number().over(pick))
-                 .where((F.col("_n") <= n) | (F.col("_rk") > 1)).drop("_n", "_a", "_rk"))
-        if (i + 1) % cut_every == 0:
-            state = cut(state)
-    return state.withColumn("idx", (F.row_number().over(ring) - 1).cast("long"))
+    rings = vertices.groupBy("chip", "cell_id").agg(F.sort_array(F.collect_list(F.struct("idx", "dx", "dy"))).alias("ring"))
+    ring = F.transform("ring", lambda p: F.struct(p["dx"].alias("dx"), p["dy"].alias("dy")))
+    spare = F.greatest(F.size("ring") - n, F.lit(0))
+    thin = F.aggregate(F.array_repeat(F.lit(0), spare), ring, lambda r, _: _thinner(r))
+    return (rings.select("chip", "cell_id", F.posexplode(thin).alias("idx", "p"))
+            .select("chip", "cell_id", F.col("idx").cast("long").alias("idx"), "p.dx", "p.dy"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.buckets import bucket, near_join, points_in_runs
 from ..plans.islands import area
-from ..session import small
+from ..session import cut, small
 from .masks import centroids
 
 
@@ -100,7 +100,7 @@ def cell_to_tissue_ratio(assigned: DataFrame, tissue_expr: DataFrame) -> DataFra
 
 def five_number(obs: DataFrame, cols: tuple[str, ...]) -> DataFrame:
     """Minimum, quartiles, maximum (rounded to 3) and the rows left for plotting."""
-    long = obs.unpivot(["chip"], [F.col(c).cast("double").alias(c) for c in cols], "name", "value")
+    long = cut(obs).unpivot(["chip"], [F.col(c).cast("double").alias(c) for c in cols], "name", "value")
     quart = long.groupBy("chip", "name").agg(
         F.min("value").alias("min"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
         F.max("value").alias("max"))
@@ -164,6 +164,7 @@ def mad_outliers(obs: DataFrame, keep_border: bool = False, cells_per_region: in
     Regions are open intervals of an n x n grid; cells on a grid line belong to
     none and leave the result unless ``keep_border``.
     """
+    obs = cut(obs)
     grid = small(obs.groupBy("chip").agg(
         (F.floor(F.count("*") / cells_per_region) + 1).alias("_n"), F.max("cx").alias("_mx"), F.max("cy").alias("_my")))
     def region(c, m):
@@ -224,7 +225,7 @@ def highly_variable(cell_gene: DataFrame, min_counts: int = 100, min_genes: int
     cells = cell_gene.groupBy("chip", "cell_id").agg(
         F.sum("mid").cast("long").alias("total"), F.count("*").alias("genes"),
         F.coalesce(F.sum(F.when(mt, F.col("mid"))), F.lit(0)).alias("mt"))
-    good = cells.where((F.col("total") >= min_counts) & F.col("genes").between(min_genes, max_genes)
+    good = cut(cells).where((F.col("total") >= min_counts) & F.col("genes").between(min_genes, max_genes)
                        & (F.col("mt") / F.col("total") < max_mt))
     scale = small(good.groupBy("chip").agg(F.percentile("total", F.lit(0.5)).alias("_med"), F.count("*").alias("_n")))
     norm = (cell_gene.join(good.select("chip", "cell_id", "total"), ["chip", "cell_id"]).join(scale, "chip")

@@ -190,7 +190,7 @@ def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float =
     """Adopt background points that fit a cell's own mixture over (x, y, count).
 
     Candidates are scored at the largest count of their position; below ``thr``
-    in negative log-likelihood they join the cell.  A point goes to the smallest
+    in negative log-likelihood they join the cell.  Own points outside the box of half-width ``r`` go.  A point goes to the smallest
     cell id that claims it.  Copies are collapsed first, so a cell receives at
     most the distinct rows of its box.
     """
@@ -198,7 +198,9 @@ def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float =
 
     keys = ("chip", "gene", "x", "y", "mid")
     flat = cut(assigned.select(*keys, "cell_id").distinct())
-    own = flat.where("cell_id > 0")
+    box = cells.select("chip", "cell_id", "cx", "cy")
+    own = flat.join(box, ["chip", "cell_id"]).where((F.col("cell_id") > 0) & (F.abs(F.col("x") - F.col("cx")) < r)
+                                                    & (F.abs(F.col("y") - F.col("cy")) < r)).drop("cx", "cy")
     cand = background_candidates(flat, cells, r)
     peak = cand.groupBy("chip", "cell_id", "x", "y").agg(F.max("mid").alias("top"))
     cand = cand.join(peak, ["chip", "cell_id", "x", "y"])

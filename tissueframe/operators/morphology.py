@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans.buckets import overlap_runs
 from ..plans.islands import area, merge_runs, subtract
 from ..plans.tiles import TILE, map_label_tiles
-from ..session import cut
+from ..session import cut, small
 from .components import connected_components
 
 
@@ -143,11 +143,13 @@ def distance_band(runs: DataFrame, r: int) -> DataFrame:
             .groupBy("chip", "y", "x").agg(F.min("d2").alias("d2")).where("d2 > 0"))
 
 
-def instance_to_semantic(pixels: DataFrame) -> DataFrame:
+def instance_to_semantic(pixels: DataFrame, frame: DataFrame | None = None) -> DataFrame:
     """Binarise instance pixels, cutting where diagonal neighbours disagree.
 
     A pixel survives when its lower-right neighbour has its label and its lower
-    and right neighbours agree with each other.
+    and right neighbours agree with each other.  In the last row and column of
+    ``frame(chip, h, w)`` there is nothing to compare with and all pixels
+    survive; without a frame the plane goes on as background.
     """
     at = lambda dy, dx, role: F.struct(F.lit(role).alias("role"), (F.col("y") - dy).alias("y"),
                                        (F.col("x") - dx).alias("x"))
@@ -156,7 +158,11 @@ def instance_to_semantic(pixels: DataFrame) -> DataFrame:
     pick = lambda role: F.max(F.when(F.col("t.role") == role, F.col("label"))).alias(role)
     near = sent.groupBy("chip", F.col("t.y").alias("y"), F.col("t.x").alias("x")).agg(*map(pick, "cdse"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return (near.where((F.col("c") > 0) & (zero("d") == F.col("c")) & (zero("s") == zero("e")))
+    agree = (zero("d") == F.col("c")) & (zero("s") == zero("e"))
+    if frame is not None:
+        near = near.join(small(frame.select("chip", "h", "w")), "chip")
+        agree = agree | (F.col("y") == F.col("h") - 1) | (F.col("x") == F.col("w") - 1)
+    return (near.where((F.col("c") > 0) & agree)
             .select("chip", "y", "x", F.lit(1).alias("v")))
 
 

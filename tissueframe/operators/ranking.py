@@ -33,34 +33,41 @@ def rotated_nms(det: DataFrame, max_keep: int = 1000, max_det: int = 1500, conf:
                 class_gap: int = 4096) -> DataFrame:
     """Greedy suppression by score: a kept box removes boxes whose centre is within min(w, h).
 
-    Rounds over buckets no smaller than any reach: the best open box of a bucket
-    is kept when none of the eight buckets around holds a better one, and kept
-    boxes then suppress their surroundings.  A box meets at most nine kept boxes
-    per round, so piles of detections never form pairs; the outcome equals the
-    sequential one, ties by id.
+    Boxes are in size classes, with buckets no smaller than any reach of the
+    class.  In a round the best open box of a bucket is kept when no class holds
+    a better one in the nine buckets around it; kept boxes then suppress their
+    surroundings.  A box meets at most nine kept boxes per class and round, so
+    piles of detections never form pairs, and a huge box holds up only the boxes
+    near it until it is decided.  The outcome equals the sequential one, ties by id.
     """
     if conf is not None:
         det = det.where(F.col("score") > conf)
-    shifted = det.withColumns({"x": F.col("cx") + F.col("cls") * class_gap,
-                               "y": F.col("cy") + F.col("cls") * class_gap, "reach": F.least("w", "h")})
-    edge = int(shifted.agg(F.max("reach")).first()[0] or 1) + 1
+    reach = F.least("w", "h")
     rank = F.struct("score", (-F.col("id")).alias("nid"))
-    open_boxes = cut(shifted.select("img", "id", "x", "y", "reach", "score", rank.alias("rk"),
-                                    bucket("x", edge).alias("bx"), bucket("y", edge).alias("by")))
-    step = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+    open_boxes = cut(det.select("img", "id", (F.col("cx") + F.col("cls") * class_gap).alias("x"),
+                                (F.col("cy") + F.col("cls") * class_gap).alias("y"), reach.alias("reach"), rank.alias("rk"),
+                                F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(reach, F.lit(1)))) + 1).cast("long").alias("edge")))
+    edges = small(open_boxes.select("img", "edge").distinct())
+    at = ["img", "edge", "bx", "by"]
+
+    def placed(boxes: DataFrame) -> DataFrame:
+        return boxes.withColumns({"bx": F.floor(F.col("x") / F.col("edge")), "by": F.floor(F.col("y") / F.col("edge"))})
+
+    def around(boxes: DataFrame) -> DataFrame:
+        step = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+        return (boxes.withColumn("bx", F.explode(F.transform(step, lambda d: F.col("bx") + d)))
+                .withColumn("by", F.explode(F.transform(step, lambda d: F.col("by") + d))))
+
     kept = None
     while not open_boxes.isEmpty():
-        top = cut(open_boxes.groupBy("img", "bx", "by").agg(F.max(F.struct("rk", "id", "x", "y", "reach")).alias("t"))
-                  .select("img", "bx", "by", "t.*"))
-        spread = (top.withColumn("bx", F.explode(F.transform(step, lambda d: F.col("bx") + d)))
-                  .withColumn("by", F.explode(F.transform(step, lambda d: F.col("by") + d))))
-        best = spread.groupBy("img", "bx", "by").agg(F.max("rk").alias("_hi"))
-        won = cut(top.join(best, ["img", "bx", "by"]).where(F.col("rk") == F.col("_hi")).drop("_hi"))
+        top = cut(placed(open_boxes).groupBy(*at).agg(F.max(F.struct("rk", "id", "x", "y", "reach")).alias("t")).select(*at, "t.*"))
+        best = around(top).groupBy(*at).agg(F.max("rk").alias("_hi"))
+        beaten = (placed(top.select("img", "id", "x", "y", "rk").join(edges, "img")).join(best, at)
+                  .where(F.col("rk") < F.col("_hi")).select("img", "id").distinct())
+        won = cut(top.join(beaten, ["img", "id"], "left_anti"))
         kept = won.select("img", "id") if kept is None else kept.unionByName(won.select("img", "id"))
-        near = (won.withColumn("bx", F.explode(F.transform(step, lambda d: F.col("bx") + d)))
-                .withColumn("by", F.explode(F.transform(step, lambda d: F.col("by") + d)))
-                .select("img", "bx", "by", F.col("x").alias("s_x"), F.col("y").alias("s_y"), F.col("reach").alias("s_r")))
-        gone = (open_boxes.join(near, ["img", "bx", "by"])
+        near = around(won).select(*at, F.col("x").alias("s_x"), F.col("y").alias("s_y"), F.col("reach").alias("s_r"))
+        gone = (placed(open_boxes.drop("edge").join(edges, "img")).join(near, at)
                 .where(square_distance() <= F.col("s_r") * F.col("s_r")).select("img", "id").distinct())
         open_boxes = cut(open_boxes.join(gone, ["img", "id"], "left_anti"))
     result = det if kept is None else det.join(kept, ["img", "id"], "left_semi")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def validate_slots(slots: DataFrame, supported: DataFrame) -> DataFrame:
@@ -62,9 +62,10 @@ def best_layer(record_fields: DataFrame) -> DataFrame:
 
 
 def image_report(record: DataFrame, resolution: float = 0.0005) -> DataFrame:
-    """Key-value rows of a record ``(run, layer, w, h, ...)`` with sizes in millimetres."""
+    """Key-value rows of a record ``(run, layer, w, h, ...)``: sizes in millimetres and the number of images of the run."""
     rest = [c for c in record.columns if c not in ("run", "layer", "w", "h")]
     sized = record.withColumns({"width_mm": F.round(F.col("w") * resolution, 3),
-                                "height_mm": F.round(F.col("h") * resolution, 3)})
-    text = [F.col(c).cast("string").alias(c) for c in ("width_mm", "height_mm", *rest)]
+                                "height_mm": F.round(F.col("h") * resolution, 3),
+                                "images": F.count("*").over(Window.partitionBy("run"))})
+    text = [F.col(c).cast("string").alias(c) for c in ("width_mm", "height_mm", "images", *rest)]
     return sized.unpivot(["run", "layer"], text, "name", "value").where("value is not null")
