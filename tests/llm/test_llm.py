@@ -314,3 +314,57 @@ def test_pipeline(spark, docs, none, tmp_path):
     assert got and max(r["offset"] + r["length"] for r in got) <= packing.CAPACITY
     none.select(data.columns).write.parquet(f"{tmp_path}/e/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/e").count() == 0
+
+
+def fives(text):
+    w = (text or "").lower().split()
+    return {" ".join(w[i: i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def same_root(texts, similar=0.8):
+    """Component of each text under links of Jaccard similarity."""
+    sets, root = [fives(t) for t in texts], list(range(len(texts)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if root[a] != root[b] and len(sets[a] & sets[b]) >= similar * len(sets[a] | sets[b]):
+                root = [root[b] if r == root[a] else r for r in root]
+    return root
+
+
+def test_near_copies_equal_brute_force_jaccard(spark, docs, none):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 7))) for _ in range(300)]
+    texts = []
+    for n in (60, 90, 150, 400):
+        for _ in range(6):
+            base = rng.choices(vocabulary, k=n)
+            texts.append(" ".join(base))
+            for changes in (1, 1, 2, 2, 3, 6):  # each on its own, or on top of the one before
+                base = list(texts[-1 if changes % 2 else -2].lower().split())
+                for _ in range(max(1, changes * n // 150)):
+                    base[rng.randrange(len(base))] = "changed" + str(rng.randrange(99))
+                texts.append("\n ".join([" ".join(base[:9]).upper(), " ".join(base[9:])]))
+    texts += ["one two", "ONE  two", "one two three", "", None, " "]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    data = [(i, texts[k], "en", "s", 0) for i, k in enumerate(order)] + [(3, texts[order[3]], "en", "s", 0)]
+    root = same_root([r[1] for r in data])
+    fps = [fingerprint(r[1]) for r in data]
+    beyond = [1 for a in range(len(data)) for b in range(a) if root[a] == root[b] and (fps[a] ^ fps[b]).bit_count() > 3]
+    assert len(beyond) > 50 and 30 < len(set(root)) < len(texts) - 20
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_copies(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({min(i for i, x in enumerate(root) if x == c) for c in root})
+    assert corpus_pipeline.near_copies(spark, none, "").count() == 0
+
+
+def test_near_copies_link_members_that_are_far_from_the_one_compared_first(spark):
+    from pyspark.sql import functions as F
+    from tissueframe.llm import minhash
+
+    sets = {i: list(range(i * 8, i * 8 + 100)) for i in range(12)}  # only neighbours are similar
+    table = spark.createDataFrame([(i, s) for i, s in sets.items()], "node long, shingles array<long>")
+    nodes = table.select("node", F.lit(100).cast("long").alias("n"), F.array(F.lit(7).cast("long")).alias("keys"))
+    found = [tuple(r) for r in minhash.links(nodes, lambda wanted: table.join(wanted, "node")).collect()]
+    assert all(abs(u - v) == 1 for u, v in found) and len(set(found)) == 11
