@@ -368,3 +368,17 @@ def test_near_copies_link_members_that_are_far_from_the_one_compared_first(spark
     nodes = table.select("node", F.lit(100).cast("long").alias("n"), F.array(F.lit(7).cast("long")).alias("keys"))
     found = [tuple(r) for r in minhash.links(nodes, lambda wanted: table.join(wanted, "node")).collect()]
     assert all(abs(u - v) == 1 for u, v in found) and len(set(found)) == 11
+
+
+def test_sequences_can_be_rebuilt_from_the_result(spark, docs):
+    twice = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    got = corpus_pipeline.sequences(spark, twice.unionByName(twice), "").collect()
+    by = {}
+    for r in got:
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["ids"]))
+    built = [[i for _, ids in sorted(parts) for i in ids] for parts in by.values()]
+    assert all(offset == sum(len(x) for o, x in parts if o < offset) for parts in by.values() for offset, _ in parts)
+    tokenizer = packing._encoder(packing.tokenizer_path())._tokenizer
+    want = sum(len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows())
+    assert max(map(len, built)) <= packing.CAPACITY and sum(map(len, built)) == 2 * want

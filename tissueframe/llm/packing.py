@@ -313,6 +313,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     return tokens, assign(tokens.drop("ids"), capacity)
 
 
+def with_ids(tokens: DataFrame, placed: DataFrame) -> DataFrame:
+    """``placed`` with the ids of each piece; its rows by offset are the sequences, and no row is grouped or sorted."""
+    return placed.join(tokens.select("key", "ids"), "key")
+
+
 def sequences(tokens: DataFrame, placed: DataFrame) -> DataFrame:
     """``(sequence_id, ids)``: the packed sequences; a sequence holds at most ``capacity`` ids."""
     parts = tokens.select("key", "ids").join(placed.select("key", "sequence_id", "offset"), "key")
