@@ -370,6 +370,26 @@ def test_near_copies_link_members_that_are_far_from_the_one_compared_first(spark
     assert all(abs(u - v) == 1 for u, v in found) and len(set(found)) == 11
 
 
+def test_quality_verdict_on_texts_without_common_words(spark):
+    rng = random.Random(8)
+    tongues = {}
+    for lang, letters in (("aa", "abcdefgh"), ("bb", "ijklmnop")):
+        made = list(dict.fromkeys("".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(3000)))
+        tongues[lang] = (made, [1 / (i + 2) if i < 100 else 0.0029 for i in range(len(made))])  # 100 words make a third of the text
+    say = lambda lang, n: " ".join(rng.choices(*tongues[lang], k=n))
+    junk = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(n))
+    clean = [(1000 * k + i, say(lang, n), lang) for k, (lang, n) in enumerate(
+        (lang, n) for lang in tongues for n in (100, 130, 200, 500, 3000)) for i in range(40)]
+    foreign = ["".join(rng.choices("abcdefghijklmnop", k=5)) for _ in range(2000)]
+    bad = [(50_000 + i, junk(n), None) for i, n in enumerate([100, 120, 200, 500, 2000] * 4)]
+    bad += [(60_000 + i, " ".join(rng.choices(foreign, k=n)), None) for i, n in enumerate([200, 2000] * 4)]
+    bad += [(70_000 + i, " ".join([junk(int(0.95 * n)), say("aa", n // 20)]), None) for i, n in enumerate([300, 1000] * 4)]
+    frame = spark.createDataFrame(clean + bad, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality.quality(frame).where("kept").collect()}
+    assert not kept & {r[0] for r in bad}
+    assert len(kept) >= 0.99 * len(clean)
+
+
 def test_sequences_can_be_rebuilt_from_the_result(spark, docs):
     twice = docs.select("doc_id", "text", "lang", "source", "n_chars")
     got = corpus_pipeline.sequences(spark, twice.unionByName(twice), "").collect()

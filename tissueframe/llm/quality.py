@@ -5,6 +5,12 @@ as one bin) over all texts of the language.  A text is kept if it passes the cou
 Jensen-Shannon distances (base 2, 0 to 1); a distance is judged only above its minimum length, as short texts have
 scattered histograms.
 
+The largest word distance follows from the language's own reference.  A text without any of its common words has a
+distance that depends on their share alone (about 0.19 at a third of all words) and must fail, so the limit is the share
+``LOWEST`` of that distance.  In short texts of the language chance alone makes larger distances: there the limit is
+``SPARE`` times what 99 of 100 samples of the reference of that length stay within, but at most the share ``HIGHEST``.
+``MAX_WORD`` is the largest limit of all.
+
 Counts of words are summed inside tasks first, so a language with a third of all words is one row for each word and
 task; only the references, of bounded size for each language, come to the driver.
 
@@ -26,6 +32,10 @@ from .textops import Ranges, Words, mix, packs, text_bytes
 COMMON, MIN_WORDS, REPEATED = 100, 50, 50
 #: Characters and words from which a distance is judged, and the largest distance that is kept.
 CLASS_GUARD, WORD_GUARD, MAX_CLASS, MAX_WORD = 200, 100, 0.08, 0.25
+#: Shares of the distance of a text without common words, and room above the samples of a length.
+LOWEST, HIGHEST, SPARE = 0.8, 0.9, 1.15
+#: Lengths and number of samples; a longer text has the limit of the last length.
+_LENGTHS, _SAMPLES = np.array([100, 125, 160, 200, 250, 320, 400, 640, 1000]), 400
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 _CLASSES = 8
 #: Class of a byte: 0 lower case, 1 upper case, 2 digit, 3 white space, 4 punctuation, 5 symbol, 6 other letter, 7 none.
@@ -142,13 +152,25 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.where(total[:, 0] > 0, np.clip((part(p) + part(q)) / 2, 0, 1), 0)
 
 
+def word_limits(reference: np.ndarray) -> np.ndarray:
+    """Largest word distance that is kept at each of ``_LENGTHS``; the last bin of ``reference`` is that of other words."""
+    used = np.append(reference[:-1][reference[:-1] > 0], reference[-1])
+    if not used.sum():
+        return np.full(len(_LENGTHS), MAX_WORD)
+    without = divergence(np.eye(len(used))[-1:], used)[0]
+    rng = np.random.default_rng(len(used))
+    chance = [np.quantile(divergence(rng.multinomial(n, used / used.sum(), _SAMPLES).astype(float), used), 0.99) for n in _LENGTHS]
+    return np.minimum(MAX_WORD, np.clip(SPARE * np.array(chance), LOWEST * without, HIGHEST * without))
+
+
 def judge(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, the distances to the nearest language, and the verdict for each row of ``docs``."""
     vocabulary = np.array(sorted({w for r in refs for w in r["words"]}), np.int64)
     bins = []
     for r in refs:
         known = np.array([r["words"].get(w, 0) for w in vocabulary.tolist()], float)
-        bins.append((r["classes"], np.append(known, max(0.0, r["n"] - known.sum()))))
+        own = np.append(known, max(0.0, r["n"] - known.sum()))
+        bins.append((r["classes"], own, word_limits(own)))
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance",
              "word_distance"]
 
@@ -169,10 +191,10 @@ def judge(docs: DataFrame, refs: list[dict], id_col: str = "doc_id", text_col: s
                 classes = _classes(words)
                 judged_class, judged_word = base["word_chars"] >= CLASS_GUARD, n >= WORD_GUARD
                 best = np.full((3, len(n)), np.inf) if bins else np.zeros((3, len(n)))
-                for ref_classes, ref_words in bins:
+                for ref_classes, ref_words, limits in bins:
                     c = np.where(judged_class, divergence(classes, ref_classes), 0)
                     w = np.where(judged_word, divergence(table, ref_words), 0)
-                    worst = np.maximum(c / MAX_CLASS, w / MAX_WORD)
+                    worst = np.maximum(c / MAX_CLASS, w / np.interp(n, _LENGTHS, limits))
                     nearer = worst < best[0]
                     best = np.where(nearer, np.stack([worst, c, w]), best)
                 kept = ~failed & (best[0] <= 1)
