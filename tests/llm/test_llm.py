@@ -390,6 +390,26 @@ def test_quality_verdict_on_texts_without_common_words(spark):
     assert len(kept) >= 0.99 * len(clean)
 
 
+def test_license_scan_finds_wrapped_notices(spark):
+    import textwrap
+
+    rng = random.Random(6)
+    say = lambda n: "\n".join(" ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(9)) for _ in range(n))
+    rows, want = [], {}
+    for i, (name, width, mark) in enumerate((n, w, m) for n in ("Apache-2.0-header", "GPL-3.0-header", "MIT-permission", "MIT")
+                                            for w, m in ((70, "# "), (40, " * "), (18, ""))):
+        lines = [mark + x for x in textwrap.wrap(license_scan.TEMPLATES[name], width, break_long_words=False, break_on_hyphens=False)]
+        lines.insert(1, mark.rstrip())  # a line without a word
+        rows.append((i, "\n".join([say(60), *lines, say(60)])))
+        want[i] = (name, 61)
+    rows += [(100, say(50)), (101, "\n".join([say(20), "Released under the MIT License.", say(20)])),
+             (102, "\n".join([say(20), "Permission is hereby granted, free of charge, to", say(20), "any person obtaining a copy"]))]
+    want |= {100: (None, None), 101: ("MIT", 21), 102: (None, None)}
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["license"], r["line"]) for r in got} == want
+    assert all(r["dice"] == (1.0 if r["license"] else 0.0) for r in got)
+
+
 def test_sequences_can_be_rebuilt_from_the_result(spark, docs):
     twice = docs.select("doc_id", "text", "lang", "source", "n_chars")
     got = corpus_pipeline.sequences(spark, twice.unionByName(twice), "").collect()

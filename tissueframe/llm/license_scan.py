@@ -1,15 +1,22 @@
 """Licence scan with DataFrame and SQL functions only.
 
-A text is compared with licence templates as a whole and line by line.  Texts and templates are normalised (lower case,
+A text is compared with licence templates as a whole, line by line, and by runs of consecutive lines, as notices are
+wrapped.  Texts and templates are normalised (lower case,
 runs of anything but letters and digits become one space) and turned into sets of word bigrams; the score is the Dice
 coefficient 2 * common / (a + b).  A template can only reach the threshold t if its number of bigrams lies between
 a * t / (2 - t) and a * (2 - t) / t, so sizes prune the templates before any set is compared, and a line that is outside
 the bounds of all templates is not turned into bigrams at all.
 
+A run holds no bigram that the whole text does not, and a template needs a * t / (2 - t) of its own bigrams in common.
+So runs are made only where the whole text has as many of some template's bigrams, and only up to twice the words that
+the largest such template allows (words of which bigrams repeat count once in the score; a run that is more than half
+repeats is not looked at).  Lines without a word are no part of a run.
+
 Templates are a parameter: a short list, part of the expression, not a table that is joined.
 
 Defined cases: null and empty texts have no licence; a text or line of fewer than two words has no bigrams and no score;
-the best score wins, then the first template by name, then the first line (0 is the whole text); repeated rows get a row
+the best score wins, then the first template by name, then a single line before a run of few and of more lines, then the
+first line (0 is the whole text; a run has the number of its first line); repeated rows get a row
 each; other columns are ignored.
 """
 
@@ -61,7 +68,46 @@ def _scores(i: int, name: str, grams: list[str], least: float, most: float) -> C
     near = F.filter("units", lambda u: F.size(u["b"]).between(n * least, n * most))
     return F.transform(near, lambda u: F.struct(
         (F.lit(2.0) * F.size(F.array_intersect(u["b"], wanted)) / (F.size(u["b"]) + n)).alias("dice"),
-        F.lit(-i).alias("first"), (-u["line"]).alias("line"), F.lit(name).alias("license")))
+        F.lit(-i).alias("first"), (-u["span"]).alias("span"), (-u["line"]).alias("line"), F.lit(name).alias("license")))
+
+
+def _normal(x: Column) -> Column:
+    """Words of a text; a text without any has one empty word."""
+    return F.split(F.btrim(F.regexp_replace(F.lower(x), _OTHER, " ")), " ")
+
+
+def _reached(sets: list[tuple[str, list[str]]], least: float) -> Column:
+    """Size of the largest template that a run of lines may reach: the whole text has enough of its bigrams; 0 if none."""
+    whole = F.get(F.filter("units", lambda u: u["line"] == 0), F.lit(0))["b"]
+    every = F.array(*map(F.lit, sorted({g for _, grams in sets for g in grams})))
+    hit = F.coalesce(F.array_intersect(whole, every), F.array().cast("array<string>"))
+    return F.aggregate(F.array(hit), F.lit(0), lambda most, x: F.greatest(most, F.lit(0), *[
+        F.when(F.size(F.array_intersect(x, F.array(*map(F.lit, grams)))) >= len(grams) * least, len(grams)).otherwise(0)
+        for _, grams in sets]))
+
+
+def _runs(size: Column, low: float, most: float) -> Column:
+    """Units of two and more consecutive lines with words, each start with every end within the bound on words."""
+    bound = F.floor(2 * size * most + 1).cast("int")
+    lines = F.filter(F.transform(F.split("t", "\n"), lambda x, i: F.struct((i + 1).alias("line"), _normal(x).alias("w"))),
+                     lambda x: F.get(x["w"], F.lit(0)) != "")
+    return F.flatten(F.transform(F.array(lines), lambda own: F.flatten(F.transform(own, lambda x, i: _from(own, x, i, bound, low)))))
+
+
+def _from(lines: Column, first: Column, i: Column, bound: Column, low: float) -> Column:
+    """Units that start with one line."""
+    none = F.array().cast("array<struct<line:int,span:int,w:array<string>>>")
+    start = F.struct(first["w"].alias("w"), none.alias("found"), F.lit(True).alias("open"))
+
+    def add(so_far: Column, x: Column) -> Column:
+        words = F.concat(so_far["w"], x["w"])
+        unit = F.struct(first["line"].alias("line"), (F.size(so_far["found"]) + 2).alias("span"), words.alias("w"))
+        return F.when(so_far["open"] & (F.size(so_far["w"]) + F.size(x["w"]) <= bound),
+                      F.struct(words.alias("w"), F.concat(so_far["found"], F.array(unit)).alias("found"), F.lit(True).alias("open"))
+                      ).otherwise(F.struct(so_far["w"].alias("w"), so_far["found"].alias("found"), F.lit(False).alias("open")))
+
+    units = F.aggregate(F.slice(lines, i + 2, bound), start, add, lambda done: done["found"])
+    return F.filter(units, lambda u: F.size(u["w"]) - 1 >= F.greatest(F.lit(low), F.lit(1.0)))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -78,14 +124,21 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     # a word and its gap are two characters at least: shorter units have too few bigrams
     long_enough = F.filter(units, lambda u: F.length(u["x"]) >= 2 * low + 1)
     words = F.transform(long_enough, lambda u: F.struct(
-        u["line"].alias("line"), F.split(F.btrim(F.regexp_replace(F.lower(u["x"]), _OTHER, " ")), " ").alias("w")))
+        u["line"].alias("line"), _normal(u["x"]).alias("w")))
     # repeated bigrams count once, so only the lower bound holds for words
     fitting = F.filter(words, lambda u: F.size(u["w"]) - 1 >= F.greatest(F.lit(low), F.lit(1.0)))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).select(
-        "doc_id", F.transform(fitting, lambda u: F.struct(u["line"].alias("line"), _bigram_set(u["w"]).alias("b"))).alias("units"))
+        "doc_id", "t", F.transform(fitting, lambda u: F.struct(u["line"].alias("line"), F.lit(0).alias("span"),
+                                                               _bigram_set(u["w"]).alias("b"))).alias("units"))
+    if sets:
+        runs = F.when(F.col("size") > 0, _runs(F.col("size"), low, most)).otherwise(
+            F.array().cast("array<struct<line:int,span:int,w:array<string>>>"))
+        rows = rows.select("*", _reached(sets, least).alias("size")).select("doc_id", "units", runs.alias("runs")).select(
+            "doc_id", F.concat("units", F.transform("runs", lambda u: F.struct(
+                u["line"].alias("line"), u["span"].alias("span"), _bigram_set(u["w"]).alias("b")))).alias("units"))
     sized = F.filter("units", lambda u: F.size(u["b"]).between(low, high))
     scores = [_scores(i, name, grams, least, most) for i, (name, grams) in enumerate(sets)]
-    found = F.concat(*scores) if scores else F.array().cast("array<struct<dice:double,first:int,line:int,license:string>>")
+    found = F.concat(*scores) if scores else F.array().cast("array<struct<dice:double,first:int,span:int,line:int,license:string>>")
     best = F.array_max(F.filter(found, lambda s: s["dice"] >= threshold))
     return rows.select("doc_id", sized.alias("units")).select("doc_id", best.alias("s")).select(
         "doc_id", F.col("s.license").alias("license"), F.coalesce(F.col("s.dice"), F.lit(0.0)).alias("dice"),
