@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, topk, toxicity
+from ..session import scratch
+from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
 from .textops import small_batches
 
 
@@ -66,6 +67,13 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_table(spark, sf_dir, "documents"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of every document's ids, read back from the token files."""
+    path = scratch(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents"), path, packing.tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return token_files.read(spark, path, digest=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -77,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLES: dict[str, str] = {
