@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
+from . import chat, collocations, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
 from .textops import small_batches
 
 
@@ -67,6 +67,11 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language."""
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place and checksum of every document's ids, read back from the token files."""
     path = scratch(spark, "token-files")
@@ -85,12 +90,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_token_files": op13_token_files,
 }
 
 ORACLES: dict[str, str] = {
     "op7_chat_rotation": chat.ORACLE,
     "op8_license_scan": license_scan.oracle(),
+    "op12_phrase_mining": collocations.ORACLE,
     "op6_exact_top_k": """
         with v as (select vec_id, [cast(floor(1024 * cast(x as double)) as bigint) for x in embedding] v from embeddings
                    where vec_id is not null and len(embedding) > 0
