@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import chat, collocations, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
+from . import alignment, chat, collocations, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, token_files, topk, toxicity
 from .textops import small_batches
 
 
@@ -67,6 +67,13 @@ def op10_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups, links and link counts of every document under two tokenizers."""
+    found, _ = alignment.alignment(_table(spark, sf_dir, "documents"), packing.tokenizer_path("byte_bpe_50k.json"),
+                                   packing.tokenizer_path("piece_bpe_32k.model"))
+    return found
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best phrases of each language."""
     return collocations.mine(_table(spark, sf_dir, "documents"))
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_simhash_components": op10_simhash_components,
+    "op11_token_alignment": op11_token_alignment,
     "op12_phrase_mining": op12_phrase_mining,
     "op13_token_files": op13_token_files,
 }
