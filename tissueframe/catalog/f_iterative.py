@@ -106,7 +106,10 @@ def _(t):
     return out.select("vec_id", *[F.round(F.col("pca")[i], 4).alias(f"pc{i}") for i in range(8)])
 
 
-@query("f10_knn_graph")
+@query("f10_knn_graph", """
+with v as (select vec_id, cast(embedding as double[]) f from embeddings),
+d as (select a.vec_id src, b.vec_id dst, list_distance(a.f, b.f) dist from v a join v b on a.vec_id<>b.vec_id)
+select src, dst, round(dist, 5) dist, row_number() over (partition by src order by round(dist, 9), dst) "rank" from d qualify "rank"<=10""")
 def _(t):
     return cluster.knn_graph(t.embeddings, "vec_id", "embedding", 10).withColumn("dist", F.round("dist", 5))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.buckets import near_join, square_distance
 from ..session import cut
+from . import neighbours
 from .components import consecutive_labels
 
 
@@ -28,58 +29,9 @@ def pca_features(df: DataFrame, col: str, k: int = 30) -> DataFrame:
     return out.withColumn("pca", F.zip_with(vector_to_array("_p"), signs, lambda a, b: a * b)).drop("_v", "_s", "_p")
 
 
-def knn_graph(df: DataFrame, id_col: str, col: str, k: int, directions: int = 8, block: int = 256,
-              seed: int = 7, by: tuple[str, ...] = ()) -> DataFrame:
-    """Approximate k nearest neighbours of array features, among the points that share the columns ``by``.
-
-    Points are ranked along random directions; a point is compared with the
-    points of its own and the next block of ``block`` consecutive ranks on each
-    direction, and only its best ``k`` leave the block.  Blocks hold a fixed
-    number of points, so duplicates or dense regions cannot form a large group.
-    A group of up to two blocks is exact.
-    """
-    feats = cut(df.select(*by, F.col(id_col).alias("id"), F.col(col).cast("array<double>").alias("f")))
-    width = feats.select(F.size("f")).first()
-    if width is None:
-        return feats.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"),
-                            F.lit(0).cast("long").alias("rank")).limit(0)
-    types = dict(feats.dtypes)
-    head = "".join(f"`{c}` {types[c]}, " for c in by)
-    dirs = np.random.default_rng(seed).normal(size=(directions, width[0]))
-
-    def project(it):
-        for pdf in it:
-            p = np.stack(pdf["f"].to_numpy()) @ dirs.T
-            rows = pdf[[*by, "id"]].iloc[np.repeat(np.arange(len(pdf)), directions)]
-            yield rows.assign(dir=np.tile(np.arange(directions), len(pdf)), p=p.ravel())
-
-    spread = feats.mapInPandas(project, head + "id long, dir int, p double")
-    ranged = cut(spread.repartitionByRange(*by, "dir", "p", "id").withColumn("_part", F.spark_partition_id()))
-    sizes = ranged.groupBy(*by, "dir", "_part").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*by, "dir").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy(*by, "dir", "_part").orderBy("p", "id")) - 1
-    blocks = (ranged.withColumn("_rn", rank).join(sizes.drop("_n"), [*by, "dir", "_part"])
-              .select(*by, "dir", "id", F.floor((F.col("_rn") + F.col("_before")) / block).alias("blk"))
-              .withColumn("blk", F.explode(F.array(F.col("blk"), F.col("blk") - 1))))
-
-    def near(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, x = pdf["id"].to_numpy(), np.stack(pdf["f"].to_numpy())
-        n = min(k, len(ids) - 1)
-        if n < 1:
-            return pd.DataFrame({c: [] for c in (*by, "src", "dst", "dist")})
-        sq = (x * x).sum(axis=1)
-        d2 = sq[:, None] + sq[None] - 2 * x @ x.T
-        np.fill_diagonal(d2, np.inf)
-        pick = np.argpartition(d2, n - 1, axis=1)[:, :n]
-        src = np.repeat(np.arange(len(ids)), n)
-        gap = x[src] - x[pick.ravel()]
-        found = {"src": ids[src], "dst": ids[pick.ravel()], "dist": np.sqrt((gap * gap).sum(axis=1))}
-        return pd.DataFrame({c: pdf[c].iloc[0] for c in by} | found)
-
-    pairs = blocks.join(feats, [*by, "id"]).groupBy(*by, "dir", "blk").applyInPandas(near, head + "src long, dst long, dist double")
-    best = pairs.groupBy(*by, "src", "dst").agg(F.min("dist").alias("dist"))
-    order = Window.partitionBy(*by, "src").orderBy(F.round("dist", 9), "dst")
-    return best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
+def knn_graph(df: DataFrame, id_col: str, col: str, k: int, by: tuple[str, ...] = (), block: int = neighbours.BLOCK) -> DataFrame:
+    """Exact k nearest neighbours of array features, among the points that share the columns ``by``."""
+    return neighbours.knn(df, id_col, col, k, by, block)
 
 
 def spatial_knn(points: DataFrame, k: int, reach: int) -> DataFrame:

@@ -1,52 +1,107 @@
-"""Chunk-wise heat-maps and cell counts with Structured Streaming.
+"""Chunk-wise heat-maps and cell tables with Structured Streaming.
 
-State is one running sum per spot or cell, so it is bounded by the chip; each
-micro-batch appends the sums it changed and reading takes the newest per key.
-The order in which chunks arrive does not matter.
+State is one running sum per spot, and per cell its sums, genes and spots, so it is bounded by the chip; each micro-batch
+adds the rows it changed to a running table (``tables``) and reading takes the newest per key.  The order in which chunks
+arrive does not matter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.cells import saturate
+from ..operators.masks import centroids
 from ..plans.buckets import points_in_runs
+from .tables import RunningTable
 
 POINTS = "chip bigint, gene string, x bigint, y bigint, mid bigint"
+SPOT, CELL = ("chip", "x", "y"), ("chip", "cell_id")
+SPOT_SUM = "chip bigint, x bigint, y bigint, mid bigint"
+CELL_SUMS = "chip bigint, cell_id bigint, mid bigint, n bigint, n_gene bigint, n_dnb bigint"
 
 
 def _source(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(POINTS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _run(changed: DataFrame, out: str, state: str):
-    def append(batch: DataFrame, epoch: int) -> None:
-        # the folder is named by the batch, so a repeated batch replaces itself
-        batch.write.mode("overwrite").parquet(f"{out}/batch={epoch}")
-
-    return (changed.writeStream.outputMode("update").foreachBatch(append)
+def _run(changed: DataFrame, table: RunningTable, state: str):
+    return (changed.writeStream.outputMode("update").foreachBatch(lambda rows, epoch: table.add(rows, epoch) and None)
             .option("checkpointLocation", state).trigger(availableNow=True).start())
 
 
 def stream_dnb(spark: SparkSession, source: str, out: str, state: str, files_per_batch: int = 1):
     """Running sums per spot; returns the streaming query."""
-    sums = _source(spark, source, files_per_batch).groupBy("chip", "x", "y").agg(F.sum("mid").cast("long").alias("mid"))
-    return _run(sums, out, state)
+    sums = _source(spark, source, files_per_batch).groupBy(*SPOT).agg(F.sum("mid").cast("long").alias("mid"))
+    return _run(sums, RunningTable(spark, out, SPOT), state)
 
 
 def read_dnb(spark: SparkSession, out: str, bits: int = 8) -> DataFrame:
     """Newest sum per spot, saturated at read-out."""
-    rows = spark.read.option("basePath", out).parquet(out)
-    return rows.groupBy("chip", "x", "y").agg(saturate(F.max_by("mid", "batch"), bits).alias("mid"))
+    return RunningTable(spark, out, SPOT).read(SPOT_SUM).withColumn("mid", saturate(F.col("mid"), bits))
+
+
+class CellSums(StatefulProcessor):
+    """Keyed state of one cell: its sums, a map of its genes and a map of its spots.
+
+    A chunk touches only the genes and spots it holds, so the work of a batch follows the batch and not the cell.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._sums = handle.getValueState("sums", "mid bigint, n bigint, n_gene bigint, n_dnb bigint")
+        self._genes = handle.getMapState("genes", "known boolean, gene string", "mid bigint")
+        self._spots = handle.getMapState("spots", "x bigint, y bigint", "n bigint")
+
+    @staticmethod
+    def _count(state, found: pd.Series, key) -> int:
+        """Add the sums of a chunk to a map; how many of its entries are new."""
+        new = 0
+        for name, total in found.items():
+            at = key(name)
+            old = state.getValue(at) if state.containsKey(at) else None
+            new += old is None
+            state.updateValue(at, (int(total) + (old[0] if old else 0),))
+        return new
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        mid, n, n_gene, n_dnb = self._sums.get() if self._sums.exists() else (0, 0, 0, 0)
+        for part in rows:
+            mid += int(part["mid"].fillna(0).sum())
+            n += len(part)
+            gene = part["gene"].where(part["gene"].notna(), None)
+            counted = part["mid"].fillna(0)
+            n_gene += self._count(self._genes, counted.groupby([gene.notna(), gene.fillna("")]).sum(), lambda g: (bool(g[0]), g[1]))
+            n_dnb += self._count(self._spots, part.groupby(["x", "y"]).size(), lambda s: (int(s[0]), int(s[1])))
+        self._sums.update((mid, n, n_gene, n_dnb))
+        yield pd.DataFrame({"chip": [int(key[0])], "cell_id": [int(key[1])], "mid": [mid], "n": [n], "n_gene": [n_gene], "n_dnb": [n_dnb]})
+
+    def close(self) -> None:
+        pass
 
 
 def stream_cell_counts(spark: SparkSession, source: str, runs: DataFrame, out: str, state: str, files_per_batch: int = 1):
-    """Running counts per cell against a static mask; returns the streaming query."""
+    """Running counts, genes and spots per cell against a static mask; returns the streaming query.
+
+    The state lives in RocksDB on the executors and in the folder ``state``, from which a new query goes on.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     points = points_in_runs(_source(spark, source, files_per_batch), runs.select("chip", "label", "y", "x0", "x1"), "inner")
-    sums = points.groupBy("chip", F.col("label").alias("cell_id")).agg(F.sum("mid").cast("long").alias("mid"), F.count("*").alias("n"))
-    return _run(sums, out, state)
+    cells = points.select("chip", F.col("label").alias("cell_id"), "gene", "x", "y", "mid").groupBy(*CELL)
+    sums = cells.transformWithStateInPandas(CellSums(), CELL_SUMS, "Update", "None")
+    return _run(sums, RunningTable(spark, out, CELL), state)
 
 
 def read_cell_counts(spark: SparkSession, out: str) -> DataFrame:
-    rows = spark.read.option("basePath", out).parquet(out)
-    return rows.groupBy("chip", "cell_id").agg(F.max_by(F.struct("mid", "n"), "batch").alias("m")).select("chip", "cell_id", "m.mid", "m.n")
+    """Newest sums of the cells that hold points: ``(chip, cell_id, mid, n, n_gene, n_dnb)``."""
+    return RunningTable(spark, out, CELL).read(CELL_SUMS)
+
+
+def read_cell_obs(spark: SparkSession, out: str, runs: DataFrame) -> DataFrame:
+    """The table of ``cells.cell_obs`` from the running sums; cells without points have zeros."""
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    shape = centroids(runs).withColumnRenamed("label", "cell_id")
+    return (shape.join(read_cell_counts(spark, out), [*CELL], "left")
+            .select(*CELL, "area", "cx", "cy", zero("mid"), zero("n_gene"), zero("n_dnb"), zero("n")))
