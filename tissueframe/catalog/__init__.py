@@ -10,7 +10,7 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 _GROUPS = ("a_sources", "b_columns", "c_joins", "d_aggregates", "e_ranking",
-           "f_iterative", "g_tiling", "h_sets", "k_streams", "l_jobs")
+           "f_iterative", "g_tiling", "h_sets", "i_functions", "k_streams", "l_jobs")
 
 
 def query(name: str, sql: str | None = None):

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .functions import intensity
-from .operators import cells, cluster, images, masks, morphology, registration, stitching
+from .operators import cells, cluster, images, masks, morphology, reduction, registration, stitching
 from .session import cut, small
 
 
@@ -109,18 +109,18 @@ def cluster_job(cell_gene: DataFrame, components: int = 8, neighbours: int = 10,
     """Communities of cells from their highly variable genes.
 
     The features are the genes that are among the ``top`` of any chip; a cell
-    becomes one array of that length, log1p of its counts.  Neighbours and
+    becomes the sparse row of its counts, log1p.  Neighbours and
     communities are those of a chip, so cell ids need to be unique only there.
     """
     cell_gene = cut(cell_gene)
     genes = cells.highly_variable(cell_gene, top=top, **hvg).select("gene").distinct()
-    index = cut(genes.withColumn("idx", F.row_number().over(Window.orderBy("gene"))))  # a row for each gene
+    index = cut(genes.withColumn("idx", F.row_number().over(Window.orderBy("gene")) - 1))  # a row for each gene
     width = index.count()
     picked = cell_gene.join(small(index), "gene")
-    packed = picked.groupBy("chip", "cell_id").agg(F.map_from_entries(F.collect_list(F.struct("idx", F.log1p("mid")))).alias("m"))
-    dense = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0)))
-    vectors = cut(packed.select("chip", "cell_id", dense.alias("f")))
-    reduced = cluster.pca_features(vectors, "f", min(components, width))
+    entry = F.sort_array(F.collect_list(F.struct("idx", F.log1p("mid").alias("v"))))  # the genes of a cell, no zeros
+    packed = picked.groupBy("chip", "cell_id").agg(entry.alias("m"))
+    vectors = cut(packed.select("chip", "cell_id", F.col("m.idx").alias("idx"), F.col("m.v").alias("val")))
+    reduced = reduction.fit(vectors, "idx", "val", min(components, width), width).project(vectors, "idx", "val", "pca")
     graph = cluster.knn_graph(reduced.select("chip", "cell_id", "pca"), "cell_id", "pca", neighbours, by=("chip",))
     labels = cluster.community_labels(graph, ("chip",))
     return vectors.select("chip", "cell_id").join(labels.withColumnRenamed("node", "cell_id"), ["chip", "cell_id"])

@@ -4,29 +4,22 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.buckets import near_join, square_distance
+from ..plans.groups import group_apply
 from ..session import cut
-from . import neighbours
+from . import neighbours, reduction
 from .components import consecutive_labels
 
 
 def pca_features(df: DataFrame, col: str, k: int = 30) -> DataFrame:
-    """Scale an array column and project it on its ``k`` first components.
+    """Scale an array column and project it on its ``k`` first components, as the array column ``pca``.
 
     Component signs are fixed so that the largest loading is positive.
     """
-    vec = df.withColumn("_v", array_to_vector(F.col(col).cast("array<double>")))
-    scaled = StandardScaler(inputCol="_v", outputCol="_s", withMean=True, withStd=True).fit(vec).transform(vec)
-    model = PCA(k=k, inputCol="_s", outputCol="_p").fit(scaled)
-    load = model.pc.toArray()
-    sign = np.sign(load[np.abs(load).argmax(axis=0), range(load.shape[1])])
-    signs = F.array(*[F.lit(float(s)) for s in sign])
-    out = model.transform(scaled)
-    return out.withColumn("pca", F.zip_with(vector_to_array("_p"), signs, lambda a, b: a * b)).drop("_v", "_s", "_p")
+    rows = df.withColumn("_idx", F.expr(f"sequence(0, size(`{col}`) - 1)")).withColumn("_val", F.col(col).cast("array<double>"))
+    return reduction.fit(rows, "_idx", "_val", k).project(rows, "_idx", "_val", "pca").drop("_idx", "_val")
 
 
 def knn_graph(df: DataFrame, id_col: str, col: str, k: int, by: tuple[str, ...] = (), block: int = neighbours.BLOCK) -> DataFrame:
@@ -157,11 +150,12 @@ def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float =
     peak = cand.groupBy("chip", "cell_id", "x", "y").agg(F.max("mid").alias("top"))
     cand = cand.join(peak, ["chip", "cell_id", "x", "y"])
 
-    def one(key: tuple, mine: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
         cols = ["chip", "cell_id", "gene", "x", "y", "mid"]
+        mine, back = rows[rows["top"].isna()], rows[rows["top"].notna()]
         if not len(mine):
             return mine[cols]
-        fit = _fit_spherical(mine.sort_values(["x", "y", "mid"])[["x", "y", "mid"]].to_numpy(float), k, int(key[1]))
+        fit = _fit_spherical(mine.sort_values(["x", "y", "mid"])[["x", "y", "mid"]].to_numpy(float), k, int(mine["cell_id"].iloc[0]))
         if fit is None or not len(back):
             return mine[cols]
         dens = _log_density(back[["x", "y", "top"]].to_numpy(float), *fit)
@@ -169,7 +163,7 @@ def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float =
         score = -(top[:, 0] + np.log(np.exp(dens - top).sum(axis=1)))
         return pd.concat([back.loc[score < thr, cols], mine[cols]])
 
-    own, cand = own.toDF(*own.columns), cand.toDF(*cand.columns)
-    grown = own.groupBy("chip", "cell_id").cogroup(cand.groupBy("chip", "cell_id")).applyInPandas(
-        one, "chip long, cell_id long, gene string, x long, y long, mid long")
+    # own points have no largest count of their position; a cell's rows are those of its box
+    both = own.withColumn("top", F.lit(None).cast("long")).unionByName(cand.select(*own.columns, F.col("top").cast("long").alias("top")))
+    grown = group_apply(both, ("chip", "cell_id"), one, "chip long, cell_id long, gene string, x long, y long, mid long")
     return dedupe_first(grown.where("cell_id > 0"), keys)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..plans.fixpoint import label_components
-from ..session import cut, small
+from ..session import small
 
 KEYS = ("slide", "axis")
 
@@ -131,76 +130,152 @@ def line_scan_location(fov: DataFrame, jitter: DataFrame, w: int, h: int, overla
                       (F.col("y") + F.coalesce("_y", F.lit(0))).cast("long").alias("y"))
 
 
-def _node() -> Column:
-    return F.struct("slide", "r", "c")
-
-
-def fov_global_location(fov: DataFrame, jitter: DataFrame, w: int, h: int, overlap: float = 0.1,
-                        max_rounds: int = 10_000) -> DataFrame:
+class _Slide:
+    """Placement of the fields of one slide; a slide is a scanner's grid, so it is bounded."""
+
+    def __init__(self, fields: list[tuple[int, int]], w: int, h: int, overlap: float):
+        self.at = {f: i for i, f in enumerate(fields)}
+        self.fields = np.array(fields, float).reshape(-1, 2)
+        self.w, self.h = w, h
+        self.step = {"h": (w, 0), "v": (0, h)}
+        self.lost = {"h": np.array([-int(w * overlap), 0.0]), "v": np.array([0.0, -int(h * overlap)])}
+        self.nominal = self.fields[:, ::-1] * [w - int(w * overlap), h - int(h * overlap)]
+        self.place = np.full((len(fields), 2), np.nan)
+        self.links: list[list[tuple[int, np.ndarray]]] = [[] for _ in fields]
+        self.offsets: dict[str, list[tuple[int, int, np.ndarray]]] = {"h": [], "v": []}
+        # running normal equations of the map from nominal to found places, about the mean
+        self.n, self.mean, self.moments = 0, np.zeros(4), np.zeros((4, 4))
+
+    def link(self, r: int, c: int, axis: str, dx: float, dy: float) -> None:
+        self.offsets[axis].append((r, c, np.array([dx, dy])))
+        here, before = self.at.get((r, c)), self.at.get((r, c - 1) if axis == "h" else (r - 1, c))
+        if here is not None and before is not None:
+            step = np.array([dx, dy]) + self.step[axis]
+            self.links[before].append((here, step))
+            self.links[here].append((before, -step))
+
+    def domains(self) -> list[list[int]]:
+        """Fields joined by links, the largest domain first, then as a walk over the grid from its first field meets them."""
+        seen, found = set(), []
+        for i, links in enumerate(self.links):
+            if links and i not in seen:
+                own, seen = [i], seen | {i}
+                for j in own:
+                    new = [k for k, _ in self.links[j] if k not in seen]
+                    seen.update(new)
+                    own += dict.fromkeys(new)
+                found.append(sorted(own))
+        if not found:
+            return []
+        main = min(found, key=lambda d: (-len(d), d[0]))
+        far, ring = {main[0]: 0}, [main[0]]
+        for j in ring:
+            new = [k for k in self.beside(j) if k not in far]
+            far |= {k: far[j] + 1 for k in new}
+            ring += new
+        last = len(self.fields)
+        return [main, *sorted((d for d in found if d is not main), key=lambda d: min((far.get(i, last), i) for i in d))]
+
+    def beside(self, i: int) -> list[int]:
+        r, c = map(int, self.fields[i])
+        return [self.at[f] for f in ((r - 1, c), (r, c - 1), (r, c + 1), (r + 1, c)) if f in self.at]
+
+    def guess(self, i: int) -> np.ndarray:
+        """Where the map puts a field; before the first domain it is the nominal place."""
+        if not self.n:
+            return self.nominal[i]
+        slope = np.linalg.pinv(self.moments[:2, :2]) @ self.moments[:2, 2:]
+        return self.mean[2:] + (self.nominal[i] - self.mean[:2]) @ slope
+
+    def learn(self, some: list[int]) -> None:
+        """Add placed fields to the normal equations."""
+        for row in np.hstack([self.nominal[some], self.place[some]]):
+            self.n += 1
+            gap = row - self.mean
+            self.mean += gap / self.n
+            self.moments += np.outer(gap, row - self.mean)
+
+    def spread(self, domain: list[int]) -> None:
+        """Place a domain ring by ring from the field nearest its centre, each at the mean of what its neighbours say."""
+        gap = ((self.fields[domain] - self.fields[domain].mean(axis=0)) ** 2).sum(axis=1).round(9)
+        start = domain[int(gap.argmin())]
+        self.place[start] = self.guess(start)
+        front, done = [start], {start}
+        while front:
+            said: dict[int, list[np.ndarray]] = {}
+            for i in front:
+                for j, step in self.links[i]:
+                    if j not in done:
+                        said.setdefault(j, []).append(self.place[i] + step)
+            for j, places in said.items():
+                self.place[j] = np.mean(places, axis=0)
+            front = list(said)
+            done.update(front)
+        self.learn(domain)
+
+    def fill(self) -> None:
+        """Fields without a link follow their placed neighbours by the mean offset of their column (beside) or row (above
+        and below), of the slide where there is none, of the nominal overlap where the slide has none; round by round."""
+        mean = lambda a, own: np.mean([o for _, _, o in own], axis=0) if own else self.lost[a]
+        whole = {a: mean(a, x) for a, x in self.offsets.items()}
+        by = {a: {} for a in "hv"}
+        for a, part in (("h", 1), ("v", 0)):
+            for o in self.offsets[a]:
+                by[a].setdefault(o[part], []).append(o)
+        open_ = [i for i in range(len(self.fields)) if np.isnan(self.place[i, 0])]
+        while open_:
+            new = {}
+            for i in open_:
+                r, c = map(int, self.fields[i])
+                beside = np.mean([o for _, _, o in by["h"][c]], axis=0) if c in by["h"] else whole["h"]
+                above = np.mean([o for _, _, o in by["v"][r]], axis=0) if r in by["v"] else whole["v"]
+                said = []
+                for f, axis, sign, off in (((r + 1, c), "v", -1, above), ((r - 1, c), "v", 1, above),
+                                           ((r, c + 1), "h", -1, beside), ((r, c - 1), "h", 1, beside)):
+                    j = self.at.get(f)
+                    if j is not None and not np.isnan(self.place[j, 0]):
+                        said.append(self.place[j] + sign * (np.array(self.step[axis]) + off))
+                if said:
+                    new[i] = np.mean(said, axis=0)
+            if not new:
+                break
+            for i, place in new.items():
+                self.place[i] = place
+            open_ = [i for i in open_ if i not in new]
+        for i in open_:  # no placed field can be reached over the grid
+            self.place[i] = self.guess(i)
+
+
+def fov_global_location(fov: DataFrame, jitter: DataFrame, w: int, h: int, overlap: float = 0.1) -> DataFrame:
     """Locations of all fields of view from pairwise offsets.
 
-    Fields linked by a valid offset form domains.  The largest domain of a slide
-    starts at the field nearest its centre; every round places the neighbours of
-    placed fields at the mean of what their placed neighbours say.  A linear map
-    from nominal to found locations then seeds the other domains, and fields
-    without any link follow the map directly.  Shifted to start at 0, rounded.
+    Fields linked by a valid offset form domains.  The largest domain of a slide starts at the field nearest its centre,
+    at its nominal place, and is placed ring by ring at the mean of what the placed neighbours say.  The other domains
+    follow in the order in which a walk over the grid meets them; each starts where a linear map from nominal to found
+    places puts it, and the map is fitted anew after each domain.  Fields without a link are filled in from their
+    neighbours by mean offsets.  Shifted to start at 0, rounded.
+
+    One call a slide: its fields are one scanner's grid.  Repeated fields and offsets count once.
     """
-    from .registration import location_model
-
-    nominal = cut(mechanical_location(fov, w, h, overlap))
-    ok = jitter.where("dx is not null and dy is not null")
-    is_h = F.col("axis") == "h"
-    back = ok.select(
-        "slide", (F.col("r") - F.when(is_h, 0).otherwise(1)).alias("r0"), (F.col("c") - F.when(is_h, 1).otherwise(0)).alias("c0"),
-        "r", "c", (F.col("dx") + F.when(is_h, w).otherwise(0)).alias("ex"), (F.col("dy") + F.when(is_h, 0).otherwise(h)).alias("ey"))
-    edges = cut(back.select("slide", "r0", "c0", "r", "c", "ex", "ey").unionByName(back.select(
-        "slide", F.col("r").alias("r0"), F.col("c").alias("c0"), F.col("r0").alias("r"), F.col("c0").alias("c"),
-        (-F.col("ex")).alias("ex"), (-F.col("ey")).alias("ey"))))
-    comp = label_components(edges.select(F.struct("slide", F.col("r0").alias("r"), F.col("c0").alias("c")).alias("u"),
-                                         _node().alias("v")))
-    domain = cut(nominal.join(comp.select("node.*", F.col("root").alias("_root")), ["slide", "r", "c"], "left")
-                 .withColumn("root", F.coalesce("_root", _node())).drop("_root"))
-    size = domain.groupBy("slide", "root").agg(F.count("*").alias("n"), F.avg("r").alias("mr"), F.avg("c").alias("mc"))
-    main = size.groupBy("slide").agg(F.max(F.struct("n", F.struct(
-        (-F.col("root.r")).alias("r"), (-F.col("root.c")).alias("c")).alias("neg"))).alias("m"))
-    size = size.join(main, "slide").withColumn(
-        "main", (F.col("n") == F.col("m.n")) & (F.col("root.r") == -F.col("m.neg.r")) & (F.col("root.c") == -F.col("m.neg.c")))
-    far = (F.col("r") - F.col("mr")) ** 2 + (F.col("c") - F.col("mc")) ** 2
-    seeds = cut(domain.join(size, ["slide", "root"]).groupBy("slide", "root", "main").agg(
-        F.min(F.struct(far.alias("d"), "r", "c", "x", "y")).alias("s")).select("slide", "main", "s.r", "s.c", "s.x", "s.y"))
-
-    def spread(seed: DataFrame) -> DataFrame:
-        """Breadth-first rounds over the grid.
-
-        Links join rows or columns next to each other, so the neighbours of a
-        front are in the front before it or new: only that one is looked up.
-        """
-        front = cut(seed)
-        fronts, last = [front], front.limit(0)
-        for _ in range(max_rounds):
-            said = (edges.join(front.select("slide", F.col("r").alias("r0"), F.col("c").alias("c0"), "x", "y"), ["slide", "r0", "c0"])
-                    .groupBy("slide", "r", "c").agg(F.avg(F.col("x") + F.col("ex")).alias("x"), F.avg(F.col("y") + F.col("ey")).alias("y")))
-            fresh = cut(said.join(last.select("slide", "r", "c"), ["slide", "r", "c"], "left_anti"))
-            if fresh.isEmpty():
-                return cut(reduce(DataFrame.unionByName, fronts))
-            last, front = front, fresh
-            fronts.append(fresh)
-            if len(fronts) == 32:
-                fronts = [cut(reduce(DataFrame.unionByName, fronts))]
-        raise RuntimeError("placement did not settle")
-
-    as_double = lambda df: df.select("slide", "r", "c", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-    first = spread(as_double(seeds.where("main")))
-    model = small(location_model(first.join(nominal.select("slide", "r", "c", F.col("x").alias("sx"), F.col("y").alias("sy")),
-                                            ["slide", "r", "c"]).select("slide", "sx", "sy", F.col("x").alias("gx"), F.col("y").alias("gy"))))
-    guess = seeds.where("not main").join(model, "slide")
-    along = lambda g: F.col(f"a_{g}") * F.col("x") + F.col(f"b_{g}") * F.col("y") + F.col(f"c_{g}")
-    rest = spread(guess.select("slide", "r", "c", along("gx").alias("x"), along("gy").alias("y")))
-    everything = first.unionByName(rest)
-    origin = small(everything.groupBy("slide").agg(F.min("x").alias("_x"), F.min("y").alias("_y")))
-    return everything.join(origin, "slide").select(
-        "slide", "r", "c", F.rint(F.col("x") - F.col("_x")).cast("long").alias("x"),
-        F.rint(F.col("y") - F.col("_y")).cast("long").alias("y"))
+
+    def one(fields: pd.DataFrame, offsets: pd.DataFrame) -> pd.DataFrame:
+        if not len(fields):
+            return pd.DataFrame({c: [] for c in ("slide", "r", "c", "x", "y")})
+        order = sorted(set(zip(fields["r"].tolist(), fields["c"].tolist())))
+        slide = _Slide(order, w, h, overlap)
+        for r, c, axis, dx, dy in sorted(offsets[["r", "c", "axis", "dx", "dy"]].drop_duplicates(["r", "c", "axis"]).itertuples(index=False)):
+            slide.link(r, c, axis, dx, dy)
+        for domain in slide.domains():
+            slide.spread(domain)
+        slide.fill()
+        place = np.rint(slide.place - slide.place.min(axis=0)).astype(np.int64)
+        return pd.DataFrame({"slide": fields["slide"].iloc[0], "r": [r for r, _ in order], "c": [c for _, c in order],
+                             "x": place[:, 0], "y": place[:, 1]})
+
+    good = jitter.where("dx is not null and dy is not null").select(
+        "slide", "r", "c", "axis", F.col("dx").cast("double").alias("dx"), F.col("dy").cast("double").alias("dy"))
+    return (fov.select("slide", "r", "c").groupBy("slide").cogroup(good.groupBy("slide"))
+            .applyInPandas(one, "slide long, r long, c long, x long, y long"))
 
 
 def mosaic(pixels: DataFrame, loc: DataFrame, cols: int) -> DataFrame:
