@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tissueframe.llm import (chat, language_id, license_scan, mixing, packing, quality, simhash, substring_dedup, topk, toxicity)
@@ -132,10 +133,12 @@ def test_language_id(spark, docs, none):
 
 def test_packing(spark, docs, none):
     path = packing.tokenizer_path()
+    tokenizer = Tokenizer.from_file(path)  # as the file stands, special tokens and all
+    special = [(500, "a<|endoftext|>b", "en"), (501, "x <|endoftext|> y\n<|endoftext|>", "en"), (502, "<|ENDOFTEXT|>", "en")]
+    docs = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(special, "doc_id long, text string, lang string"))
     tokens, placed = packing.pack(docs, path, capacity=64)
-    tokenizer = packing._encoder(path)._tokenizer
     want = Counter()
-    for r in rows():
+    for r in [*rows(), *special]:
         ids = [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 0]
         first = len(ids) % 64 or 64
         for i, start in enumerate([0, *range(first, len(ids), 64)]):
@@ -370,6 +373,45 @@ def test_near_copies_link_members_that_are_far_from_the_one_compared_first(spark
     assert all(abs(u - v) == 1 for u, v in found) and len(set(found)) == 11
 
 
+def test_sets_that_share_one_key_and_are_not_similar_never_meet(spark):
+    """400 sets with a third in common and one bucket; a few of them are near copies of each other."""
+    from pyspark.sql import functions as F
+    from tissueframe.llm import minhash
+
+    rng = random.Random(14)
+    common, sets = list(range(40)), {}
+    for i in range(400):
+        sets[i] = common + [1000 + 100 * i + k for k in range(80)]
+    for i in range(400, 412):  # each near one of the others, and not near its bucket's centres
+        own = list(sets[rng.randrange(400)])
+        sets[i] = own[:-4] + [90_000 + 10 * i + k for k in range(4)]
+    want, root = set(), list(range(len(sets)))
+    whole = {i: set(s) for i, s in sets.items()}
+    for a in whole:
+        for b in range(a):
+            if len(whole[a] & whole[b]) >= 0.8 * len(whole[a] | whole[b]):
+                want.add((b, a))
+                root = [root[b] if r == root[a] else r for r in root]
+    table = spark.createDataFrame([(i, s) for i, s in sets.items()], "node long, shingles array<long>")
+    nodes = table.select("node", F.size("shingles").cast("long").alias("n"), F.array(F.lit(7).cast("long")).alias("keys"))
+    compared, plain = [], minhash._similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    minhash._similar = counted
+    try:
+        found = {tuple(r) for r in minhash.links(nodes, lambda wanted: table.join(wanted, "node")).collect()}
+    finally:
+        minhash._similar = plain
+    assert found <= want and sum(compared) < 3 * len(sets)
+    got = list(range(len(sets)))
+    for u, v in found:
+        got = [got[u] if r == got[v] else r for r in got]
+    assert len(set(got)) == len(set(root)) == 400
+
+
 def test_quality_verdict_on_texts_without_common_words(spark):
     rng = random.Random(8)
     tongues = {}
@@ -419,6 +461,6 @@ def test_sequences_can_be_rebuilt_from_the_result(spark, docs):
         by.setdefault(r["sequence_id"], []).append((r["offset"], r["ids"]))
     built = [[i for _, ids in sorted(parts) for i in ids] for parts in by.values()]
     assert all(offset == sum(len(x) for o, x in parts if o < offset) for parts in by.values() for offset, _ in parts)
-    tokenizer = packing._encoder(packing.tokenizer_path())._tokenizer
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
     want = sum(len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows())
     assert max(map(len, built)) <= packing.CAPACITY and sum(map(len, built)) == 2 * want

@@ -49,9 +49,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer = Tokenizer.from_file(path)  # special tokens in a text are found as the file says
         size = self._tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self._bytes = np.fromiter((len(self._tokenizer.id_to_token(i)) for i in range(size)), np.int64, size)
         self._forget()
 
@@ -138,7 +138,7 @@ def _encoder(path: str) -> Encoder:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, ids)``: token ids, cut into pieces; only a first piece is shorter
-    than the capacity when a document is cut."""
+    than the capacity when a document is cut.  ``ids`` are little-endian bytes, two an id if the vocabulary allows it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = _encoder(tokenizer), np.array([end_id], "<u4").tobytes()
@@ -148,28 +148,28 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             texts = text_bytes(batch.column(1))
             for doc, found in zip(batch.column(0).to_pylist(), chain.from_iterable(
                     encoder.ids(texts[a:b]) for a, b in packs(texts, PACK))):
-                ids = found.tobytes() + end
+                ids, short = found.astype("<u4").tobytes() + end, found.astype(encoder.dtype).tobytes() + end[:encoder.dtype.itemsize]
+                width = encoder.dtype.itemsize
                 n = len(ids) // 4
                 first = n % capacity or capacity
                 for i, start in enumerate([0, *range(first, n, capacity)]):
-                    part = ids[4 * start: 4 * (start + (first if not i else capacity))]
-                    rows.append((doc, i, start, len(part) // 4, crc32(part), part))
+                    stop = start + (first if not i else capacity)
+                    part = ids[4 * start: 4 * stop]
+                    rows.append((doc, i, start, len(part) // 4, crc32(part), short[width * start: width * stop]))
                 if len(rows) >= 2000:
                     yield _batch(rows, names)
                     rows = []
             yield _batch(rows, names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t")).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids array<int>")
+        run, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     doc, piece, start, length, crc, ids = zip(*rows) if rows else ((),) * 6
-    flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-    offsets = pa.array(np.concatenate([[0], np.cumsum(np.array(length, np.int64))]).astype(np.int32))
     return pa.RecordBatch.from_arrays(
         [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-         pa.array(crc, pa.int64()), pa.ListArray.from_arrays(offsets, flat)], names=names)
+         pa.array(crc, pa.int64()), pa.array(ids, pa.binary())], names=names)
 
 
 class _Stock:
@@ -313,14 +313,32 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     return tokens, assign(tokens.drop("ids"), capacity)
 
 
+def _numbers(table: DataFrame) -> DataFrame:
+    """``table`` with its column ``ids`` as numbers; a row has a column ``length``."""
+    schema = ", ".join(f"`{n}` {'array<int>' if n == 'ids' else t}" for n, t in table.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                lengths, ids = part.column("length").to_numpy(zero_copy_only=False), part.column("ids").to_pylist()
+                flat = b"".join(ids)
+                width = len(flat) // max(1, int(lengths.sum()))
+                values = np.frombuffer(flat, f"<u{width or 2}").astype(np.int32)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+                yield part.set_column(part.schema.get_field_index("ids"), "ids", pa.ListArray.from_arrays(offsets, pa.array(values)))
+
+    return table.mapInArrow(run, schema)
+
+
 def with_ids(tokens: DataFrame, placed: DataFrame) -> DataFrame:
     """``placed`` with the ids of each piece; its rows by offset are the sequences, and no row is grouped or sorted."""
-    return placed.join(tokens.select("key", "ids"), "key")
+    return _numbers(placed.join(tokens.select("key", "ids"), "key"))
 
 
 def sequences(tokens: DataFrame, placed: DataFrame) -> DataFrame:
     """``(sequence_id, ids)``: the packed sequences; a sequence holds at most ``capacity`` ids."""
-    parts = tokens.select("key", "ids").join(placed.select("key", "sequence_id", "offset"), "key")
+    parts = _numbers(tokens.select("key", "length", "ids").join(placed.select("key", "sequence_id", "offset"), "key"))
     by_offset = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return parts.groupBy("sequence_id").agg(F.flatten(F.transform(by_offset, lambda x: x["ids"])).alias("ids"))
 
