@@ -22,13 +22,16 @@ def _(t):
     return group_apply(points, ("chip", "gene"), part, "chip long, gene string, n long, mid long, x0 long, x1 long", merge, limit=200)
 
 
-@query("i02_sql_functions", ORACLES["b19_parse_chip_no"])
+@query("i02_sql_functions")
 def _(t):
     sql.register(t.spark)
     return t.sql("select sn, c, chip_name_type(sn) name_type, chip_is_large(sn) large, chip_width(sn) w, chip_height(sn) h, "
                  "chip_is_late(sn) late from {chip_name}")
 
 
+ORACLES["i02_sql_functions"] = ORACLES["b19_parse_chip_no"]  # the same columns, by functions of the session
+
+
 @query("i02_table_function", """
 select img, cast(floor(y/64) as bigint) ty, cast(floor(x/64) as bigint) tx, count(*) n, cast(sum(v) as bigint) total, max(v) largest
 from pixel group by 1,2,3""")

@@ -62,7 +62,7 @@ def tile_function(spark: SparkSession, name: str, fn: Callable[[pd.DataFrame], p
                 out = fn(pd.DataFrame(self._rows))
                 yield from out.astype(object).where(out.notna(), None).itertuples(index=False, name=None)
 
-    spark.udtf.register(name, udtf(Tile, returnType=schema))
+    spark.udtf.register(name, udtf(Tile, returnType=schema, useArrow=True))
 
 
 def map_tiles(spark: SparkSession, name: str, tiles: DataFrame, by: tuple[str, ...]) -> DataFrame:
