@@ -75,7 +75,7 @@ def test_toxicity(spark):
 
 def removed(data, n=20):
     """Kept words by key (id, tag) under the rule, in order of the corpus."""
-    tag = lambda t: zlib.crc32((t or "").encode()) & 0xFFFFF
+    tag = lambda t: np.uint64(xxhash.xxh64_intdigest((t or "").encode(), seed=42)).view(np.int64).item()
     docs = {(-(1 << 63) if r[0] is None else r[0], tag(r[1])): r[1] for r in data}
     seen, kept = set(), {}
     for key in sorted(docs):
@@ -103,6 +103,31 @@ def test_substring_dedup(spark, docs, none, references):
         assert all(i >= 0 for i, in left.where("text is not null").selectExpr("length(text)").collect())
 
 
+def test_texts_of_one_id_with_equal_checksums_are_told_apart(spark):
+    """Two texts whose low 20 bits of CRC-32 agree, only one of which repeats an earlier passage."""
+    rng = random.Random(2)
+    say = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    passage, seen = say(30), {}
+    first, i = f"{passage} {say(20)}", 0
+    other = say(60)
+    for i in range(100_000):
+        text = f"{other} x{i}"
+        seen[zlib.crc32(text.encode()) & 0xFFFFF] = text
+    other = say(10)
+    for i in range(100_000):
+        text = f"{other} {passage} y{i}"
+        if zlib.crc32(text.encode()) & 0xFFFFF in seen:
+            break
+    rows = [(1, first), (7, text), (7, seen[zlib.crc32(text.encode()) & 0xFFFFF])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substring_dedup.dedup(frame).collect())
+    assert got == [(1, 50, 0), (7, 41, 30), (7, 61, 0)]
+    odd = frame.selectExpr("*", "1 as __doc", "2 as __tag", "3 as __spans", "4 as __id", "5 as __own", "6 as __n")
+    assert substring_dedup.clean(odd).columns == odd.columns and substring_dedup.clean(odd).where("__spans = 3 and __tag = 2").count() == 3
+    kept = corpus_pipeline.near_copies(spark, odd, "")
+    assert kept.columns == odd.columns and kept.where("__id = 4 and __n = 6").count() == 3
+
+
 def test_automaton_statistics_are_longest_earlier_matches():
     rng = random.Random(5)
     auto, read = substring_dedup.SuffixAutomaton(), []

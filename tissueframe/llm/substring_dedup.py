@@ -18,14 +18,14 @@ that may match them instead.
 
 Defined cases: null text is an empty text; shorter texts than a window lose nothing; a null id sorts first; rows that
 repeat id and text are one place in the corpus and do not remove each other; rows that share an id but not the text
-are ordered by a checksum of the text.  Other columns are ignored.
+are ordered by a 64-bit hash of the text; bytes that are not UTF-8 are written as U+FFFD; a text longer than a pack is
+a pack of its own; an empty table stays empty.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +33,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
-from .textops import Ranges, Words, packs, text_bytes
+from .textops import Ranges, Words, free_names, packs, text_bytes
 
 #: Different stretches of one anchor that one automaton takes; beyond it windows are compared one by one.
 REFERENCES = 512
 #: Most windows that share an anchor, so place and size of a stretch fit in the low bits of ``at``.
 SPAN = 15
-_TAG = (1 << 20) - 1
 _NO_ID = -(1 << 63)
 
 
@@ -121,40 +120,43 @@ def _stretches(texts: list[bytes], min_words: int):
 
 
 def stretches(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``(doc, at, anchor, stretch)`` of every document; ``at`` sorts by text tag and place of the anchor."""
+    """``(doc, tag, at, anchor, stretch)`` of every document; ``at`` sorts by place of the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = text_bytes(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
+            texts = text_bytes(batch.column(1))
+            ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for a, b in packs(texts):
                 if (found := _stretches(texts[a:b], min_words)) is None:
                     continue
                 doc, place, anchor, stretch, start, n = found
-                tag = np.array([crc32(t) & _TAG for t in texts[a:b]], np.int64)
-                at = tag[doc] << 43 | place << 12 | (place - start) << 6 | (n - 1)
+                at = place << 12 | (place - start) << 6 | (n - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b][doc]), pa.array(at), pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64))],
-                    names=["doc", "at", "anchor", "stretch"])
+                    [pa.array(ids[a:b][doc]), pa.array(tags[a:b][doc]), pa.array(at), pa.array(anchor.view(np.int64)),
+                     pa.array(stretch.view(np.int64))], names=["doc", "tag", "at", "anchor", "stretch"])
 
-    return docs.select(_doc(id_col), F.col(text_col).alias("t")).mapInArrow(
-        run, "doc long, at long, anchor long, stretch long")
+    return docs.select(_doc(id_col), F.col(text_col).alias("t"), _tag(text_col)).mapInArrow(
+        run, "doc long, tag long, at long, anchor long, stretch long")
 
 
 def _doc(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("doc")
 
 
+def _tag(text_col: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag")
+
+
 def _windows(at) -> tuple:
     """First window and number of windows from ``at``; works on Columns and on ints."""
     if isinstance(at, Column):
-        low = at.bitwiseAND((1 << 43) - 1)
-        return F.shiftright(low, 12) - F.shiftright(low, 6).bitwiseAND(63), low.bitwiseAND(63) + 1
-    return (at >> 12 & (1 << 31) - 1) - (at >> 6 & 63), (at & 63) + 1
+        return F.shiftright(at, 12) - F.shiftright(at, 6).bitwiseAND(63), at.bitwiseAND(63) + 1
+    return (at >> 12) - (at >> 6 & 63), (at & 63) + 1
 
 
 def _spans(rows: DataFrame, start: Column, end: Column) -> DataFrame:
-    return rows.select("doc", F.shiftrightunsigned("at", 43).alias("tag"), start.cast("long").alias("start"),
-                       end.cast("long").alias("end"))
+    return rows.select("doc", "tag", start.cast("long").alias("start"), end.cast("long").alias("end"))
 
 
 def _packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -165,10 +167,10 @@ def _packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column(1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([crc32(t) & _TAG for t in texts], pa.int64()), batch.column(2),
-                 pa.array(map(press.compress, texts), pa.binary())], names=["doc", "tag", "id", "z"])
+                [batch.column(0), batch.column(3), batch.column(2), pa.array(map(press.compress, texts), pa.binary())],
+                names=["doc", "tag", "id", "z"])
 
-    return docs.select(_doc(id_col), F.col(text_col).alias("t"), F.col(id_col).cast("long").alias("id")).mapInArrow(
+    return docs.select(_doc(id_col), F.col(text_col).alias("t"), F.col(id_col).cast("long").alias("id"), _tag(text_col)).mapInArrow(
         run, "doc long, tag long, id long, z binary")
 
 
@@ -177,24 +179,24 @@ def _open(z: bytes | None) -> bytes:
 
 
 def _texts_of(docs: DataFrame, places: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """Add the words of each stretch ``(anchor, doc, at)``; a document's list is no longer than its text."""
-    lists = places.groupBy("doc", F.shiftrightunsigned("at", 43).alias("tag")).agg(
+    """Add the words of each stretch ``(anchor, doc, tag, at)``; a document's list is no longer than its text."""
+    lists = places.groupBy("doc", "tag").agg(
         F.collect_list(F.struct("at", "anchor", "hot")).alias("places"))
 
     def run(batches):
         for batch in batches:
-            rows = {"anchor": [], "doc": [], "at": [], "hot": [], "words": []}
-            for doc, z, places in zip(*(c.to_pylist() for c in batch.columns)):
+            rows = {"anchor": [], "doc": [], "tag": [], "at": [], "hot": [], "words": []}
+            for doc, tag, z, places in zip(*(c.to_pylist() for c in batch.columns)):
                 words = _open(z).split()
                 for x in {(x["at"], x["anchor"], x["hot"]) for x in places}:
                     start, n = _windows(x[0])
-                    for key, value in zip(rows, (x[1], doc, x[0], x[2], b" ".join(words[start: start + n + min_words - 1]))):
+                    for key, value in zip(rows, (x[1], doc, tag, x[0], x[2], b" ".join(words[start: start + n + min_words - 1]))):
                         rows[key].append(value)
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(
-                {"anchor": pa.int64(), "doc": pa.int64(), "at": pa.int64(), "hot": pa.bool_(), "words": pa.binary()}))
+                {"anchor": pa.int64(), "doc": pa.int64(), "tag": pa.int64(), "at": pa.int64(), "hot": pa.bool_(), "words": pa.binary()}))
 
-    return _packed(docs, id_col, text_col).drop("id").join(lists, ["doc", "tag"]).select("doc", "z", "places").mapInArrow(
-        run, "anchor long, doc long, at long, hot boolean, words binary")
+    return _packed(docs, id_col, text_col).drop("id").join(lists, ["doc", "tag"]).select("doc", "tag", "z", "places").mapInArrow(
+        run, "anchor long, doc long, tag long, at long, hot boolean, words binary")
 
 
 def _shards(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
@@ -202,10 +204,10 @@ def _shards(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
     anchor, automaton, last = None, SuffixAutomaton(), None
     for batch in batches:
         rows = {"doc": [], "tag": [], "start": [], "end": []}
-        for key, doc, at, words in zip(*(c.to_pylist() for c in batch.columns)):
-            if (key, doc, at) == last:
+        for key, doc, tag, at, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if (key, doc, tag, at) == last:
                 continue  # a repeated row of the corpus
-            last = key, doc, at
+            last = key, doc, tag, at
             if key != anchor:
                 anchor, automaton = key, SuffixAutomaton()
             start, n = _windows(at)
@@ -214,33 +216,38 @@ def _shards(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Re
                 if match >= min_words:
                     open_at = i if open_at is None else open_at
                 elif open_at is not None:
-                    for name, value in zip(rows, (doc, at >> 43, start + open_at, start + i + min_words - 1)):
+                    for name, value in zip(rows, (doc, tag, start + open_at, start + i + min_words - 1)):
                         rows[name].append(value)
                     open_at = None
         yield pa.RecordBatch.from_pydict(rows, schema=pa.schema({k: pa.int64() for k in rows}))
 
 
+def _other() -> Column:
+    """A place other than the first one."""
+    return (F.col("doc") != F.col("first.doc")) | (F.col("tag") != F.col("first.tag")) | (F.col("at") != F.col("first.at"))
+
+
 def redundant_spans(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text",
                     references: int = REFERENCES) -> DataFrame:
     """``(doc, tag, start, end)``: word ranges under windows that occur earlier; ranges may overlap."""
     found = stretches(docs, min_words, id_col, text_col)
     again = cut(found.groupBy("anchor").count().where("count > 1").select("anchor"))  # apart, so that hot anchors can be split
-    rows = cut(found.join(again, "anchor").select("doc", "at", "anchor", "stretch"))
-    equal = cut(rows.groupBy("anchor", "stretch").agg(F.min(F.struct("doc", "at")).alias("first"), F.count("*").alias("n")))
+    rows = cut(found.join(again, "anchor").select("doc", "tag", "at", "anchor", "stretch"))
+    equal = cut(rows.groupBy("anchor", "stretch").agg(F.min(F.struct("doc", "tag", "at")).alias("first"), F.count("*").alias("n")))
     start, n = _windows(F.col("at"))
     copies = rows.join(equal.where("n > 1").select("anchor", "stretch", "first"), ["anchor", "stretch"]).where(
-        (F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
+        _other())
     several = cut(equal.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1"))
-    places = equal.join(several, "anchor").select("anchor", "first.doc", "first.at", (F.col("k") > references).alias("hot"))
+    places = equal.join(several, "anchor").select("anchor", "first.doc", "first.tag", "first.at", (F.col("k") > references).alias("hot"))
     texts = cut(_texts_of(docs, places, min_words, id_col, text_col))
-    dealt = texts.where("not hot").select("anchor", "doc", "at", "words").repartition("anchor").sortWithinPartitions(
-        "anchor", "doc", "at")
+    dealt = texts.where("not hot").select("anchor", "doc", "tag", "at", "words").repartition("anchor").sortWithinPartitions(
+        "anchor", "doc", "tag", "at")
     matched = dealt.mapInArrow(lambda batches: _shards(batches, min_words), "doc long, tag long, start long, end long")
     split = F.split(F.col("words").cast("string"), " ")
     windows = (texts.where("hot").withColumn("i", F.explode(F.sequence(F.lit(0), F.size(split) - min_words)))
-               .select("doc", "at", "i", "anchor", F.sha2(F.array_join(F.slice(split, F.col("i") + 1, min_words), " "), 256).alias("w")))
-    earliest = cut(windows.groupBy("anchor", "w").agg(F.min(F.struct("doc", "at")).alias("first")))  # apart, as above
-    late = windows.join(earliest.hint("merge"), ["anchor", "w"]).where((F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
+               .select("doc", "tag", "at", "i", "anchor", F.sha2(F.array_join(F.slice(split, F.col("i") + 1, min_words), " "), 256).alias("w")))
+    earliest = cut(windows.groupBy("anchor", "w").agg(F.min(F.struct("doc", "tag", "at")).alias("first")))  # apart, as above
+    late = windows.join(earliest.hint("merge"), ["anchor", "w"]).where(_other())
     return (_spans(copies, start, start + n + (min_words - 1)).unionByName(matched)
             .unionByName(_spans(late, start + F.col("i"), start + F.col("i") + min_words)))
 
@@ -269,7 +276,7 @@ def dedup(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col
                 kept = _kept(words, gone) if gone else words
                 text = b" ".join(kept)
                 for name, value in zip(rows, (doc_id, len(words), len(words) - len(kept),
-                                              hashlib.sha256(text).hexdigest() if digest else text.decode())):
+                                              hashlib.sha256(text).hexdigest() if digest else text.decode("utf-8", "replace"))):
                     rows[name].append(value)
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema(
                 {"doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(), last: pa.string()}))
@@ -285,8 +292,8 @@ def clean(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col
     all its words goes.
     """
     spans = redundant_spans(docs, min_words, id_col, text_col)
-    lists = spans.groupBy(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).agg(
-        F.collect_set(F.struct("start", "end")).alias("__spans"))
+    doc, tag, gone_at = free_names(docs, "doc", "tag", "spans")
+    lists = spans.groupBy(F.col("doc").alias(doc), F.col("tag").alias(tag)).agg(F.collect_set(F.struct("start", "end")).alias(gone_at))
     at, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):
@@ -295,11 +302,10 @@ def clean(docs: DataFrame, min_words: int = 20, id_col: str = "doc_id", text_col
             out = batch.column(at).to_pylist()
             for i, (text, spans) in enumerate(zip(texts, gone)):
                 if spans:
-                    out[i] = b" ".join(_kept(text.split(), spans)).decode()
+                    out[i] = b" ".join(_kept(text.split(), spans)).decode("utf-8", "replace")
                 keep.append(not spans or bool(out[i]))
             columns = [*batch.columns[:at], pa.array(out, pa.string()), *batch.columns[at + 1: -1]]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    tag = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).bitwiseAND(_TAG)
-    keyed = docs.withColumns({"__doc": F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), "__tag": tag})
-    return keyed.join(lists, ["__doc", "__tag"], "left").select(*names, "__spans").mapInArrow(run, docs.schema)
+    keyed = docs.withColumns({doc: F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), tag: _tag(text_col)})
+    return keyed.join(lists, [doc, tag], "left").select(*names, gone_at).mapInArrow(run, docs.schema)

@@ -101,3 +101,14 @@ class Words:
 def text_bytes(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column; null is empty."""
     return [b"" if t is None else t for t in column.cast("binary").to_pylist()]
+
+
+def free_names(df, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = f"__{name}"
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
