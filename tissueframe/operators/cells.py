@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.buckets import bucket, near_join, points_in_runs
 from ..plans.islands import area
+from ..plans.quantiles import medians, percentiles
+from ..plans.tiles import TILE
 from ..session import cut, small
 from .masks import centroids
 
@@ -73,11 +77,12 @@ def cell_obs(assigned: DataFrame, runs: DataFrame) -> DataFrame:
 
 def cell_summary(obs: DataFrame) -> DataFrame:
     """Cells per chip with truncated means and medians."""
-    cols = []
-    for name in ("area", "n_gene", "mid"):
-        cols += [F.avg(name).cast("long").alias(f"mean_{name}"),
-                 F.percentile(name, F.lit(0.5)).cast("long").alias(f"median_{name}")]
-    return obs.groupBy("chip").agg(F.count("*").alias("n_cells"), *cols)
+    names = ("area", "n_gene", "mid")
+    obs = cut(obs.select("chip", *names))
+    mean = obs.groupBy("chip").agg(F.count("*").alias("n_cells"), *[F.avg(c).cast("long").alias(f"mean_{c}") for c in names])
+    middle = medians(obs, ("chip",), names).select("chip", *[F.col(c).cast("long").alias(f"median_{c}") for c in names])
+    pairs = [f"{kind}_{c}" for c in names for kind in ("mean", "median")]
+    return mean.join(middle, "chip").select("chip", "n_cells", *pairs)
 
 
 def fraction_rich_cells(obs: DataFrame, genes: int = 200) -> DataFrame:
@@ -101,9 +106,8 @@ def cell_to_tissue_ratio(assigned: DataFrame, tissue_expr: DataFrame) -> DataFra
 def five_number(obs: DataFrame, cols: tuple[str, ...]) -> DataFrame:
     """Minimum, quartiles, maximum (rounded to 3) and the rows left for plotting."""
     long = cut(obs).unpivot(["chip"], [F.col(c).cast("double").alias(c) for c in cols], "name", "value")
-    quart = long.groupBy("chip", "name").agg(
-        F.min("value").alias("min"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.max("value").alias("max"))
+    quart = percentiles(long, ("chip", "name"), "value", (0.0, 0.25, 0.5, 0.75, 1.0)).select(
+        "chip", "name", F.col("q")[0].alias("min"), F.slice("q", 2, 3).alias("q"), F.col("q")[4].alias("max"))
     fence = small(quart.withColumn("fence", F.col("q")[2] + 2 * (F.col("q")[2] - F.col("q")[0])))
     kept = (long.join(fence.select("chip", "name", "fence"), ["chip", "name"])
             .groupBy("chip", "name").agg(F.sum((F.col("value") <= F.col("fence")).cast("long")).alias("plotted")))
@@ -116,27 +120,28 @@ def five_number(obs: DataFrame, cols: tuple[str, ...]) -> DataFrame:
 def cell_density(obs: DataFrame, r: int = 200) -> DataFrame:
     """Other cells within distance ``r`` of each integer position ``(chip, cell_id, x, y)``.
 
-    A sweep along pixel rows: every position asks each row within reach for the
-    number of cells between two columns, read off a running sum.  No pairs are
-    formed, so crowded spots cost the same as empty ones.
+    Positions are sent to the tiles within reach, at most nine.  A tile sums its rows up once and reads off each row the
+    cells between two columns for all its positions at a time.  No pairs are formed, and a pile of cells is one position.
     """
-    sites = obs.groupBy("chip", "x", "y").agg(F.count("*").alias("n"))
-    rows = sites.select("chip", "y").distinct()
-    span = F.floor(F.sqrt(F.lit(r * r) - F.col("dy") * F.col("dy"))).cast("long")
-    ask = (sites.select("chip", F.col("x").alias("qx"), F.col("y").alias("qy"),
-                        F.explode(F.sequence(F.lit(-r), F.lit(r))).alias("dy"))
-           .withColumn("y", F.col("qy") + F.col("dy"))
-           .join(rows, ["chip", "y"], "left_semi")
-           .select("chip", "y", "qx", "qy", F.explode(F.array(
-               F.struct((F.col("qx") + span).alias("x"), F.lit(1).alias("sign")),
-               F.struct((F.col("qx") - span - 1).alias("x"), F.lit(-1).alias("sign")))).alias("e"))
-           .select("chip", "y", F.col("e.x").alias("x"), "qx", "qy", "e.sign", F.lit(0).cast("long").alias("n")))
-    events = sites.select("chip", "y", "x", F.lit(None).cast("long").alias("qx"), F.lit(None).cast("long").alias("qy"),
-                          F.lit(0).alias("sign"), "n").unionByName(ask)
-    sweep = Window.partitionBy("chip", "y").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (events.withColumn("_upto", F.sum("n").over(sweep)).where("sign <> 0")
-             .groupBy("chip", F.col("qx").alias("x"), F.col("qy").alias("y"))
-             .agg((F.sum(F.col("sign") * F.col("_upto")) - 1).cast("long").alias("density")))
+    size = max(TILE, r)
+    sites = obs.groupBy("chip", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")).agg(F.count("*").alias("n"))
+    near = lambda c: F.explode(F.sequence(bucket(F.col(c) - r, size), bucket(F.col(c) + r, size)))
+    tiles = sites.withColumn("ty", near("y")).withColumn("tx", near("x"))
+    span = np.floor(np.sqrt(r * r - np.arange(-r, r + 1) ** 2)).astype(int)
+
+    def count(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        _, ty, tx = map(int, key)
+        y, x = part["y"].to_numpy() - (ty * size - r), part["x"].to_numpy() - (tx * size - r)
+        upto = np.zeros((size + 2 * r, size + 2 * r + 1), np.int64)
+        upto[y, x + 1] = part["n"].to_numpy()
+        np.cumsum(upto, axis=1, out=upto)
+        own = (y >= r) & (y < r + size) & (x >= r) & (x < r + size)
+        y, x, total = y[own], x[own], np.full(int(own.sum()), -1)
+        for dy, wide in zip(range(-r, r + 1), span):
+            total += upto[y + dy, x + wide + 1] - upto[y + dy, x - wide]
+        return part.loc[own, ["chip", "x", "y"]].assign(density=total)
+
+    found = tiles.groupBy("chip", "ty", "tx").applyInPandas(count, "chip long, x long, y long, density long")
     return obs.join(found, ["chip", "x", "y"]).select("chip", "cell_id", "density")
 
 
@@ -227,7 +232,7 @@ def highly_variable(cell_gene: DataFrame, min_counts: int = 100, min_genes: int
         F.coalesce(F.sum(F.when(mt, F.col("mid"))), F.lit(0)).alias("mt"))
     good = cut(cells).where((F.col("total") >= min_counts) & F.col("genes").between(min_genes, max_genes)
                        & (F.col("mt") / F.col("total") < max_mt))
-    scale = small(good.groupBy("chip").agg(F.percentile("total", F.lit(0.5)).alias("_med"), F.count("*").alias("_n")))
+    scale = small(percentiles(good, ("chip",), "total", (0.5,)).select("chip", F.col("q")[0].alias("_med"), F.col("n").alias("_n")))
     norm = (cell_gene.join(good.select("chip", "cell_id", "total"), ["chip", "cell_id"]).join(scale, "chip")
             .withColumn("_v", F.log1p(F.col("mid") * F.col("_med") / F.col("total"))))
     # absent entries are zeros: moments use the number of cells, not of rows

@@ -63,7 +63,8 @@ def map_label_tiles(runs: DataFrame, fn: Callable[[np.ndarray], np.ndarray], hal
         done.insert(0, "chip", chip)
         return done
 
-    tiles = runs_to_tiles(runs.select("chip", "label", "y", "x0", "x1"), halo, size).distinct()
+    # repeated runs go after the shuffle by tile, which serves both
+    tiles = runs_to_tiles(runs.select("chip", "label", "y", "x0", "x1"), halo, size).repartition("chip", "ty", "tx").distinct()
     out = tiles.groupBy("chip", "ty", "tx").applyInPandas(
         one, "chip long, label long, y long, x0 long, x1 long")
     from .islands import merge_runs
