@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
@@ -38,8 +39,9 @@ MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 #: Share of the documents in the sample (one in so many) and what lowers the support there.
 SAMPLE, LOWERED = 8, 0.5
 #: Bits of a table of proposed phrases (8 MB), and phrases a task adds up before it hands them on.
-BITS, HELD = 1 << 26, 200_000
-COUNTS = "lang string, k int, phrase string, n long"
+BITS, HELD = 1 << 26, 300_000
+#: Language, number of words and phrase are one string in the shuffle, which costs less than three columns.
+COUNTS, MARK = "key string, n long", "\x1f"
 
 _CLEAN = bytearray(range(256))
 _CLEAN[65:91] = range(97, 123)
@@ -63,14 +65,17 @@ class Phrases:
         self.start, self.end = edge[::2], edge[1::2]
         self._hash = Ranges(byte_values(view), "byte")
         self._salt = _salt(lang)
+        self._known: dict[int, np.ndarray] = {}
         self.next = np.zeros(len(self.start), bool)  # the next word follows in the same piece
         if len(self.start) > 1:
             self.next[:-1] = (self.start[1:] == self.end[:-1] + 1) & (view[self.end[:-1]] == 32)
 
     def hashes(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on, with the language; of no meaning where they are not in one piece."""
-        n = max(0, len(self.start) - k + 1)
-        return mix(self._hash.hash(self.start[:n], self.end[k - 1: k - 1 + n]) + self._salt)
+        if k not in self._known:
+            n = max(0, len(self.start) - k + 1)
+            self._known[k] = mix(self._hash.hash(self.start[:n], self.end[k - 1: k - 1 + n]) + self._salt)
+        return self._known[k]
 
 
 def _salt(lang: bytes) -> np.uint64:
@@ -84,8 +89,10 @@ def _positions(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _hit(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     a, b = _positions(hashes)
-    bit = lambda x: (table[(x >> np.uint64(3)).astype(np.int64)] >> (x & np.uint64(7)).astype(np.uint8)) & 1
-    return (bit(a) & bit(b)).astype(bool)
+    bit = lambda x: (table[(x >> np.uint64(3)).view(np.int64)] >> (x & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    hit = bit(a)
+    hit[hit] = bit(b[hit])
+    return hit
 
 
 def _opened(found: Phrases, tables: dict[int, np.ndarray] | None, longest: int) -> dict[int, np.ndarray]:
@@ -139,18 +146,21 @@ def count(docs: DataFrame, lang: Column, text: Column, now, before, longest: int
         yield from _rows(sums)
 
     table = docs.select(F.coalesce(lang.cast("string"), F.lit("und")).alias("lang"), text.alias("t"))
-    return table.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    sums = table.mapInArrow(run, COUNTS).groupBy("key").agg(F.sum("n").alias("n"))
+    # <words>\x1f<length of the language>\x1f<language><phrase>: a language may hold any character
+    k, rest = F.substring_index("key", MARK, 1), F.expr(f"substring(key, locate('{MARK}', key) + 1)")
+    split = sums.select(k.cast("int").alias("k"), rest.alias("r"), "n").select(
+        "k", F.substring_index("r", MARK, 1).cast("int").alias("m"), F.expr(f"substring(r, locate('{MARK}', r) + 1)").alias("r"), "n")
+    return split.select(F.expr("left(r, m)").alias("lang"), "k", F.expr("substring(r, m + 1)").alias("phrase"), "n")
 
 
 def _rows(sums: dict[tuple[bytes, int], Counter]) -> Iterator[pa.RecordBatch]:
-    text = lambda x: x.cast(pa.string(), safe=False)
     for (tongue, k), own in sums.items():
-        words, n = list(own), len(own)
-        for i in range(0, n, 100_000):
+        head, words = f"{k}{MARK}{len(tongue.decode('utf-8', 'replace'))}{MARK}".encode() + tongue, list(own)
+        for i in range(0, len(words), 100_000):
             part = words[i: i + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [text(pa.array([tongue] * len(part), pa.binary())), pa.array([k] * len(part), pa.int32()), text(pa.array(part, pa.binary())),
-                 pa.array([own[x] for x in part], pa.int64())], names=["lang", "k", "phrase", "n"])
+            keys = pc.binary_join_element_wise(pa.scalar(head), pa.array(part, pa.binary()), pa.scalar(b""))
+            yield pa.RecordBatch.from_arrays([keys.cast(pa.string(), safe=False), pa.array([own[x] for x in part], pa.int64())], names=["key", "n"])
 
 
 def _tables(proposed: DataFrame, longest: int) -> dict[int, np.ndarray]:
