@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .functions import intensity
 from .operators import cells, cluster, images, masks, morphology, reduction, registration, stitching
 from .session import cut, small
+from .sources import cell_tables, records
 
 
 def extract_matrix(expression: DataFrame, tissue: DataFrame, nuclei: DataFrame, cell: DataFrame | None = None, r: int = 10,
@@ -32,6 +33,40 @@ def extract_matrix(expression: DataFrame, tissue: DataFrame, nuclei: DataFrame,
     return out
 
 
+def write_matrix(tables: dict[str, DataFrame], path: str) -> None:
+    """The nuclear and the cell tables of ``extract_matrix`` as ``path/nuclear`` and ``path/cell``, laid out by cell."""
+    for name in ("nuclear", "cell"):
+        cell_tables.write_cells(tables[f"{name}_cell"], tables[f"{name}_gene"], f"{path}/{name}")
+
+
+def metrics_by_variant(expression: DataFrame, variants: dict[str, DataFrame], tissue: DataFrame, **options) -> DataFrame:
+    """``metrics_job`` of every mask variant (nuclear, cell, ...) as ``(chip, variant, section, name, value)``."""
+    parts = [metrics_job(expression, mask, tissue, **options).withColumn("variant", F.lit(name)) for name, mask in variants.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def metrics_tables(expression: DataFrame, variants: dict[str, DataFrame], tissue: DataFrame, pixels: DataFrame,
+                   clusters: DataFrame | None = None, size: int = 20, width: float = 8.0) -> dict[str, DataFrame]:
+    """The tables behind the report of a chip, each with a ``variant`` column.
+
+    ``heatmap``: binned counts of the tissue (variant ``tissue``) and of the cells of each mask; ``ratio``: share of the
+    tissue's intensity in the mask; ``intensity``: histogram of the mean intensity of its objects; ``clusters``: binned
+    positions with the size of their cluster, for ``clusters(chip, cell_id, cluster, cx, cy)``.
+    """
+    inside = cut(cells.points_in_tissue(expression, tissue))
+    tag = lambda df, name: df.withColumn("variant", F.lit(name))
+    heat = [tag(cells.bin_heatmap(inside, size), "tissue")]
+    ratio, hist = [], []
+    for name, mask in variants.items():
+        heat.append(tag(cells.bin_heatmap(cells.assign_cells(inside, mask).where("cell_id > 0"), size), name))
+        ratio.append(tag(images.intensity_ratio(mask, tissue, pixels), name))
+        hist.append(tag(images.intensity_histogram(images.object_intensity(mask, pixels), width), name))
+    out = {name: reduce(DataFrame.unionByName, parts) for name, parts in (("heatmap", heat), ("ratio", ratio), ("intensity", hist))}
+    if clusters is not None:
+        out["clusters"] = images.cluster_report(clusters)
+    return out
+
+
 def metrics_job(expression: DataFrame, nuclei: DataFrame, tissue: DataFrame, radius: int = 200,
                 resolution: float = 500.0) -> DataFrame:
     """All cell metrics of a chip as ``(chip, section, name, value)``, from the points in tissue."""
@@ -88,6 +123,20 @@ def gene_registration(dnb: DataFrame, image: DataFrame, candidates, shape: tuple
             "alignment": registration.best_alignment(registration.align_score(fixed, image, candidates, shape=shape))}
 
 
+def register_points(detected: DataFrame, template: DataFrame, shape: tuple[int, int], anchor: tuple[float, float],
+                    reach: float = 10.0) -> dict[str, DataFrame]:
+    """Detected track points against a template ``(chip, x, y, ix, iy)``.
+
+    ``pairs``: nearest template point of each detected point within ``reach``; ``offset``: median displacement of the
+    pairs; ``turns``: offset of every quarter turn that moves its zero-index point nearest the anchor onto the anchor;
+    ``turn``: the turn that moves least.
+    """
+    pairs = cut(registration.pair_nearest(detected, template, reach))
+    turns = cut(registration.align_rank(template, shape, anchor, anchor))
+    best = turns.groupBy("chip").agg(F.min(F.struct("dist", "rot", "offset_x", "offset_y")).alias("m"))
+    return {"pairs": pairs, "offset": registration.median_offset(pairs), "turns": turns, "turn": best.select("chip", "m.*")}
+
+
 def stitch_plan(fov: DataFrame, jitter: DataFrame, w: int, h: int, overlap: float = 0.1, conf: int = 2) -> dict[str, DataFrame]:
     """Cleaned offsets, their residuals and the location of every field of view."""
     clean = cut(stitching.jitter_consensus(stitching.filter_abnormal_offset(jitter, conf)))
@@ -95,6 +144,27 @@ def stitch_plan(fov: DataFrame, jitter: DataFrame, w: int, h: int, overlap: floa
             "location": stitching.fov_global_location(fov, clean, w, h, overlap)}
 
 
+def stitch_slides(paths: DataFrame, jitter: DataFrame, pixels: DataFrame, w: int, h: int, cols: int, overlap: float = 0.1,
+                  conf: int = 2, pattern: str = "*_{xxx}_{xxx}_*", index0: bool = True, line_scan: bool = False,
+                  snake: tuple[int, str] | None = None) -> dict[str, DataFrame]:
+    """From the files ``(slide, path)`` of scanned slides to their mosaics.
+
+    Rows and columns come from the file names.  With ``snake = (rows, corner)`` the names count fields along a snake
+    of ``cols`` columns (their last number, the first being 0) and are turned into rows and columns; offsets and pixels
+    are keyed by row and column in either case.  ``line_scan`` places a slide by the median offsets of its columns.
+    """
+    found = records.scan_fov_listing(paths, pattern, index0).join(paths.select("slide", "path"), "path")
+    if snake:
+        rows, corner = snake
+        found = stitching.snake_reorder(found.withColumn("k", F.col("r") * cols + F.col("c")), rows, cols, corner).drop("k")
+    fov = cut(found.select("slide", "path", "r", "c"))
+    out = stitch_plan(fov, jitter, w, h, overlap, conf)
+    if line_scan:
+        out["location"] = stitching.line_scan_location(fov, out["jitter"], w, h, overlap)
+    out["location"] = cut(out["location"])
+    return out | {"fov": fov, "mosaic": stitching.mosaic(pixels, out["location"], cols)}
+
+
 def template_fit(track: DataFrame, template: DataFrame, conf: float = 0.5) -> dict[str, DataFrame]:
     """Scores, line angle per field and the quality of a template against detected points."""
     good = cut(track.where(F.col("conf") > conf))
@@ -105,6 +175,26 @@ def template_fit(track: DataFrame, template: DataFrame, conf: float = 0.5) -> di
             "offset": registration.median_offset(registration.pair_nearest(points.select("chip", "id", "x", "y"), template, 10))}
 
 
+def field_fit(track: DataFrame, boxes: DataFrame, shape: tuple[int, int], scales: tuple[float, ...], max_d: float,
+              conf: float = 0.5, min_area: float = 0.0, template=registration.TEMPLATE) -> dict[str, DataFrame]:
+    """Template scale per field and the area that the track points of a mosaic cover.
+
+    ``track`` holds points in the pixels of their field ``(chip, fov_row, fov_col, id, x, y, conf)``, ``boxes`` the
+    origin ``x0, y0`` of each field.  ``scale``: usual scale and start index per field; ``points``: positions in the
+    mosaic; ``area``: hull of the clusters of points closer than ``max_d`` over ``shape``; ``passed`` where it is at
+    least ``min_area`` (chips without a cluster have area 0).
+    """
+    keys = ("chip", "fov_row", "fov_col")
+    good = cut(track.where(F.col("conf") > conf).select(*keys, "id", "x", "y"))
+    points = cut(good.join(boxes.select(*keys, "x0", "y0"), [*keys])
+                 .select(*keys, "id", (F.col("x") + F.col("x0")).alias("x"), (F.col("y") + F.col("y0")).alias("y")))
+    hull = registration.point_cluster_area(points.select("chip", "id", "x", "y"), max_d, shape)
+    area = points.select("chip").distinct().join(hull, "chip", "left").select(
+        "chip", F.coalesce("area_ratio", F.lit(0.0)).alias("area_ratio"))
+    return {"points": points, "scale": registration.scale_search(good, keys, scales, template=template),
+            "area": area.withColumn("passed", F.col("area_ratio") >= min_area)}
+
+
 def cluster_job(cell_gene: DataFrame, components: int = 8, neighbours: int = 10, top: int = 5000, **hvg) -> DataFrame:
     """Communities of cells from their highly variable genes.
 
