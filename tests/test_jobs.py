@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from tissueframe import jobs
+from tissueframe.operators import registration
 
 
 def test_slides_from_file_names_to_mosaic(spark):
@@ -77,3 +78,22 @@ def test_written_matrix_and_variants(spark, grid, tmp_path):
     assert {r["variant"]: r["ratio"] for r in out["ratio"].collect()} == {"nuclear": 3 / 8, "cell": 1.0}
     bins = sorted((r["variant"], r["bin"], r["n"]) for r in out["intensity"].collect())
     assert bins == [("cell", 1, 1), ("cell", 2, 1), ("nuclear", 1, 1), ("nuclear", 2, 1)]
+
+
+@pytest.mark.parametrize("support, step, box", [(10, 4, 24), (1, 4, 16), (3, 2, 10)])
+def test_chip_box_equals_every_box(spark, support, step, box):
+    rng = np.random.default_rng(support)
+    rows = [(c, int(x), int(y), 1) for c in (1, 2) for x, y in rng.integers(0, 60, (25 * c, 2))] + [(3, 47, 47, 1)] + [(4, 2, 2, 1)]
+    df = spark.createDataFrame(rows, "chip long, x long, y long, mid long")
+    got = {r["chip"]: (r["x"], r["y"], r["covered"]) for r in registration.chip_box_from_expression(df, box, support, step).collect()}
+    side, want = box // step, {}
+    for chip in (1, 2, 3, 4):
+        spots = [(x, y) for c, x, y, _ in rows if c == chip]
+        gw, gh = (max(x for x, _ in spots) + 1) // step, (max(y for _, y in spots) + 1) // step
+        near = lambda g, p: abs(g * step + step // 2 - p) <= support
+        on = np.array([[any(near(gx, x) and near(gy, y) for x, y in spots) for gx in range(gw)] for gy in range(gh)]).reshape(gh, gw)
+        boxes = [(-int(on[y:y + side, x:x + side].sum()), y, x) for y in range(gh - side) for x in range(gw - side)]
+        if boxes:
+            t, y, x = min(boxes)
+            want[chip] = (x * step, y * step, -t)
+    assert got == want

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry
 from ..plans.buckets import bucket, near_join, square_distance
+from ..plans.islands import merge_runs
 from ..session import cut, small
 from .components import point_components
 from .masks import nearest_site
-from .morphology import dilate
 
 #: Steps between the nine track lines of a period.
 PITCH = (240, 300, 330, 390, 390, 330, 300, 240, 420)
@@ -166,35 +166,44 @@ def chip_box_from_expression(dnb: DataFrame, box: int, support: int = 10, step:
     """Position of the ``box``-sized square that covers most supported grid cells.
 
     A grid cell counts when a spot lies within ``support`` pixels of its centre.
-    Row totals per candidate column come from coverage intervals, the vertical
-    sums from a sliding window; the first best in row-major order wins.  The
-    search is exact.
+    A spot is the run of grid columns it supports in each of its few grid rows.
+    What a box covers is, along x, piecewise linear with four bends per run of
+    grid cells and, along y, a step up and a step down per row.  Only these
+    events are summed: first down the columns, then along the rows, where the
+    ends of the linear pieces are the candidates.  The first best in row-major
+    order wins.  The search is exact.
     """
     side = box // step
-    runs = dnb.select("chip", "y", F.col("x").alias("x0"), F.col("x").alias("x1")).distinct()
     half = step // 2
-    cover = (dilate(runs, support).where(F.pmod(F.col("y") - half, F.lit(step)) == 0)
-             .select("chip", F.floor((F.col("y") - half) / step).cast("long").alias("gy"),
-                     F.ceil((F.col("x0") - half) / step).cast("long").alias("g0"),
-                     F.floor((F.col("x1") - half) / step).cast("long").alias("g1")))
-    extent = small(dnb.groupBy("chip").agg(F.floor((F.max("x") + 1) / step).cast("long").alias("_gw"),
-                                           F.floor((F.max("y") + 1) / step).cast("long").alias("_gh")))
-    cover = (cover.join(extent, "chip").withColumn("g0", F.greatest("g0", F.lit(0)))
-             .withColumn("g1", F.least("g1", F.col("_gw") - 1))
-             .where("g0 <= g1 and gy >= 0 and gy < _gh and _gw > {0} and _gh > {0}".format(side)))
-    lo = F.greatest(F.lit(0), F.col("g0") - (side - 1))
-    hi = F.least(F.col("g1"), F.col("_gw") - side - 1)
-    part = (cover.where(lo <= hi).select("chip", "gy", "g0", "g1", F.explode(F.sequence(lo, hi)).alias("bx"))
-            .select("chip", "gy", "bx", (F.least("g1", F.col("bx") + (side - 1))
-                                         - F.greatest("g0", "bx") + 1).alias("n")))
-    blank = (extent.where(f"_gw > {side} and _gh > {side}")
-             .select("chip", "_gw", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_gh") - side - 1)).alias("gy"))
-             .select("chip", "gy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_gw") - side - 1)).alias("bx"),
-                     F.lit(0).cast("long").alias("n")))
-    rows = part.unionByName(blank).groupBy("chip", "bx", "gy").agg(F.sum("n").alias("n"))
-    down = Window.partitionBy("chip", "bx").orderBy("gy").rangeBetween(0, side - 1)
-    boxes = rows.withColumn("t", F.sum("n").over(down)).join(extent, "chip").where(F.col("gy") < F.col("_gh") - side)
-    best = boxes.groupBy("chip").agg(F.max(F.struct("t", (-F.col("gy")).alias("ny"), (-F.col("bx")).alias("nx"))).alias("m"))
+    low = lambda c: F.ceil((F.col(c) - (support + half)) / step).cast("long")
+    high = lambda c: F.floor((F.col(c) + (support - half)) / step).cast("long")
+    spots = dnb.where(low("y") <= high("y")).select("chip", F.explode(F.sequence(low("y"), high("y"))).alias("gy"),
+                                                    low("x").alias("x0"), high("x").alias("x1"))
+    cover = merge_runs(spots.where("x0 <= x1"), ("chip", "gy")).withColumnsRenamed({"x0": "g0", "x1": "g1"})
+    grid = dnb.groupBy("chip").agg(F.floor((F.max("x") + 1) / step).cast("long").alias("_gw"),
+                                   F.floor((F.max("y") + 1) / step).cast("long").alias("_gh"))
+    last = small(grid.select("chip", "_gw", "_gh", (F.col("_gw") - side - 1).alias("_lx"), (F.col("_gh") - side - 1).alias("_ly"))
+                 .where("_lx >= 0 and _ly >= 0"))
+    cover = (cover.join(last, "chip").withColumn("g0", F.greatest("g0", F.lit(0)))
+             .withColumn("g1", F.least("g1", F.col("_gw") - 1)).where("g0 <= g1 and gy >= 0 and gy < _gh"))
+    event = lambda at, w: F.struct(at.cast("long").alias("at"), F.lit(w).cast("long").alias("w"))
+    bends = F.array(event(F.col("g0") - side + 1, 1), event(F.col("g1") - side + 2, -1), event(F.col("g0") + 1, -1), event(F.col("g1") + 2, 1))
+    steps = F.array(event(F.greatest(F.lit(0), F.col("gy") - side + 1), 1), event(F.col("gy") + 1, -1))
+    events = (cover.withColumn("s", F.explode(steps)).where("s.at <= _ly").withColumn("b", F.explode(bends)).where("b.at <= _lx")
+              .groupBy("chip", "_lx", "_ly", F.greatest(F.lit(0), F.col("b.at")).alias("bx"), F.col("s.at").alias("by"))
+              .agg(F.sum(F.col("s.w") * F.col("b.w")).alias("w"), F.sum(F.col("s.w") * F.col("b.w") * F.col("b.at")).alias("wa")))
+    down = Window.partitionBy("chip", "bx").orderBy("by")
+    columns = (events.select("chip", "_lx", "bx", "by", F.sum("w").over(down).alias("w"), F.sum("wa").over(down).alias("wa"),
+                             F.coalesce(F.lead("by").over(down) - 1, F.col("_ly")).alias("end"))
+               .where("w != 0 or wa != 0").withColumn("by", F.explode(F.sequence("by", "end"))))
+    along = Window.partitionBy("chip", "by").orderBy("bx")
+    pieces = columns.select("chip", "by", "bx", F.sum("w").over(along).alias("w"), F.sum("wa").over(along).alias("wa"),
+                            F.coalesce(F.lead("bx").over(along) - 1, F.col("_lx")).alias("end"))
+    at = (pieces.withColumn("x", F.explode(F.array("bx", "end")))
+          .select("chip", (F.col("w") * (F.col("x") + 1) - F.col("wa")).alias("t"), "by", F.col("x").alias("bx")))
+    zero = F.lit(0).cast("long")
+    best = (at.unionByName(last.select("chip", zero.alias("t"), zero.alias("by"), zero.alias("bx")))
+            .groupBy("chip").agg(F.max(F.struct("t", (-F.col("by")).alias("ny"), (-F.col("bx")).alias("nx"))).alias("m")))
     return best.select("chip", (-F.col("m.nx") * step).alias("x"), (-F.col("m.ny") * step).alias("y"),
                        F.col("m.t").cast("long").alias("covered"))
 
