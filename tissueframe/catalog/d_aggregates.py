@@ -381,20 +381,29 @@ def _(t):
     return stitching.filter_abnormal_offset(t.fov_jitter, 5)
 
 
-def _consensus(comp):
+def _consensus(comp, src="fov_jitter", gap=2):
     return f"""
-d_{comp} as (select slide, axis, {comp} val, count(*) n from fov_jitter where {comp} is not null group by 1,2,3),
+d_{comp} as (select slide, axis, {comp} val, count(*) n from {src} where {comp} is not null group by 1,2,3),
 g_{comp} as (select *, sum(brk) over (partition by slide, axis order by val) isl from
- (select *, case when val-lag(val) over (partition by slide, axis order by val)<=2 then 0 else 1 end brk from d_{comp})),
+ (select *, case when val-lag(val) over (partition by slide, axis order by val)<={gap} then 0 else 1 end brk from d_{comp})),
 k_{comp} as (select slide, axis, val from (select *, sum(n) over (partition by slide, axis, isl) k,
  sum(n) over (partition by slide, axis) tot from g_{comp}) where k>=0.1*tot)"""
 
 
-@query("d30_jitter_consensus", "with " + _consensus("dx").lstrip() + "," + _consensus("dy") + """
+def _agreed(src="fov_jitter"):
+    return f"""
 select j.slide, j.r, j.c, j.axis, case when kx.val is not null and ky.val is not null then dx end dx,
- case when kx.val is not null and ky.val is not null then dy end dy, conf from fov_jitter j
+ case when kx.val is not null and ky.val is not null then dy end dy, conf from {src} j
 left join k_dx kx on kx.slide=j.slide and kx.axis=j.axis and kx.val=dx
-left join k_dy ky on ky.slide=j.slide and ky.axis=j.axis and ky.val=dy""")
+left join k_dy ky on ky.slide=j.slide and ky.axis=j.axis and ky.val=dy"""
+
+
+#: Offsets inside the fence of confidence 5 that agree with others, as table ``clean``.
+CLEAN = (_fence("dx").lstrip() + "," + _step("dx", "fov_jitter", "f1") + "," + _fence("dy") + "," + _step("dy", "f1", "f2")
+         + "," + _consensus("dx", "f2", 10) + "," + _consensus("dy", "f2", 10) + ", clean as (" + _agreed("f2") + ")")
+
+
+@query("d30_jitter_consensus", "with " + _consensus("dx").lstrip() + "," + _consensus("dy") + _agreed())
 def _(t):
     return stitching.jitter_consensus(t.fov_jitter, gap=2)
 

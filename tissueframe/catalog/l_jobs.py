@@ -8,7 +8,7 @@ from ..session import scratch
 from ..sources import cell_tables
 from . import query
 from .bindings import TRACK
-from .d_aggregates import NEAREST, OBS, TURNS, assigned, fixed_moving
+from .d_aggregates import CLEAN, NEAREST, OBS, TURNS, assigned, fixed_moving
 
 R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
 
@@ -165,12 +165,21 @@ def _(t):
         "chip", "rot", whole("offset_x"), whole("offset_y"), *R("dist"), "pairs", "dx", "dy")
 
 
-@query("l06_stitch_slides")
+@query("l06_stitch_slides", "with " + CLEAN + """,
+med as (select slide, c, trunc(quantile_cont(dx,0.5)) dx, trunc(quantile_cont(dy,0.5)) dy from clean where axis='h' group by 1,2),
+cols as (select f.slide, f.c, dx, dy from (select distinct slide, c from fov) f left join med on med.slide=f.slide and med.c=f.c),
+par as (select slide, round_even(avg(case when c%2=0 then dx end),0) ex, round_even(avg(case when c%2=0 then dy end),0) ey,
+ round_even(avg(case when c%2=1 then dx end),0) ox, round_even(avg(case when c%2=1 then dy end),0) oy from cols where dx is not null group by slide),
+st as (select k.slide, c, coalesce(dx, case when c%2=1 then ox else ex end) sx, coalesce(dy, case when c%2=1 then oy else ey end) sy
+ from cols k join par on par.slide=k.slide where c>0),
+cum as (select slide, c, sum(sx+2000) over (partition by slide order by c) x, sum(sy) over (partition by slide order by c) y from st)
+select f.slide, cast(f.r*1800+coalesce(cum.y,0)+100 as bigint) y, cast(coalesce(cum.x, f.c*1800)+100 as bigint) x, k%251 v
+from fov f left join cum on cum.slide=f.slide and cum.c=f.c""")
 def _(t):
     paths = t.sql("select slide, concat('/slides/', slide, '/img_', lpad(cast(k div 20 as string),4,'0'), '_', "
                   "lpad(cast(k%20 as string),4,'0'), '_z.tif') path from {fov}")
     pixels = t.sql("select slide, r, c, cast(100 as bigint) y, cast(100 as bigint) x, k%251 v from {fov}")
-    out = jobs.stitch_slides(paths, t.fov_jitter, pixels, 2000, 2000, 20, line_scan=True)
+    out = jobs.stitch_slides(paths, t.fov_jitter, pixels, 2000, 2000, 20, conf=5, line_scan=True)
     return out["mosaic"]
 
 
