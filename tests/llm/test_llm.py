@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -69,6 +70,12 @@ def test_toxicity(spark):
     args = (rows["y"].to_numpy().astype(float), np.repeat(np.arange(len(size)), size), rows["words"].combine_chunks().flatten().to_numpy().view(np.uint64))
     free, fair = (toxicity.fit(*args, fairness=x).scores([b"muslims", b"christians"]) for x in (0.0, 5.0))
     assert abs(fair[0] - fair[1]) < abs(free[0] - free[1])
+    # own terms: names that only toxic texts hold weigh nearly the same as the name they are swapped with
+    apart = [toxicity.train(docs, marks, identities=[("muslims", "christians")], fairness=x).scores([b"muslims", b"christians"])
+             for x in (0.0, 5.0)]
+    assert abs(np.subtract(*apart[1])) < 0.5 * abs(np.subtract(*apart[0]))
+    unnamed = toxicity.train(docs, marks, identities=[("blorks", "Zweens")]).scores([b"muslims", b"christians"])
+    assert np.allclose(unnamed, apart[0])
     assert toxicity.classify(docs, marks.limit(0)).select("score").distinct().collect()[0][0] == 0.5
     assert toxicity.classify(docs.limit(0), marks).count() == 0
 
@@ -186,6 +193,23 @@ def test_packing(spark, docs, none):
     assert packing.pack(none, path)[1].count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_index_finds_every_complement(seed):
+    """The index against all combinations, while the stock falls."""
+    rng = np.random.default_rng(seed)
+    top = 40
+    stock = packing._Stock(np.where(rng.random(top + 1) < (0.2, 0.5, 0.9)[seed % 3], rng.integers(1, 4, top + 1), 0))
+    for _ in range(150):
+        pieces = [a for a in range(1, top + 1) for _ in range(min(3, stock.n[a]))]
+        gap, largest = int(rng.integers(1, top)), int(rng.integers(1, top + 1))
+        fits = [a for a in pieces if a <= largest]
+        want = next((max(found) for k in (1, 2, 3) if (found := {tuple(sorted(c, reverse=True))
+                     for c in combinations(fits, k) if sum(c) == gap})), None)
+        assert stock.complement(gap, largest) == want
+        gone = int(rng.integers(1, top + 1))
+        stock.n[gone] = max(0, stock.n[gone] - 1)
+
+
 def test_packing_plan_uses_single_pair_and_triple_complements():
     plan = dict(packing.plan(np.bincount([60, 50, 30, 30, 25, 25, 20, 20, 15, 15, 10] * 7, minlength=101), 100))
     assert sum(plan.values()) <= 22 and {2, 3, 4} <= {len(p) for p in plan if sum(p) == 100}

@@ -1,9 +1,9 @@
 """Best-fit packing of documents into sequences of a fixed number of tokens, by exact complements.
 
 A plan needs only how many pieces there are of each length, at most ``capacity`` numbers whatever the size of the
-corpus.  Lengths are taken from the longest down; what is missing to a full sequence is looked up as a single length,
-then as the sum of a pair, then of a triple, and each combination found is used as often as the counts allow.  What
-has no exact complement goes into the open sequence with the smallest gap that takes it.  A plan is a list of patterns
+corpus.  The sums of pairs and triples of the lengths that occur are indexed once.  Lengths are taken from the longest
+down; what is missing to a full sequence is looked up as a single length, then among the sums of pairs, then of triples,
+and each combination found is used as often as the counts allow.  What has no exact complement goes into the open sequence with the smallest gap that takes it.  A plan is a list of patterns
 (lengths side by side, and how often); it is made from the counts alone, so the driver holds no piece.
 
 Pieces are numbered within their length by two-level counts (chunk totals, then inside a chunk) and find their pattern,
@@ -172,37 +172,63 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
          pa.array(crc, pa.int64()), pa.array(ids, pa.binary())], names=names)
 
 
+def _by_sum(parts: list[tuple[int, np.ndarray]], top: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(first, length)``: the lengths filed under sum ``s`` are ``length[first[s]: first[s + 1]]``, ascending."""
+    sums = np.concatenate([s for _, s in parts]) if parts else np.zeros(0, np.int64)
+    length = np.repeat([a for a, _ in parts], [len(s) for _, s in parts]) if parts else np.zeros(0, np.int64)
+    order = np.argsort(sums, kind="stable")
+    return np.searchsorted(sums[order], np.arange(top + 2)), length[order].astype(np.int64)
+
+
 class _Stock:
-    """Available pieces by length, with an index of the sums that two different available lengths make."""
+    """Available pieces by length, and an index of the sums of two and of three available lengths.
+
+    Both indexes are built once, from the lengths that occur: a sum leads to the longer length of each pair with that
+    sum, and to the longest length of each triple (the other two are then a pair with the rest as sum).  Stock only
+    falls, so an entry that the counts no longer allow is skipped and none is ever missing.  They hold at most
+    ``capacity ** 2 / 4`` pairs and ``capacity ** 2 / 2`` triples, whatever the size of the corpus.
+    """
 
     def __init__(self, counts: np.ndarray):
-        self.n = counts.astype(np.int64)
+        self.n, top = counts.astype(np.int64), len(counts) - 1
+        have = np.flatnonzero(self.n)
+        have = have[have > 0]
+        pairs = [(a, a + have[: np.searchsorted(have, min(a, top - a), "right")]) for a in have.tolist()]
+        self._pairs = _by_sum(pairs, top)
+        shortest = np.full(top + 1, top + 1)  # of the longer lengths of the pairs with a sum
+        some = np.flatnonzero(np.diff(self._pairs[0]))
+        shortest[some] = self._pairs[1][self._pairs[0][some]]
+        self._triples = _by_sum([(a, a + np.flatnonzero(shortest[: top - a + 1] <= a)) for a in have.tolist()], top)
+
+    @staticmethod
+    def _filed(index: tuple[np.ndarray, np.ndarray], total: int, largest: int) -> np.ndarray:
+        first, length = index
+        found = length[first[total]: first[total + 1]]
+        return found[: np.searchsorted(found, largest, "right")]
 
     def pair(self, total: int, largest: int) -> tuple[int, int] | None:
         """Two available lengths with this sum, the larger as large as possible but not above ``largest``."""
-        high = np.arange(min(largest, total - 1), (total - 1) // 2, -1)
-        if not len(high):
-            return None
-        good = (self.n[high] > 0) & (self.n[total - high] > (high * 2 == total))
-        at = int(good.argmax())
-        return (int(high[at]), total - int(high[at])) if good[at] else None
-
-    def complement(self, gap: int, largest: int) -> tuple[int, ...] | None:
-        """One, two or three available lengths that sum to ``gap``."""
-        if gap <= largest and self.n[gap]:
-            return (gap,)
-        if two := self.pair(gap, largest):
-            return two
-        for a in np.flatnonzero(self.n[: min(largest, gap - 2) + 1])[::-1].tolist():
-            if 3 * a < gap:
-                break
+        high = self._filed(self._pairs, total, largest)
+        good = np.flatnonzero((self.n[high] > 0) & (self.n[total - high] > (high * 2 == total)))
+        return (int(high[good[-1]]), total - int(high[good[-1]])) if len(good) else None
+
+    def triple(self, total: int, largest: int) -> tuple[int, int, int] | None:
+        """Three available lengths with this sum, the longest as long as possible but not above ``largest``."""
+        longest = self._filed(self._triples, total, largest)
+        for a in longest[self.n[longest] > 0][::-1].tolist():
             self.n[a] -= 1
-            two = self.pair(gap - a, a)
+            two = self.pair(total - a, a)
             self.n[a] += 1
             if two:
                 return (a, *two)
         return None
 
+    def complement(self, gap: int, largest: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that sum to ``gap``."""
+        if gap <= largest and self.n[gap]:
+            return (gap,)
+        return self.pair(gap, largest) or self.triple(gap, largest)
+
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Patterns ``(lengths, times)`` that use up ``counts`` (pieces by length, 0 to ``capacity``)."""

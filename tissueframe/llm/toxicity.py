@@ -52,7 +52,7 @@ def swaps(identities=IDENTITIES) -> dict[int, int]:
     """Hash of each identity term to the hash of the next term of its list."""
     out = {}
     for terms in identities:
-        _, hashes = word_hashes([" ".join(terms).encode()])
+        _, hashes = word_hashes(_lower([" ".join(terms).encode()]))
         for a, b in zip(hashes.tolist(), np.roll(hashes, -1).tolist()):
             out[a] = b
     return out
@@ -152,8 +152,9 @@ def fit(y: np.ndarray, row: np.ndarray, hashes: np.ndarray, change: dict[int, in
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, id_col: str = "doc_id", label_col: str = "toxic",
-          text_col: str = "text") -> Model:
-    """Model from at most ``rows`` labelled rows, the same ones in every run."""
+          text_col: str = "text", identities=IDENTITIES, fairness: float = FAIRNESS) -> Model:
+    """Model from at most ``rows`` labelled rows, the same ones in every run; ``identities`` are lists of terms (single
+    words) that are swapped for each other."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
         F.max(label_col).cast("int").alias("__y"))
     some = known.orderBy(F.xxhash64("__id"), "__id").limit(rows)
@@ -163,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, id_col:
     words = table["words"].combine_chunks()
     size = np.diff(words.offsets.to_numpy()) if table.num_rows else np.zeros(0, np.int64)
     return fit(table["y"].to_numpy().astype(float), np.repeat(np.arange(table.num_rows), size),
-               words.flatten().to_numpy().view(np.uint64) if table.num_rows else np.zeros(0, np.uint64))
+               words.flatten().to_numpy().view(np.uint64) if table.num_rows else np.zeros(0, np.uint64), swaps(identities), fairness)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -184,7 +185,7 @@ def is_held_out(id_col: str = "doc_id", fold: int = 1, folds: int = 3) -> Column
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, identities=IDENTITIES, fairness: float = FAIRNESS) -> DataFrame:
     """Learn from labels that are not held out, score all: ``(doc_id, held_out, score, predicted)``."""
-    model = train(docs, labels.where(~is_held_out()))
+    model = train(docs, labels.where(~is_held_out()), identities=identities, fairness=fairness)
     return score(docs, model).select("doc_id", is_held_out().alias("held_out"), "score", "predicted")
