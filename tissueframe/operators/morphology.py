@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..plans.buckets import overlap_runs
 from ..plans.islands import area, merge_runs, subtract
-from ..plans.tiles import TILE, map_label_tiles
+from ..plans.tiles import TILE, group_tiles, map_label_tiles, paint
 from ..session import cut, small
 from .components import connected_components
 
@@ -84,19 +85,31 @@ def drop_seams(runs: DataFrame) -> DataFrame:
     return map_label_tiles(runs, part, 1)
 
 
-def _reach_mask(on: np.ndarray, r: int) -> np.ndarray:
-    """Pixels within Euclidean distance ``r`` of an object pixel."""
-    far = 4 * r * r + 1
-    flat = np.where(on, 0, far)
-    for d in range(1, r + 1):
-        near = _shift(on, 0, d) | _shift(on, 0, -d)
-        flat = np.minimum(flat, np.where(near, d * d, far))
+def _square_distance(on: np.ndarray, r: int) -> np.ndarray:
+    """Squared distance to the nearest object pixel, at most ``r * r + 1``.
+
+    Along the rows by the last and the next object pixel, at a cost free of ``r``; then between rows, from near to
+    far, until no pixel can come nearer.
+    """
+    far, at = r * r + 1, np.arange(on.shape[1], dtype=np.int64)
+    before = np.maximum.accumulate(np.where(on, at, -r - 1), axis=1)
+    after = np.minimum.accumulate(np.where(on, at, len(at) + r)[:, ::-1], axis=1)[:, ::-1]
+    side = np.minimum(at - before, after - at)
+    flat = np.minimum(side * side, far)
     best = flat.copy()
-    for d in range(1, r + 1):
-        for s in (-d, d):
-            moved = _shift(flat + 1, s, 0)
-            best = np.minimum(best, np.where(moved > 0, moved - 1 + d * d, far))
-    return best <= r * r
+    for d in range(1, min(r, len(on) - 1) + 1):
+        if d * d >= best.max():
+            break
+        np.minimum(best[d:], flat[:-d] + d * d, out=best[d:])
+        np.minimum(best[:-d], flat[d:] + d * d, out=best[:-d])
+    return best
+
+
+def _around(a: np.ndarray, pick, blank: int) -> np.ndarray:
+    """``pick`` over the square of three pixels around each, ``blank`` outside."""
+    p = np.pad(a, 1, constant_values=blank)
+    rows = pick(pick(p[:-2], p[1:-1]), p[2:])
+    return pick(pick(rows[:, :-2], rows[:, 1:-1]), rows[:, 2:])
 
 
 def expand_labels(runs: DataFrame, r: int = 10, conn: int = 8, labelled: bool = False,
@@ -111,36 +124,35 @@ def expand_labels(runs: DataFrame, r: int = 10, conn: int = 8, labelled: bool =
     objects = runs if labelled else connected_components(runs, conn)
 
     def grow(a: np.ndarray) -> np.ndarray:
-        allowed = _reach_mask(a > 0, r)
-        big = np.iinfo(np.int64).max
+        allowed = (a == 0) & (_square_distance(a > 0, r) <= r * r)
+        names = np.unique(np.append(a, 0))
+        a, big = np.searchsorted(names, a).astype(np.int32), len(names)  # in the order of the labels
         for _ in range(r):
-            around = [_shift(a, dy, dx) for dy, dx in _RING]
-            hi = np.maximum.reduce(around)
-            lo = np.minimum.reduce([np.where(n > 0, n, big) for n in around])
-            fresh = (a == 0) & (hi > 0) & (hi == lo) & allowed
-            if not fresh.any():
+            hi = _around(a, np.maximum, 0)
+            lo = _around(np.where(a > 0, a, big), np.minimum, big)
+            cand = np.where(allowed & (a == 0) & (hi == lo), hi, 0)
+            if not cand.any():
                 break
-            cand = np.where(fresh, hi, 0)
-            rival = np.zeros(a.shape, dtype=bool)
-            for dy, dx in _RING:
-                other = _shift(cand, dy, dx)
-                rival |= (other > 0) & (other < cand)
-            a = np.where(fresh & ~rival, cand, a)
-        return a
+            a = np.where((cand > 0) & (_around(np.where(cand > 0, cand, big), np.minimum, big) == cand), cand, a)
+        return names[a]
 
     return cut(map_label_tiles(objects, grow, 2 * r + 2, size))
 
 
-def distance_band(runs: DataFrame, r: int) -> DataFrame:
-    """Squared distance to the nearest object pixel, for pixels outside within ``r``."""
-    dy = F.explode(F.sequence(F.lit(-r), F.lit(r))).alias("dy")
-    spread = runs.select("chip", "y", "x0", "x1", dy)
-    wide = F.floor(F.sqrt(F.lit(r * r) - F.col("dy") * F.col("dy"))).cast("long")
-    px = spread.withColumn("x", F.explode(F.sequence(F.col("x0") - wide, F.col("x1") + wide)))
-    side = F.greatest(F.lit(0), F.col("x0") - F.col("x"), F.col("x") - F.col("x1"))
-    d2 = (side * side + F.col("dy") * F.col("dy")).cast("long")
-    return (px.select("chip", (F.col("y") + F.col("dy")).alias("y"), "x", d2.alias("d2"))
-            .groupBy("chip", "y", "x").agg(F.min("d2").alias("d2")).where("d2 > 0"))
+def distance_band(runs: DataFrame, r: int, size: int = TILE) -> DataFrame:
+    """Squared distance to the nearest object pixel, for pixels outside within ``r``.
+
+    Runs are shuffled once, to the tiles they come within ``r`` of; a task holds one tile and its halo.
+    """
+
+    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        chip, ty, tx = (int(v) for v in key)
+        d2 = _square_distance(paint(pdf, ty, tx, r, size) > 0, r)[r:r + size, r:r + size]
+        y, x = np.nonzero((d2 > 0) & (d2 <= r * r))
+        return pd.DataFrame({"chip": np.full(len(y), chip), "y": y + ty * size, "x": x + tx * size, "d2": d2[y, x]})
+
+    objects = runs.select("chip", F.lit(1).cast("long").alias("label"), "y", "x0", "x1")
+    return group_tiles(objects, r, size).applyInPandas(one, "chip long, y long, x long, d2 long")
 
 
 def instance_to_semantic(pixels: DataFrame, frame: DataFrame | None = None) -> DataFrame:

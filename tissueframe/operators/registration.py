@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import geometry
 from ..plans.buckets import bucket, near_join, square_distance
 from ..plans.islands import merge_runs
+from ..plans.tiles import TILE, paint_pixels, tiles_of
 from ..session import cut, small
 from .components import point_components
 from .masks import nearest_site
@@ -208,13 +209,27 @@ def chip_box_from_expression(dnb: DataFrame, box: int, support: int = 10, step:
                        F.col("m.t").cast("long").alias("covered"))
 
 
-def max_filter(pixels: DataFrame, k: int, key: str = "img") -> DataFrame:
-    """Grey dilation with a square of ``2 k + 1`` pixels, one axis after the other."""
-    steps = F.array(*[F.lit(d) for d in range(-k, k + 1)])
-    wide = (pixels.select(key, "y", F.explode(F.transform(steps, lambda d: F.col("x") + d)).alias("x"), "v")
-            .groupBy(key, "y", "x").agg(F.max("v").alias("v")))
-    return (wide.select(key, F.explode(F.transform(steps, lambda d: F.col("y") + d)).alias("y"), "x", "v")
-            .groupBy(key, "y", "x").agg(F.max("v").alias("v")))
+def max_filter(pixels: DataFrame, k: int, key: str = "img", size: int = TILE) -> DataFrame:
+    """Grey dilation with a square of ``2 k + 1`` pixels; a pixel goes to the tiles within ``k``, in one shuffle."""
+
+    def one(name: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        ty, tx = int(name[1]), int(name[2])
+        # the larger of repeated pixels is painted last
+        v, have = paint_pixels(pdf.sort_values("v"), ty, tx, k, size)
+        low = v.min()
+        v = np.where(have, v, low)
+        for axis in (0, 1):
+            take = [np.take(m, range(i, i + size), axis=axis) for m in (v, have) for i in range(2 * k + 1)]
+            v, have = np.maximum.reduce(take[:2 * k + 1]), np.logical_or.reduce(take[2 * k + 1:])
+        y, x = np.nonzero(have)
+        return pd.DataFrame({key: [name[0]] * len(y), "y": y + ty * size, "x": x + tx * size, "v": v[y, x]})
+
+    spread = [range(-k, k, size), [k]]
+    reach = lambda c: tiles_of(F.col(c), [d for part in spread for d in part], size)
+    sent = pixels.withColumn("_ty", F.explode(reach("y"))).withColumn("_tx", F.explode(reach("x")))
+    kind = {f.name: f.dataType.simpleString() for f in pixels.schema}
+    return sent.select(key, "_ty", "_tx", "y", "x", "v").groupBy(key, "_ty", "_tx").applyInPandas(
+        one, f"`{key}` {kind[key]}, y long, x long, v {kind['v']}")
 
 
 def _candidates(candidates) -> Column:
@@ -222,37 +237,71 @@ def _candidates(candidates) -> Column:
                      for c in candidates])
 
 
+def _tile_scores(fixed: DataFrame, moving: DataFrame, candidates, method: str, shape: tuple[int, int],
+                 size: int) -> DataFrame:
+    """``(img, c, s)``: what the pixels of each tile that meet add to candidate number ``c``.
+
+    A turned pixel goes once to each tile that a candidate moves it to, a few tiles however many candidates there
+    are, and each candidate is scored in the tile by looking its pixels up in the fixed image.
+    """
+    moves = np.array([tuple(c) for c in candidates], np.int64).reshape(-1, 3)
+    h, w = shape
+    turns = {0: lambda x, y: (x, y), 1: lambda x, y: (h - y, x), 2: lambda x, y: (w - x, h - y), 3: lambda x, y: (y, w - x)}
+    x, y = F.col("x").cast("long"), F.col("y").cast("long")
+    turned = [F.struct(F.lit(r).alias("rot"), turns[r](x, y)[0].alias("x"), turns[r](x, y)[1].alias("y"))
+              for r in np.unique(moves[:, 0]).tolist()]
+    sent = (moving.select("img", F.explode(F.array(*turned)).alias("p"), F.col("v").alias("b")).select("img", "p.*", "b")
+            .withColumn("tx", F.explode(tiles_of(F.col("x"), moves[:, 1].tolist(), size)))
+            .withColumn("ty", F.explode(tiles_of(F.col("y"), moves[:, 2].tolist(), size))))
+    held = fixed.select("img", bucket(F.col("y"), size).alias("ty"), bucket(F.col("x"), size).alias("tx"), "y", "x", "v")
+
+    def one(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        sums = []
+        if len(a) and len(b):
+            ty, tx = int(key[1]), int(key[2])
+            v, have = paint_pixels(a, ty, tx, 0, size)
+            by_turn = {r: (p["x"].to_numpy() - tx * size, p["y"].to_numpy() - ty * size, p["b"].to_numpy())
+                       for r, p in b.groupby("rot")}
+            for c, (r, dx, dy) in enumerate(moves.tolist()):
+                if r not in by_turn:
+                    continue
+                px, py, pv = by_turn[r]
+                px, py = px + dx, py + dy
+                inside = np.flatnonzero((px >= 0) & (px < size) & (py >= 0) & (py < size))
+                inside = inside[have[py[inside], px[inside]]]
+                at, pv = v[py[inside], px[inside]], pv[inside]
+                if len(at):
+                    sums.append((key[0], c, (at * pv if method == "product" else np.abs(at - pv) - at - pv).sum()))
+        return pd.DataFrame(sums, columns=["img", "c", "s"])
+
+    kind = {f.name: f.dataType.simpleString() for f in fixed.schema}
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    total = "long" if {kind["v"], moving.schema["v"].dataType.simpleString()} <= whole else "double"
+    wide = lambda df, name: df.withColumn(name, F.col(name).cast(total))
+    keys = ["img", "ty", "tx"]
+    return wide(held, "v").groupBy(*keys).cogroup(wide(sent, "b").groupBy(*keys)).applyInPandas(
+        one, f"img {kind['img']}, c long, s {total}")
+
+
 def align_score(fixed: DataFrame, moving: DataFrame, candidates, method: str = "product",
-                shape: tuple[int, int] | None = None) -> DataFrame:
-    """Score every ``(rot, dx, dy)`` candidate of a moving image in one join.
+                shape: tuple[int, int] | None = None, size: int = TILE) -> DataFrame:
+    """Score every ``(rot, dx, dy)`` candidate of a moving image; images hold one row for each pixel of a position.
 
     ``product`` sums a*b over the overlap (larger is better, 0 without overlap); ``absdiff`` sums
-    \\|a - dilate9(b)\\| over the joint frame (smaller is better), using
-    \\|a - b\\| = a + b + (\\|a - b\\| - a - b) so only matching pixels are joined.
+    abs(a - dilate9(b)) over the joint frame (smaller is better), using
+    abs(a - b) = a + b + (abs(a - b) - a - b) so only matching pixels meet.
     """
     if method == "absdiff":
-        moving = max_filter(moving, 4)
-    m = moving.withColumn("c", F.explode(_candidates(candidates)))
-    h, w = shape or (0, 0)
-    r, x, y = F.col("c.rot"), F.col("x"), F.col("y")
-    rx = F.when(r == 1, F.lit(h) - y).when(r == 2, F.lit(w) - x).when(r == 3, y).otherwise(x)
-    ry = F.when(r == 1, x).when(r == 2, F.lit(h) - y).when(r == 3, F.lit(w) - x).otherwise(y)
-    m = m.select("img", "c", (rx + F.col("c.dx")).alias("x"), (ry + F.col("c.dy")).alias("y"), F.col("v").alias("b"))
-    both = m.join(fixed.select("img", "x", "y", F.col("v").alias("a")), ["img", "x", "y"])
-    keys = ["img", "c"]
-    if method == "product":
-        images = fixed.select("img").distinct().join(moving.select("img").distinct(), "img")
-        hit = both.groupBy(*keys).agg(F.sum(F.col("a") * F.col("b")).alias("_s"))
-        score = (images.withColumn("c", F.explode(_candidates(candidates))).join(hit, keys, "left")
-                 .withColumn("score", F.coalesce("_s", F.lit(0)).cast("long")))
-    else:
-        sums = (fixed.groupBy("img").agg(F.sum("v").alias("_a"))
-                .join(moving.groupBy("img").agg(F.sum("v").alias("_b")), "img")
-                .withColumn("c", F.explode(_candidates(candidates))))
-        diff = both.groupBy(*keys).agg(F.sum(F.abs(F.col("a") - F.col("b")) - F.col("a") - F.col("b")).alias("_d"))
-        score = sums.join(diff, keys, "left").withColumn(
-            "score", (F.col("_a") + F.col("_b") + F.coalesce("_d", F.lit(0))).cast("long"))
-    return score.select("img", F.col("c.rot").alias("rot"), F.col("c.dx").alias("dx"), F.col("c.dy").alias("dy"), "score")
+        moving = cut(max_filter(moving, 4))
+    met = (_tile_scores(fixed, moving, candidates, method, shape or (0, 0), size)
+           .groupBy("img", "c").agg(F.sum("s").alias("_s")))
+    sums = (fixed.groupBy("img").agg(F.sum("v").alias("_a"))
+            .join(moving.groupBy("img").agg(F.sum("v").alias("_b")), "img"))
+    rest = F.lit(0) if method == "product" else F.col("_a") + F.col("_b")
+    return (sums.select("*", F.posexplode(_candidates(candidates)).alias("_at", "m"))
+            .withColumn("c", F.col("_at").cast("long")).join(met, ["img", "c"], "left")
+            .select("img", F.col("m.rot").alias("rot"), F.col("m.dx").alias("dx"), F.col("m.dy").alias("dy"),
+                    (rest + F.coalesce("_s", F.lit(0))).cast("long").alias("score")))
 
 
 def best_alignment(scores: DataFrame, method: str = "product") -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .buckets import bucket
 
@@ -53,6 +53,26 @@ def trace(arr: np.ndarray, ty: int, tx: int, halo: int, size: int = TILE) -> pd.
                          "x0": x0 + tx * size, "x1": x1 + tx * size})
 
 
+def group_tiles(runs: DataFrame, halo: int, size: int = TILE):
+    """Runs grouped by tile; repeated runs go after the shuffle by tile, which serves both."""
+    tiles = runs_to_tiles(runs.select("chip", "label", "y", "x0", "x1"), halo, size)
+    return tiles.repartition("chip", "ty", "tx").distinct().groupBy("chip", "ty", "tx")
+
+
+def tiles_of(at: Column, shifts, size: int = TILE) -> Column:
+    """Different tile numbers that a position reaches by any of the shifts."""
+    return F.array_distinct(F.array(*[bucket(at + F.lit(s).cast("long"), size) for s in sorted(set(shifts))]))
+
+
+def paint_pixels(pdf: pd.DataFrame, ty: int, tx: int, halo: int, size: int = TILE) -> tuple[np.ndarray, np.ndarray]:
+    """Values of one tile's pixels ``(y, x, v)`` with the halo around it, and where there is a pixel."""
+    edge = size + 2 * halo
+    out, have = np.zeros((edge, edge), pdf["v"].to_numpy().dtype), np.zeros((edge, edge), bool)
+    y, x = pdf["y"].to_numpy() - (ty * size - halo), pdf["x"].to_numpy() - (tx * size - halo)
+    out[y, x], have[y, x] = pdf["v"].to_numpy(), True
+    return out, have
+
+
 def map_label_tiles(runs: DataFrame, fn: Callable[[np.ndarray], np.ndarray], halo: int,
                     size: int = TILE) -> DataFrame:
     """Apply an array function of reach ``halo`` to every tile; returns merged runs."""
@@ -63,9 +83,7 @@ def map_label_tiles(runs: DataFrame, fn: Callable[[np.ndarray], np.ndarray], hal
         done.insert(0, "chip", chip)
         return done
 
-    # repeated runs go after the shuffle by tile, which serves both
-    tiles = runs_to_tiles(runs.select("chip", "label", "y", "x0", "x1"), halo, size).repartition("chip", "ty", "tx").distinct()
-    out = tiles.groupBy("chip", "ty", "tx").applyInPandas(
+    out = group_tiles(runs, halo, size).applyInPandas(
         one, "chip long, label long, y long, x0 long, x1 long")
     from .islands import merge_runs
     return merge_runs(out, ("chip", "label", "y"))
