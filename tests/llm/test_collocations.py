@@ -90,11 +90,10 @@ def test_empty_and_wordless(spark, docs):
     assert collocations.mine(docs.where("text is null or text = ''")).count() == 0
 
 
-@pytest.mark.parametrize(("held", "stay"), [(1, 0), (60, 40), (400, 1_000)])
-def test_sums_handed_on_early_change_nothing(spark, docs, monkeypatch, held, stay):
-    """Tasks that hold few phrases hand the same ones on many times, those met once first."""
+@pytest.mark.parametrize("held", [1, 400])
+def test_sums_handed_on_early_change_nothing(spark, docs, monkeypatch, held):
+    """Tasks that hold few phrases hand the same ones on many times."""
     monkeypatch.setattr(collocations, "HELD", held)
-    monkeypatch.setattr(collocations, "STAY", stay)
     parts = docs.mapInArrow(lambda batches: (part for b in batches for part in (b.slice(0, 9), b.slice(9))), docs.schema)
     got = sorted(map(tuple, collocations.mine(parts, 5).collect()))
     assert got == brute(rows(), 5, 3, 2000)

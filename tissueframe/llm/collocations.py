@@ -15,8 +15,7 @@ The result does not depend on the sample; the sample only saves counting.  What
 bit tables of fixed size (``BITS``): a false hit there only means that a phrase is counted in vain, and a phrase is
 counted in the first pass whose tables open it and in no other.  Counts are sums of strings, not of hashes.
 
-Counts are kept apart by language.  A task adds up its phrases before the shuffle; when it holds too many, those met
-once are handed on and the others stay, as they are likely to come again.  The empty phrase is counted as well:
+Counts are kept apart by language.  A task adds up its phrases before the shuffle.  The empty phrase is counted as well:
 it occurs once a word, which gives the number of words of a language.
 
 Defined cases: null text is empty, null language is ``und``; repeated rows count as often as they come; a text without
@@ -39,8 +38,8 @@ from .textops import Ranges, byte_values, mix, packs, text_bytes
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 #: Share of the documents in the sample (one in so many) and what lowers the support there.
 SAMPLE, LOWERED = 8, 0.5
-#: Bits of a table of proposed phrases (8 MB), phrases a task adds up before it hands any on, and how many may stay then.
-BITS, HELD, STAY = 1 << 26, 300_000, 200_000
+#: Bits of a table of proposed phrases (8 MB), and phrases a task adds up before it hands them on.
+BITS, HELD = 1 << 26, 300_000
 #: Language, number of words and phrase are one string in the shuffle, which costs less than three columns.
 COUNTS, MARK = "key string, n long", "\x1f"
 
@@ -150,12 +149,8 @@ def count(docs: DataFrame, lang: Column, text: Column, now, before, longest: int
                     if not before:
                         sums.setdefault((tongue, 0), Counter())[b""] += len(found.start)
                     if held > HELD:
-                        again = {key: Counter({x: n for x, n in own.items() if n > 1}) for key, own in sums.items()}
-                        held = sum(map(len, again.values()))
-                        if held > STAY:
-                            again, held = {}, 0
-                        yield from _rows({key: {x: n for x, n in own.items() if n == 1} for key, own in sums.items()} if again else sums)
-                        sums = again
+                        yield from _rows(sums)
+                        sums, held = {}, 0
         yield from _rows(sums)
 
     table = docs.select(F.coalesce(lang.cast("string"), F.lit("und")).alias("lang"), text.alias("t"))
@@ -167,7 +162,7 @@ def count(docs: DataFrame, lang: Column, text: Column, now, before, longest: int
     return split.select(F.expr("left(r, m)").alias("lang"), "k", F.expr("substring(r, m + 1)").alias("phrase"), "n")
 
 
-def _rows(sums: dict[tuple[bytes, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+def _rows(sums: dict[tuple[bytes, int], Counter]) -> Iterator[pa.RecordBatch]:
     for (tongue, k), own in sums.items():
         head, words = f"{k}{MARK}{len(tongue.decode('utf-8', 'replace'))}{MARK}".encode() + tongue, list(own)
         for i in range(0, len(words), 100_000):
