@@ -10,7 +10,7 @@ from ..plans.buckets import bucket, near_join, points_in_runs
 from ..plans.islands import area
 from ..plans.quantiles import medians, percentiles
 from ..plans.tiles import TILE
-from ..session import cut, small
+from ..session import cut, small, spread
 from .masks import centroids
 
 
@@ -160,7 +160,7 @@ def dedupe_first(df: DataFrame, keys: tuple[str, ...], order: str = "cell_id") -
 
 def filter_cells_by_list(cell_gene: DataFrame, flags: DataFrame) -> DataFrame:
     """Rows of cells whose ``flag`` is 0."""
-    return cell_gene.join(flags.where("flag = 0").select("chip", "cell_id"), ["chip", "cell_id"], "left_semi")
+    return cell_gene.join(spread(flags.where("flag = 0").select("chip", "cell_id")), ["chip", "cell_id"], "left_semi")
 
 
 def mad_outliers(obs: DataFrame, keep_border: bool = False, cells_per_region: int = 5000) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.buckets import bucket, overlap_pairs, overlap_runs, points_in_runs
 from ..plans.islands import area, merge_runs, pixels_from_runs, runs_from_pixels, subtract
-from ..session import cut, small
+from ..session import cut, small, spread
 from .components import connected_components
 from .morphology import drop_seams, drop_small_objects, expand_labels, outline
 
@@ -192,7 +192,7 @@ def overlap_report(nuclei: DataFrame, cells: DataFrame) -> DataFrame:
 def centroids(runs: DataFrame) -> DataFrame:
     """Area and mean pixel position per label."""
     n = F.col("x1") - F.col("x0") + 1
-    return (runs.groupBy("chip", "label")
+    return spread(runs.groupBy("chip", "label")
             .agg(F.sum(n).cast("long").alias("area"),
                  F.sum((F.col("x0") + F.col("x1")) * n).cast("long").alias("_sx"),
                  F.sum(F.col("y") * n).cast("long").alias("_sy"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import spread
+
 RUN_BUCKET = 128
 
 
@@ -43,7 +45,7 @@ def points_in_runs(points: DataFrame, runs: DataFrame, how: str = "left",
     p = points.withColumn("_pb", bucket("x", size))
     on = [p[k] == r[f"_{k}"] for k in keys]
     on += [p["y"] == r["_y"], p["_pb"] == r["_xb"], p["x"].between(r["_x0"], r["_x1"])]
-    joined = p.join(r, on, how)
+    joined = p.join(spread(r), on, how)
     return joined.select(*points.columns, *carry)
 
 
@@ -62,7 +64,7 @@ def overlap_runs(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",),
                                    F.col("x0").alias("_a0"), F.col("x1").alias("_a1"))
     r = run_pieces(b, size).select(*keys, "y", "_xb", F.col("label").alias("label_b"),
                                    F.col("x0").alias("_b0"), F.col("x1").alias("_b1"))
-    j = l.join(r, [*keys, "y", "_xb"]).where("_a0 <= _b1 and _b0 <= _a1")
+    j = l.join(spread(r), [*keys, "y", "_xb"]).where("_a0 <= _b1 and _b0 <= _a1")
     return j.select(*keys, "label_a", "label_b", "y", F.greatest("_a0", "_b0").alias("x0"),
                     F.least("_a1", "_b1").alias("x1"))
 
@@ -79,7 +81,7 @@ def near_join(probe: DataFrame, site: DataFrame, reach: int, keys: tuple[str, ..
              .withColumn("_by", F.explode(F.transform(step, lambda d: bucket("y", reach) + d))))
     s = s.select("_bx", "_by", *keys, *[F.col(c).alias(f"s_{c}") for c in site.columns if c not in keys])
     p = probe.withColumn("_bx", bucket("x", reach)).withColumn("_by", bucket("y", reach))
-    return p.join(s, [*keys, "_bx", "_by"], how).drop("_bx", "_by")
+    return p.join(spread(s), [*keys, "_bx", "_by"], how).drop("_bx", "_by")
 
 
 def square_distance(x: str = "x", y: str = "y", sx: str = "s_x", sy: str = "s_y") -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import spread
+
 
 def merge_runs(runs: DataFrame, by: tuple[str, ...] = ("chip", "label", "y"), gap: int = 1) -> DataFrame:
     """Union touching or overlapping intervals ``[x0, x1]`` within each group."""
@@ -67,4 +69,4 @@ def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> D
 
 
 def area(runs: DataFrame, by: tuple[str, ...] = ("chip", "label")) -> DataFrame:
-    return runs.groupBy(*by).agg(F.sum(F.col("x1") - F.col("x0") + 1).cast("long").alias("area"))
+    return spread(runs.groupBy(*by).agg(F.sum(F.col("x1") - F.col("x0") + 1).cast("long").alias("area")))

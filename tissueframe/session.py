@@ -66,6 +66,16 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` for a join that shuffles both sides, whatever size the planner takes it for.
+
+    The planner knows the bytes of compressed files, not how many rows an explode makes of one: runs of a few
+    megabytes of cells, or the nine copies of a site, pass for small and would be collected in the driver to be
+    broadcast.  For tables that grow with the data.
+    """
+    return df.hint("merge")
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Materialise a summary once; broadcast it only if it is proven small.
 
