@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tissueframe.operators import cells, masks, registration
 from tissueframe.plans.buckets import overlap_pairs, points_in_runs
+from tissueframe.plans.islands import merge_runs, pixels_from_runs, subtract
 
 
 def plan(df) -> str:
@@ -65,3 +66,29 @@ def test_cell_flags_shuffle_both_sides(stored):
     flags = stored([(0, 1, 0), (0, 2, 1)], "chip long, cell_id long, flag int")
     got = cells.filter_cells_by_list(matrix, flags)
     assert "Broadcast" not in plan(got) and [r.cell_id for r in got.collect()] == [1]
+
+
+def test_runs_shuffle_once_before_they_gather(runs):
+    got = merge_runs(runs)
+    text = plan(got)
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_NUM" in text
+    # nothing is gathered in the task that reads the files
+    assert "HashAggregate" not in text[text.index("Exchange"):]
+    assert sorted((r.label, r.x0, r.x1) for r in got.collect()) == [(1, 0, 300), (2, 5, 9)]
+    free = plan(subtract(runs, runs.where("label = 2")))
+    assert "Aggregate" not in free[free.rindex("Union"):]
+
+
+def test_pixels_are_dealt_before_the_explode(runs):
+    got = pixels_from_runs(runs)
+    text = plan(got)
+    assert text.index("Generate") < text.index("REPARTITION_BY_NUM")
+    assert got.count() == 306
+
+
+def test_rotation_is_tried_on_dealt_points(stored):
+    rows = [(0, 0, 0, i, 12 * i, 12 * i) for i in range(6)]
+    track = stored(rows, "chip long, fov_row long, fov_col long, id long, x long, y long")
+    got = registration.rotate_search(track, ("chip", "fov_row", "fov_col"))
+    assert "REPARTITION_BY_NUM" in plan(got)
+    assert len(got.collect()) == 1

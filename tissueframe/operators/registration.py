@@ -12,7 +12,7 @@ from ..functions import geometry
 from ..plans.buckets import bucket, near_join, square_distance
 from ..plans.islands import merge_runs
 from ..plans.tiles import TILE, paint_pixels, tiles_of
-from ..session import cut, small
+from ..session import cut, deal, small, spread
 from .components import point_components
 from .masks import nearest_site
 
@@ -480,7 +480,7 @@ def rotate_search(points: DataFrame, keys: tuple[str, ...], search: int = 45, re
     """
     center = center_points(points, n, keys).select(*keys, "rank", F.col("x").alias("cx"), F.col("y").alias("cy"))
     dx, dy = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
-    tried = points.join(center, [*keys]).withColumn("angle", F.explode(F.sequence(F.lit(-search), F.lit(search - 1))))
+    tried = deal(points, *keys).join(spread(center), [*keys]).withColumn("angle", F.explode(F.sequence(F.lit(-search), F.lit(search - 1))))
     rad = F.radians("angle")
     dist = F.abs(F.sin(rad) * dx - F.cos(rad) * dy)
     hits = tried.withColumn("d", dist).where(F.round("d", 9) <= reach).groupBy(*keys, "rank", "angle").agg(

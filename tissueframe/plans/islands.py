@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import spread
+from ..session import deal, spread
 
 
 def merge_runs(runs: DataFrame, by: tuple[str, ...] = ("chip", "label", "y"), gap: int = 1) -> DataFrame:
     """Union touching or overlapping intervals ``[x0, x1]`` within each group."""
-    one = runs.groupBy(*by, "x0").agg(F.max("x1").alias("x1"))
+    # the window needs no other shuffle; a task costs a hash table of its own, so there are fewer
+    one = deal(runs.select(*by, "x0", "x1"), *by, share=4).groupBy(*by, "x0").agg(F.max("x1").alias("x1"))
     order = Window.partitionBy(*by).orderBy("x0")
     reach = F.max("x1").over(order.rowsBetween(Window.unboundedPreceding, -1))
     starts = one.withColumn("_new", F.when(F.col("x0") <= reach + gap, 0).otherwise(1))
@@ -33,7 +34,7 @@ def runs_from_pixels(pixels: DataFrame, by: tuple[str, ...] = ("chip", "label",
 def pixels_from_runs(runs: DataFrame) -> DataFrame:
     """One row per pixel of every run."""
     keep = [c for c in runs.columns if c not in ("x0", "x1")]
-    return runs.select(*keep, F.explode(F.sequence("x0", "x1")).alias("x"))
+    return deal(runs, *keep).select(*keep, F.explode(F.sequence("x0", "x1")).alias("x"))
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> DataFrame:
@@ -50,7 +51,7 @@ def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> D
                                F.lit(None).cast("struct<b0:bigint,b1:bigint>").alias("_b"))
     cover = run_pieces(b).select(*spot, F.lit(None).cast(own.schema["_a"].dataType).alias("_a"),
                                  F.struct(F.col("x0").cast("long").alias("b0"), F.col("x1").cast("long").alias("b1")).alias("_b"))
-    met = own.unionByName(cover).groupBy(*spot).agg(F.collect_set("_a").alias("_as"),
+    met = deal(own.unionByName(cover), *spot, share=4).groupBy(*spot).agg(F.collect_set("_a").alias("_as"),
                                                     F.sort_array(F.collect_set("_b")).alias("_bs"))
     runs = met.select(*keys, "y", "_bs", F.explode("_as").alias("_a"))
     x0, x1 = F.col("_a.x0").cast("long"), F.col("_a.x1").cast("long")

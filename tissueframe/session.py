@@ -76,6 +76,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def deal(df: DataFrame, *cols: str, share: int = 1) -> DataFrame:
+    """Rows dealt by ``cols`` to as many tasks as a shuffle has, or a ``share`` of them, before they multiply or gather in hash tables.
+
+    A small file is read by one task, and shuffles of few bytes are put together to few tasks, however many rows an
+    explode makes there; the number is fixed, so neither happens.  Later groups that hold ``cols`` need no other shuffle.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, parts // share), *cols)
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Materialise a summary once; broadcast it only if it is proven small.
 
