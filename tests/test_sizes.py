@@ -6,6 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from tissueframe.catalog.bindings import Tables
 from tissueframe.operators import cells, masks, registration
 from tissueframe.plans.buckets import overlap_pairs, points_in_runs
 from tissueframe.plans.islands import merge_runs, pixels_from_runs, subtract
@@ -92,3 +93,21 @@ def test_rotation_is_tried_on_dealt_points(stored):
     got = registration.rotate_search(track, ("chip", "fov_row", "fov_col"))
     assert "REPARTITION_BY_NUM" in plan(got)
     assert len(got.collect()) == 1
+
+
+def test_bindings_shuffle_what_grows(spark, tmp_path):
+    """The points' joins with orders, cells and parts, whose files are small and whose rows are not."""
+    tables = {
+        "customer": ([(0, 3, 1.0, "BUILDING"), (1, 7, -1.0, "MACHINERY")], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "orders": ([(5, 0), (6, 1), (6, 1), (None, 1)], "o_orderkey long, o_custkey long"),
+        "part": ([(2, "a"), (3, None), (None, "b")], "p_partkey long, p_brand string"),
+        "lineitem": ([(5, 2, 1, 1, 4.0, 9.0), (6, 3, 1, 1, 2.0, 9.0), (None, 2, 1, 1, 1.0, 9.0), (6, None, 1, 2, 1.0, 9.0)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    for points in (t.expression, t.transcript):
+        assert "Broadcast" not in plan(points)
+    assert sorted((r.chip, r.gene or "", r.mid) for r in t.expression.collect()) == [(0, "", 2), (0, "", 2), (0, "a", 4)]
+    assert sorted((r.l_orderkey or 0, r.feature_name or "") for r in t.transcript.collect()) == [(0, "a"), (5, "a"), (6, "")]

@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -133,6 +135,9 @@ select l_orderkey, l_linenumber, p_brand feature_name, (l_extendedprice-floor(l_
  l_quantity*7.25 y_location from {lineitem} l join {part} p on l.l_partkey=p.p_partkey""",
 }
 
+#: Bindings that join growing tables: by name, the sources that shuffle, as the planner takes their files for small.
+SPREAD: dict[str, tuple[str, ...]] = {"expression": ("orders", "cells", "part"), "transcript": ("part",)}
+
 _NAME = re.compile(r"\{(\w+)\}")
 _SERIES = re.compile(r"SERIES\(([^,]+(?:\([^)]*\)[^,]*)*), ([^()]*(?:\([^()]*\)[^()]*)*)\)")
 
@@ -160,6 +165,7 @@ class Tables:
             raise AttributeError(name)
         text = BINDINGS[name]
         sources = {dep: getattr(self, dep) for dep in set(_NAME.findall(text))}
+        sources |= {dep: spread(sources[dep]) for dep in SPREAD.get(name, ())}
         return self.spark.sql(_spark(text), **sources)
 
     def sql(self, text: str) -> DataFrame:
