@@ -83,3 +83,26 @@ def test_table_function_on_tiles(spark):
     df = spark.createDataFrame([(i % 3, i % 7, i) for i in range(200)], "img long, tile long, v long").repartition(5)
     got = sorted(map(tuple, sql.map_tiles(spark, "tile_stats_test", df, ("img", "tile")).collect()))
     assert got == sorted(map(tuple, df.groupBy("img", "tile").agg(F.count("*"), F.max("v")).collect()))
+
+
+def test_table_function_gets_arrow_batches(spark):
+    def stats(pdf):
+        return pd.DataFrame({"img": [pdf["img"].iloc[0]], "v": [pdf["v"].sum(min_count=1)], "names": ["".join(sorted(pdf["name"].dropna()))]})
+
+    sql.tile_function(spark, "tile_batches_test", stats, "img bigint, total bigint, names string")
+    rows = [(1, 5, "a"), (1, None, "b"), (None, 7, None), (None, 7, "c"), (2, None, "d")]
+    df = spark.createDataFrame(rows, "img long, v long, name string").repartition(3)
+    made = sql.map_tiles(spark, "tile_batches_test", df, ("img",))
+    assert "ArrowEvalPythonUDTF" in made._jdf.queryExecution().executedPlan().toString()
+    got = {(r["img"], r["total"], r["names"]) for r in made.collect()}
+    assert got == {(1, 5, "ab"), (None, 14, "c"), (2, None, "d")}
+    sql.tile_function(spark, "tile_none_test", lambda pdf: stats(pdf).iloc[:0], "img bigint, total bigint, names string")
+    assert sql.map_tiles(spark, "tile_none_test", df, ("img",)).count() == 0
+    # more than one batch a tile, and tiles that go over the end of a batch
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        many = spark.range(100).selectExpr("id % 3 img", "id v", "'x' name")
+        got = {r["img"]: (r["total"], len(r["names"])) for r in sql.map_tiles(spark, "tile_batches_test", many, ("img",)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: (sum(range(k, 100, 3)), len(range(k, 100, 3))) for k in range(3)}

@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.functions import udtf
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.functions import arrow_udtf
+from pyspark.sql.types import StructType
 
 from . import chip, intensity
 
@@ -47,22 +49,25 @@ def tile_function(spark: SparkSession, name: str, fn: Callable[[pd.DataFrame], p
     """Register ``fn`` (rows of one tile to rows of ``schema``) as the table function ``name``.
 
     The caller's ``partition by`` says what a tile is; a tile's rows are held by one task, so it must be of bounded
-    size, and each tile is a call of its own.
+    size, and each tile is a call of its own.  Rows come and go as Arrow batches, so no Python object is made for a row.
     """
+    names = StructType.fromDDL(schema).names
 
     class Tile:
         def __init__(self):
-            self._rows: list[dict] = []
+            self._batches: list[pa.RecordBatch] = []
 
-        def eval(self, row: Row):
-            self._rows.append(row.asDict())
+        def eval(self, rows: pa.RecordBatch):
+            self._batches.append(rows)
 
         def terminate(self):
-            if self._rows:
-                out = fn(pd.DataFrame(self._rows))
-                yield from out.astype(object).where(out.notna(), None).itertuples(index=False, name=None)
+            if self._batches:
+                out = fn(pa.Table.from_batches(self._batches).to_pandas(use_threads=False))
+                if len(out):
+                    columns = [pa.array(out.iloc[:, i], from_pandas=True) for i in range(out.shape[1])]
+                    yield pa.Table.from_arrays(columns, names=names)
 
-    spark.udtf.register(name, udtf(Tile, returnType=schema, useArrow=True))
+    spark.udtf.register(name, arrow_udtf(Tile, returnType=schema))
 
 
 def map_tiles(spark: SparkSession, name: str, tiles: DataFrame, by: tuple[str, ...]) -> DataFrame:
