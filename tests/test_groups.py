@@ -106,3 +106,30 @@ def test_table_function_gets_arrow_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == {k: (sum(range(k, 100, 3)), len(range(k, 100, 3))) for k in range(3)}
+
+
+def test_small_groups_come_in_batches_of_many(spark):
+    """Groups with null keys, nulls in some groups only, and groups that go over the end of a batch."""
+    def part(pdf):
+        kinds = "f" if pdf["v"].dtype.kind == "f" else "i"
+        return pd.DataFrame({"k": [pdf["k"].iloc[0]], "name": [pdf["name"].iloc[0]], "kinds": [kinds], "n": [len(pdf)],
+                             "total": [None if pdf["v"].isna().all() else int(pdf["v"].fillna(0).sum())]}).iloc[:0 if len(pdf) == 1 else 1]
+
+    big = (1 << 60) + 1
+    rows = [(k, n, big if n != "b" else None if i % 2 else i) for k in (1, None, big) for n in ("a", "b", None) for i in range(8)] + [(5, "one", 1)]
+    df = spark.createDataFrame(rows, "k long, name string, v long").repartition(3)
+    schema = "k long, name string, n long, total long, kinds string"
+    want = {(k, n, 8, 12 if n == "b" else 8 * big % (1 << 64) - (1 << 64 if 8 * big % (1 << 64) >> 63 else 0), "f" if n == "b" else "i")
+            for k in (1, None, big) for n in ("a", "b", None)}
+    for size in ("10000", "5"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            made = groups.group_apply(df, ("k", "name"), part, schema)
+            assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
+            got = [tuple(r) for r in made.collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert len(got) == 9 and set(got) == want
+    # types that pandas would get otherwise take the plain way
+    other = groups.group_apply(df.withColumn("k", F.col("k").cast("double")), ("k",), lambda p: p[["k"]].iloc[:1], "k double")
+    assert "FlatMapGroupsInPandas" in other._jdf.queryExecution().executedPlan().toString() and other.count() == 4

@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import cut
+from ..session import cut, deal
 
 #: Rows of a group that one task may hold.
 ROWS = 1_000_000
 
+#: Types that are equal in Arrow where they are one group in Spark, and those that Arrow and Spark give to pandas alike.
+KEYS = {"bigint", "int", "smallint", "tinyint", "string", "boolean", "date"}
+VALUES = KEYS | {"double", "float"}
+
 
 def _checked(fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType, what: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """``fn`` with its columns checked by name and put in order."""
@@ -27,6 +34,63 @@ def _checked(fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType, wha
     return run
 
 
+def _starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where the groups of a table sorted by ``keys`` begin."""
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for k in keys:
+        codes = pa.concat_arrays(table.column(k).chunks).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return np.flatnonzero(new)
+
+
+def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd.DataFrame], kind: StructType) -> DataFrame:
+    """``fn`` on the rows of each group, as ``applyInPandas`` does, for many small groups.
+
+    Rows are shuffled and sorted by the keys and come in batches of many groups, so that a group costs a slice and not
+    a stream of its own; the last group of a batch waits for the next.  Types that pandas would get otherwise take the plain way.
+    """
+    types = dict(df.dtypes)
+    if not {types[k] for k in keys} <= KEYS or not {*types.values(), *(f.dataType.simpleString() for f in kind)} <= VALUES:
+        return df.groupBy(*keys).applyInPandas(fn, kind)
+    schema = to_arrow_schema(kind)
+
+    def made(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        # without nulls a column has the same type in all groups
+        whole = None if any(c.null_count for c in table.columns) else table.to_pandas(use_threads=False)
+        found: list[pd.DataFrame] = []
+        for a, b in zip(starts, [*starts[1:], table.num_rows]):
+            rows = table.slice(a, b - a).to_pandas(use_threads=False) if whole is None else whole.iloc[a:b].reset_index(drop=True)
+            out = fn(rows)
+            if found and not out.dtypes.equals(found[0].dtypes):
+                yield packed(found)
+                found = []
+            if len(out):
+                found.append(out)
+        if found:
+            yield packed(found)
+
+    def packed(found: list[pd.DataFrame]) -> pa.RecordBatch:
+        out = pd.concat(found, ignore_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type, from_pandas=True, safe=False) for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            starts = _starts(table, keys)
+            if len(starts) > 1:
+                yield from made(table.slice(0, starts[-1]), starts[:-1])
+            held = table.slice(starts[-1])
+        if held is not None:
+            yield from made(held, np.zeros(1, int))
+
+    return deal(df, *keys).sortWithinPartitions(*keys).mapInArrow(run, kind)
+
+
 def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                 combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None, limit: int = ROWS, fan: int = 64) -> DataFrame:
     """Apply ``fn`` to the rows of each group; rows of ``schema`` hold the keys.
@@ -48,8 +112,8 @@ def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame
     rows = cut(df)
     hot = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit))
     if hot.isEmpty():
-        out = rows.groupBy(*keys).applyInPandas(work, kind)
-        return out.groupBy(*keys).applyInPandas(_checked(combine, kind, "the combiner"), kind) if combine else out
+        out = _apply(rows, keys, work, kind)
+        return _apply(out, keys, _checked(combine, kind, "the combiner"), kind) if combine else out
     if not combine:
         found = hot.orderBy(F.desc("_n")).first()
         raise ValueError(f"group {[found[k] for k in keys]} has {found['_n']} rows, more than {limit}, and there is no combiner")
@@ -74,10 +138,10 @@ def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame
         number = pdf["_part"].iloc[0]
         return join(pdf.drop(columns="_part")).assign(_part=number)
 
-    partial = part.groupBy(*keys, "_part").applyInPandas(made, f"{names}, `_part` long")
+    both = StructType.fromDDL(f"{names}, `_part` long")
+    partial = _apply(part, (*keys, "_part"), made, both)
     most = hot.agg(F.ceil(F.max("_n") / limit)).first()[0]
     while most > 1:
         most = -(-most // fan)
-        partial = (partial.withColumn("_part", F.floor(F.col("_part") / fan)).groupBy(*keys, "_part")
-                   .applyInPandas(joined, f"{names}, `_part` long"))
+        partial = _apply(partial.withColumn("_part", F.floor(F.col("_part") / fan)), (*keys, "_part"), joined, both)
     return partial.drop("_part")
