@@ -116,3 +116,17 @@ def test_empty_table_and_forgetting(spark, docs):
     for r in rows()[:20]:
         assert np.frombuffer(encoder.memo.encode([(r[1] or "").encode()])[0], encoder.dtype).tolist() == encoded(r[1])[:-1]
     assert encoder.memo.encode([b"\xff bad"])[0] == encoder.memo.encode(["� bad".encode()])[0]
+
+
+def test_words_of_latin_letters_are_encoded_side_by_side():
+    letters = [chr(c) for c in range(0xC0, 0x100)]
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices([*letters, "a", "Z", "'", "s", "7", "!", "\x1c"], k=rng.randint(1, 9))) for _ in range(50)) for _ in range(20)]
+    texts += ["é\xa0à ñ", "\x85x é", "é É", "É́ ñ̃o", "<|endoftext|>é <|ENDOFTEXT|>Ñ", "é中 İé ß"]
+    encoder, sizes = token_files.WordEncoder(PATH), []
+    plain = encoder._ids
+    encoder._ids = lambda some: (sizes.append(len(some)), plain(some))[1]
+    got = encoder.memo.encode([t.encode() for t in texts])
+    assert got == [plain([t])[0].tobytes() for t in texts]
+    assert max(sizes) < 12  # the words with other characters; all others are one string
+    assert encoder.memo.encode([t.encode() for t in texts]) == got

@@ -38,17 +38,23 @@ class WordMemo:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
         words = [self._split(t) for t in texts]
-        new = set(chain.from_iterable(words)).difference(self._known)
+        flat = list(chain.from_iterable(words))
+        found = list(map(self._known.get, flat))
+        missing = [i for i, x in enumerate(found) if x is None]  # new, or without ids of their own
+        new = {flat[i] for i in missing}.difference(self._known)
         if len(self._known) + len(new) > self._limit:
             self._known = {}
-            new = set(chain.from_iterable(words))
+            new = {flat[i] for i in missing}
         fresh = list(new)
         for i in range(0, len(fresh), 20_000):
             self._known.update(zip(fresh[i: i + 20_000], self._learn(fresh[i: i + 20_000])))
-        out, get = [], self._known.__getitem__
+        for i in missing:
+            found[i] = self._known[flat[i]]
+        out, at = [], 0
         for text, own in zip(texts, words):
             try:
-                out.append(b"".join(map(get, own)))
+                out.append(b"".join(found[at: at + len(own)]))
             except TypeError:  # a word without ids of its own
                 out.append(self._whole(text))
+            at += len(own)
         return out

@@ -22,6 +22,7 @@ other columns are ignored.  A frame that does not match its checksum is an error
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -42,6 +43,8 @@ from .textops import packs, text_bytes
 #: Bytes of ids in a frame, ids in a file, and bytes of text encoded at a time.
 FRAME, FILE, PACK = 1 << 18, 1 << 25, 1_000_000
 LEVEL = 3
+#: Matches words of characters that the tokenizer's normalizer leaves at their number of bytes.
+SAME_BYTES = re.compile(rb"[\x00-\x7f]*(?:\xc3[\x80-\xbf][\x00-\x7f]*)*").fullmatch
 #: Fixed values of the seekable format: skippable frame, footer, descriptor "with checksums".
 SKIPPABLE, FOOTER, CHECKED = 0x184D2A5E, 0x8F92EAB1, 0x80
 MANIFEST = "file string, part int, number int, docs long, ids long, frames long"
@@ -149,7 +152,8 @@ class WordEncoder:
     """Ids of a tokenizer that drops white space; words between ASCII white space are encoded apart.
 
     The tokenizer works on words without white space, so the ids of a text are those of its words.  Special tokens are
-    found inside words as in whole texts.  Words of ASCII are encoded side by side and told apart by their bytes.
+    found inside words as in whole texts.  Words of ASCII and of U+00C0 to U+00FF are encoded side by side and told apart
+    by their bytes: composing and lower-casing leave the number of bytes of these characters as it is.
     """
 
     def __init__(self, path: str):
@@ -171,7 +175,7 @@ class WordEncoder:
         return self._ids([text.decode("utf-8", "replace")])[0].tobytes()
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
-        plain = [w for w in words if w.isascii()]
+        plain = [w for w in words if w.isascii() or SAME_BYTES(w)]
         found = {}
         if plain:
             found = dict(zip(plain, split_by_bytes(self._ids([b" ".join(plain).decode()])[0], self._bytes, list(map(len, plain)))))
