@@ -65,3 +65,25 @@ def test_blocks_are_bounded(spark):
     sizes = filed.groupBy("chip", "block").agg(F.count("*").alias("n"), F.countDistinct("pivot").alias("p")).collect()
     assert sum(r["n"] for r in sizes) == 300 and max(r["n"] for r in sizes) <= 16 and {r["p"] for r in sizes} == {1}
     assert neighbours.knn(spark.createDataFrame([], SCHEMA), "id", "f", 3, ("chip",)).count() == 0
+
+
+@pytest.mark.parametrize(("parts", "part"), [(3, 1 << 15), (64, 20), (2, 40)])
+def test_a_block_is_sent_once_to_each_of_few_parts(spark, monkeypatch, parts, part):
+    rng = np.random.default_rng(6)
+    rows = [(i % 2, i, [float(v) for v in rng.normal(size=8)]) for i in range(240)]  # without structure: all blocks meet
+    rows += [(0, 1000 + i, rows[0][2]) for i in range(30)] + [(0, 2000, [float(v) * 1e-7 for v in rows[0][2]])]
+    monkeypatch.setattr(neighbours, "PARTS", parts)
+    monkeypatch.setattr(neighbours, "PART", part)
+    monkeypatch.setattr(neighbours, "CHUNK", 7)
+    seen, plain = [], neighbours.parts_of
+
+    def counted(blocks, by, size):
+        found = plain(blocks, by, size)
+        seen.extend(found.groupBy("chip").agg(F.countDistinct("part").alias("p"), F.count("*").alias("n")).collect())
+        return found
+
+    monkeypatch.setattr(neighbours, "parts_of", counted)
+    got = neighbours.knn(spark.createDataFrame(rows, SCHEMA), "id", "f", 6, ("chip",), 10, pivots=4)
+    assert {(r["chip"], r["src"], r["dst"], round(r["dist"], 9), r["rank"]) for r in got.collect()} == brute(rows, 6)
+    most = max(1, part // 10)
+    assert all(r["n"] >= 12 and r["p"] <= max(parts, -(-r["n"] // most)) for r in seen) and len(seen) == 2
