@@ -422,6 +422,29 @@ def test_near_copies_link_members_that_are_far_from_the_one_compared_first(spark
     assert all(abs(u - v) == 1 for u, v in found) and len(set(found)) == 11
 
 
+def test_only_near_copies_that_share_a_key_are_candidates(spark):
+    from pyspark.sql import functions as F
+    from tissueframe.llm import minhash
+
+    sets = {i: list(range(i * 8, i * 8 + 100)) for i in range(12)}  # only neighbours are similar
+    sets |= {100 + i: [*s[:-1], 10_000 + i] for i, s in sets.items()}  # similar to those of the other bucket
+    table = spark.createDataFrame([(i, s) for i, s in sets.items()], "node long, shingles array<long>")
+    nodes = table.select("node", F.lit(100).cast("long").alias("n"), F.array(F.floor(F.col("node") / 100)).alias("keys"))
+    compared, plain = [], minhash._similar
+
+    def counted(pairs, *rest):
+        compared.extend(tuple(r) for r in pairs.select("u", "v").collect())
+        return plain(pairs, *rest)
+
+    minhash._similar = counted
+    try:
+        found = {tuple(r) for r in minhash.links(nodes, lambda wanted: table.join(wanted, "node")).collect()}
+    finally:
+        minhash._similar = plain
+    assert compared and all((u < 100) == (v < 100) for u, v in compared)
+    assert all(v - u == 1 for u, v in found) and len(found) == 22
+
+
 def test_sets_that_share_one_key_and_are_not_similar_never_meet(spark):
     """400 sets with a third in common and one bucket; a few of them are near copies of each other."""
     from pyspark.sql import functions as F
