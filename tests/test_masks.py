@@ -226,3 +226,24 @@ def test_consecutive_labels_do_not_depend_on_partitions(spark):
     for chip in (0, 1):
         new = [n for c, _, n in one if c == chip]
         assert new == list(range(1, len(new) + 1))
+
+
+def test_components_of_runs_that_overlap_and_repeat(grid, spark):
+    rng = np.random.default_rng(5)
+    rows = [(0, int(n), int(y), int(x), int(x + w)) for n, y, x, w in
+            zip(rng.integers(1, 9, 120), rng.integers(-6, 20, 120), rng.integers(-9, 25, 120), rng.integers(0, 9, 120))]
+    mask = np.zeros((30, 50), int)
+    for _, _, y, x0, x1 in rows:
+        mask[y + 8, x0 + 10:x1 + 11] = 1
+    got = components.connected_components(spark.createDataFrame(rows + rows[:40], grid.schema), 4, size=8).collect()
+    seen = np.zeros(mask.shape, int)
+    for r in got:
+        assert (seen[r.y + 8, r.x0 + 10:r.x1 + 11] == 0).all()
+        seen[r.y + 8, r.x0 + 10:r.x1 + 11] = r.label + (1 << 40)
+    want = flood(mask, 4)
+    assert ((seen > 0) == (want > 0)).all()
+    assert len({(a, b) for a, b in zip(seen[mask > 0], want[mask > 0])}) == want.max() == len({r.label for r in got})
+    for r in got:
+        y, x = (spark.range(1).select(*components.first_pixel(F.lit(r.label))).first())
+        assert seen[y + 8, x + 10] == r.label + (1 << 40)
+        break

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,31 @@ def test_bindings_shuffle_what_grows(spark, tmp_path):
         assert "Broadcast" not in plan(points)
     assert sorted((r.chip, r.gene or "", r.mid) for r in t.expression.collect()) == [(0, "", 2), (0, "", 2), (0, "a", 4)]
     assert sorted((r.l_orderkey or 0, r.feature_name or "") for r in t.transcript.collect()) == [(0, "a"), (5, "a"), (6, "")]
+
+
+def tasks_of(df, fn: str) -> int:
+    """Tasks that the step with the Python function ``fn`` gets, whatever the size of its input."""
+    text = plan(df)
+    at = text.index(fn)
+    return int(re.search(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", text[at:]).group(1))
+
+
+def test_tiles_are_dealt_to_a_fixed_number_of_tasks(runs):
+    from tissueframe.plans.tiles import map_label_tiles
+    runs.sparkSession.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = map_label_tiles(runs, lambda a: a, 0, whole=False)
+        assert tasks_of(got, "FlatMapGroupsInPandas") == 4  # a quarter, not put together
+        assert sorted((r.label, r.y, r.x0, r.x1) for r in got.collect()) == [(1, 0, 0, 300), (2, 1, 5, 9)]
+    finally:
+        runs.sparkSession.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_joined_tiles_shuffle_border_runs_only(stored):
+    from tissueframe.plans.tiles import join_tiles
+    pieces = stored([(0, 1, 0, 2, 4), (0, 1, 0, 6, 7), (0, 1, 0, 8, 15), (0, 1, 0, 16, 16), (0, 2, 0, 17, 18), (0, 1, 1, 7, 7)],
+                    "chip long, label long, y long, x0 long, x1 long")
+    got = sorted((r.label, r.y, r.x0, r.x1) for r in join_tiles(pieces, ("chip", "label", "y"), 8).collect())
+    assert got == [(1, 0, 2, 4), (1, 0, 6, 16), (1, 1, 7, 7), (2, 0, 17, 18)]
+    inner = join_tiles(pieces.where("y = 0 and x1 = 4"), ("chip", "label", "y"), 8)
+    assert [tuple(r) for r in inner.collect()] == [(0, 1, 0, 2, 4)]

@@ -4,18 +4,28 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.buckets import bucket, near_join, square_distance
 from ..plans.fixpoint import label_components
-from ..plans.islands import merge_runs
-from ..plans.tiles import TILE, runs_to_tiles
-from ..session import cut
+from ..plans.tiles import TILE, join_tiles, runs_to_tiles
+from ..session import cut, deal
 
 #: Raster id of a pixel: row * STRIDE + column + 1, so that 0 stays background.
 STRIDE = 1 << 31
 
 
+def _union(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Touching or overlapping runs of a tile's rows made one; sorted by (y, x0)."""
+    pdf = pdf.sort_values(["y", "x0"], ignore_index=True)
+    y, x0, x1 = (pdf[c].to_numpy() for c in ("y", "x0", "x1"))
+    row = y * (x1.max() - x0.min() + 3)  # no run touches one of the next row
+    starts, ends = row + x0, row + x1
+    reach = np.maximum.accumulate(ends)
+    first = np.flatnonzero(np.append(True, starts[1:] > reach[:-1] + 1))
+    return pdf.iloc[first].assign(x1=np.maximum.reduceat(ends, first) - row[first])
+
+
 def _tile_roots(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, reach: int) -> np.ndarray:
     """Index of the first run of each run's component; input sorted by (y, x0)."""
     span = int(x1.max() - x0.min()) + 8
@@ -40,20 +50,21 @@ def _tile_roots(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, reach: int) -> np
 def connected_components(runs: DataFrame, conn: int, size: int = TILE) -> DataFrame:
     """Label the objects of a semantic mask; a label is the raster id of its first pixel.
 
-    Runs are cut at tile borders and labelled inside each tile (a tile is bounded
-    in area); only pieces on tile borders enter the distributed merge.
+    Runs are cut at tile borders, then merged and labelled inside each tile (a tile is
+    bounded in area) after one shuffle; only pieces on tile borders enter the distributed merge.
     """
     reach = {4: 0, 8: 1}[conn]
-    flat = merge_runs(runs.select("chip", "y", "x0", "x1"), ("chip", "y"))
+    tiles = deal(runs_to_tiles(runs.select("chip", "y", "x0", "x1"), 0, size), "chip", "ty", "tx", share=4)
+    tiles = tiles.groupBy("chip", "ty", "tx", "y", "x0").agg(F.max("x1").alias("x1"))  # no more rows than pixels
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["y", "x0"], ignore_index=True)
+        pdf = _union(pdf)
         y, x0, x1 = (pdf[c].to_numpy() for c in ("y", "x0", "x1"))
         first = _tile_roots(y, x0, x1, reach)
         return pdf.assign(root=y[first] * STRIDE + x0[first] + 1)
 
-    pieces = cut(runs_to_tiles(flat, 0, size).groupBy("chip", "ty", "tx").applyInPandas(
-        local, "chip long, y long, x0 long, x1 long, ty long, tx long, root long"))
+    pieces = cut(tiles.groupBy("chip", "ty", "tx").applyInPandas(
+        local, "chip long, ty long, tx long, y long, x0 long, x1 long, root long"))
     last = F.lit(size - 1)
     border = pieces.where((F.pmod("y", F.lit(size)).isin(0, size - 1))
                           | (F.pmod("x0", F.lit(size)) == 0) | (F.pmod("x1", F.lit(size)) == last))
@@ -72,7 +83,13 @@ def connected_components(runs: DataFrame, conn: int, size: int = TILE) -> DataFr
                                             F.col("root.rid").alias("_top"))
     out = pieces.join(merged, ["chip", "root"], "left").select(
         "chip", F.coalesce("_top", "root").alias("label"), "y", "x0", "x1")
-    return cut(merge_runs(out, ("chip", "label", "y")))
+    return cut(join_tiles(out, ("chip", "label", "y"), size))
+
+
+def first_pixel(label: Column) -> tuple[Column, Column]:
+    """Row and column of the pixel that gave a component its label."""
+    y = F.shiftright(label - 1 + STRIDE // 2, 31)
+    return y, label - 1 - y * STRIDE
 
 
 def point_components(points: DataFrame, max_d: float, keys: tuple[str, ...] = ("chip",)) -> DataFrame:

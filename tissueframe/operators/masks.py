@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.buckets import bucket, overlap_pairs, overlap_runs, points_in_runs
-from ..plans.islands import area, merge_runs, pixels_from_runs, runs_from_pixels, subtract
+from ..plans.islands import area, merge_runs, pixels_from_runs, runs_from_pixels, subtract, uncovered
 from ..session import cut, small, spread
-from .components import connected_components
+from .components import connected_components, first_pixel
 from .morphology import drop_seams, drop_small_objects, expand_labels, outline
 
 
@@ -42,7 +42,7 @@ def overlap_fraction(a: DataFrame, b: DataFrame, by: str = "b") -> DataFrame:
 
 def mask_minus(a: DataFrame, b: DataFrame, min_size: int = 15) -> DataFrame:
     """``a`` outside ``b``, relabelled with 4-connectivity, specks removed."""
-    return cut(drop_small_objects(connected_components(subtract(a, b), 4), min_size))
+    return cut(drop_small_objects(connected_components(uncovered(a, b), 4), min_size))
 
 
 def mask_and(a: DataFrame, b: DataFrame, min_size: int = 15) -> DataFrame:
@@ -58,23 +58,30 @@ def mask_union(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def keep_large_fragments(orig: DataFrame, frag: DataFrame, thr: float = 0.4) -> DataFrame:
-    """Drop fragments that keep less than ``thr`` of the object they come from."""
+    """Drop fragments that keep less than ``thr`` of the object they come from.
+
+    Pixels next to each other are of one object, so a piece lies in the object that holds its first pixel.
+    """
     objects = connected_components(orig, 8)
     inside = overlap_runs(objects, frag.withColumn("label", _one()))
     pieces = connected_components(inside, 4)
-    share = (overlap_pairs(objects, pieces)
-             .join(area(objects).withColumnRenamed("label", "label_a"), ["chip", "label_a"])
+    y, x = first_pixel(F.col("label"))
+    first = area(pieces).select("chip", "label", F.col("area").alias("cnt"), y.alias("y"), x.alias("x"))
+    share = (points_in_runs(first, objects.withColumnRenamed("label", "object"), "inner")
+             .join(area(objects).withColumnRenamed("label", "object"), ["chip", "object"])
              .where(F.col("cnt") / F.col("area") >= thr)
-             .select("chip", F.col("label_b").alias("label")))
+             .select("chip", "label"))
     kept = pieces.join(share, ["chip", "label"], "left_semi")
-    return cut(mask_union(kept, subtract(frag.withColumn("label", _one()), orig)))
+    return cut(mask_union(kept, uncovered(frag.withColumn("label", _one()), orig)))
 
 
 def overlap_merge(secondary: DataFrame, primary: DataFrame, thr: float) -> tuple[DataFrame, DataFrame]:
     """Add what ``primary`` leaves of ``secondary``; returns (kept secondary, merged mask)."""
     left = mask_minus(secondary, primary)
     kept = keep_large_fragments(secondary, left, thr)
-    return kept, cut(subtract(mask_union(primary, kept), outline(kept)))
+    cols = ("chip", _one().alias("label"), "y", "x0", "x1")
+    both = primary.select(*cols).unionByName(kept.select(*cols))
+    return kept, cut(subtract(both, outline(kept, whole=False)))
 
 
 def multimodal_merge(nuclei: DataFrame, boundary: DataFrame, interior: DataFrame):

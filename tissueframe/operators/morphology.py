@@ -60,8 +60,8 @@ def erode(runs: DataFrame, k: int) -> DataFrame:
     return map_label_tiles(flat, shrink, 2 * k)
 
 
-def outline(runs: DataFrame) -> DataFrame:
-    """Object pixels that miss a 4-neighbour of the same label."""
+def outline(runs: DataFrame, whole: bool = True) -> DataFrame:
+    """Object pixels that miss a 4-neighbour of the same label; unless ``whole``, runs end at tile borders."""
 
     def edge(a: np.ndarray) -> np.ndarray:
         inner = np.ones(a.shape, dtype=bool)
@@ -69,11 +69,11 @@ def outline(runs: DataFrame) -> DataFrame:
             inner &= _shift(a, dy, dx) == a
         return np.where(inner, 0, a)
 
-    return map_label_tiles(runs, edge, 1)
+    return map_label_tiles(runs, edge, 1, whole=whole)
 
 
-def drop_seams(runs: DataFrame) -> DataFrame:
-    """Remove pixels that have a 4-neighbour of another label."""
+def drop_seams(runs: DataFrame, whole: bool = True) -> DataFrame:
+    """Remove pixels that have a 4-neighbour of another label; unless ``whole``, runs end at tile borders."""
 
     def part(a: np.ndarray) -> np.ndarray:
         clash = np.zeros(a.shape, dtype=bool)
@@ -82,7 +82,7 @@ def drop_seams(runs: DataFrame) -> DataFrame:
             clash |= (other > 0) & (other != a)
         return np.where(clash, 0, a)
 
-    return map_label_tiles(runs, part, 1)
+    return map_label_tiles(runs, part, 1, whole=whole)
 
 
 def _square_distance(on: np.ndarray, r: int) -> np.ndarray:

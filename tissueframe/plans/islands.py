@@ -38,7 +38,12 @@ def pixels_from_runs(runs: DataFrame) -> DataFrame:
 
 
 def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> DataFrame:
-    """Pixels of ``a`` that ``b`` does not cover, keeping the labels of ``a``.
+    """Pixels of ``a`` that ``b`` does not cover, keeping the labels of ``a``."""
+    return merge_runs(uncovered(a, b, keys), (*keys, "label", "y"))
+
+
+def uncovered(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> DataFrame:
+    """The pieces of ``subtract`` within their buckets, for steps that merge runs themselves.
 
     Both sides meet in one shuffle on (row, bucket).  A bucket is 128 pixels wide,
     so its distinct pieces are few; each run of ``a`` walks over the sorted
@@ -64,9 +69,8 @@ def subtract(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = ("chip",)) -> D
             F.greatest(st["at"], c["b1"] + 1).alias("at"),
             F.when(c["b0"] > st["at"], F.concat(st["gaps"], piece(st["at"], c["b0"] - 1))).otherwise(st["gaps"]).alias("gaps")),
         lambda st: F.when(st["at"] <= x1, F.concat(st["gaps"], piece(st["at"], x1))).otherwise(st["gaps"]))
-    free = (runs.select(*keys, F.col("_a.label").alias("label"), "y", F.explode(gaps).alias("g"))
+    return (runs.select(*keys, F.col("_a.label").alias("label"), "y", F.explode(gaps).alias("g"))
             .select(*keys, "label", "y", F.col("g.s").alias("x0"), F.col("g.e").alias("x1")))
-    return merge_runs(free, (*keys, "label", "y"))
 
 
 def area(runs: DataFrame, by: tuple[str, ...] = ("chip", "label")) -> DataFrame:

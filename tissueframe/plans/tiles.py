@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import deal
 from .buckets import bucket
 
 TILE = 512
@@ -54,9 +55,13 @@ def trace(arr: np.ndarray, ty: int, tx: int, halo: int, size: int = TILE) -> pd.
 
 
 def group_tiles(runs: DataFrame, halo: int, size: int = TILE):
-    """Runs grouped by tile; repeated runs go after the shuffle by tile, which serves both."""
+    """Runs grouped by tile; repeated runs go after the shuffle by tile, which serves both.
+
+    The tiles are dealt to a fixed number of tasks: a few megabytes of runs are hours of tile work, and adaptive
+    execution would put them together in one task.
+    """
     tiles = runs_to_tiles(runs.select("chip", "label", "y", "x0", "x1"), halo, size)
-    return tiles.repartition("chip", "ty", "tx").distinct().groupBy("chip", "ty", "tx")
+    return deal(tiles, "chip", "ty", "tx", share=4).distinct().groupBy("chip", "ty", "tx")
 
 
 def tiles_of(at: Column, shifts, size: int = TILE) -> Column:
@@ -74,8 +79,8 @@ def paint_pixels(pdf: pd.DataFrame, ty: int, tx: int, halo: int, size: int = TIL
 
 
 def map_label_tiles(runs: DataFrame, fn: Callable[[np.ndarray], np.ndarray], halo: int,
-                    size: int = TILE) -> DataFrame:
-    """Apply an array function of reach ``halo`` to every tile; returns merged runs."""
+                    size: int = TILE, whole: bool = True) -> DataFrame:
+    """Apply an array function of reach ``halo`` to every tile; returns merged runs, or unless ``whole`` those of the tiles."""
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         chip, ty, tx = (int(v) for v in key)
@@ -86,4 +91,12 @@ def map_label_tiles(runs: DataFrame, fn: Callable[[np.ndarray], np.ndarray], hal
     out = group_tiles(runs, halo, size).applyInPandas(
         one, "chip long, label long, y long, x0 long, x1 long")
     from .islands import merge_runs
-    return merge_runs(out, ("chip", "label", "y"))
+    return merge_runs(out, ("chip", "label", "y")) if whole else out
+
+
+def join_tiles(pieces: DataFrame, by: tuple[str, ...], size: int = TILE) -> DataFrame:
+    """Merged runs of a written table whose runs are merged inside each tile: only those at a tile's left or right border meet others."""
+    from .islands import merge_runs
+
+    edge = F.coalesce((F.pmod("x0", F.lit(size)) == 0) | (F.pmod("x1", F.lit(size)) == size - 1), F.lit(True))
+    return pieces.where(~edge).select(*by, "x0", "x1").unionByName(merge_runs(pieces.where(edge), by))
