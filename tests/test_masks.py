@@ -247,3 +247,27 @@ def test_components_of_runs_that_overlap_and_repeat(grid, spark):
         y, x = (spark.range(1).select(*components.first_pixel(F.lit(r.label))).first())
         assert seen[y + 8, x + 10] == r.label + (1 << 40)
         break
+
+
+def test_split_of_few_and_many_centroids_is_the_same(grid, spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    src, ref = np.zeros((40, 300), int), np.zeros((40, 300), int)
+    src[2:20, 5:290], src[24:38, 3:40], src[24:38, 60:90] = 7, 8, 9
+    for n, (y, x) in enumerate([(4, 9), (4, 60), (12, 140), (15, 131), (8, 250), (26, 6), (33, 30), (30, 70)], 1):
+        ref[y:y + 1 + n % 3, x:x + 2 + n % 2] = n
+    one = sorted(map(tuple, masks.split_multi_cells(grid.runs(src), grid.runs(ref)).collect()))
+    monkeypatch.setattr(masks, "FEW_SITES", 2)
+    two = sorted(map(tuple, masks.split_multi_cells(grid.runs(src), grid.runs(ref)).collect()))
+    monkeypatch.setattr(masks, "FEW_SITES", 0)
+    assert one == two == sorted(map(tuple, masks.split_multi_cells(grid.runs(src), grid.runs(ref)).collect()))
+    assert sum(r[4] - r[3] + 1 for r in one) < (src > 0).sum()
+
+
+def test_run_owners_shuffle_no_pixels(grid, monkeypatch):
+    """Objects of few centroids are cut run by run: the pixels of their runs are never rows."""
+    src, ref = np.ones((4, 40), int), np.zeros((4, 40), int)
+    ref[1, 3], ref[1, 30] = 1, 2
+    monkeypatch.setattr(masks, "pixels_from_runs", lambda *a: pytest.fail("pixels became rows"))
+    got = masks.split_multi_cells(grid.runs(src), grid.runs(ref))
+    assert sorted((r.y, r.x0, r.x1) for r in got.collect()) == sorted(
+        (y, a, b) for y in range(4) for a, b in ((0, 15), (18, 39)))

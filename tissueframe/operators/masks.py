@@ -6,13 +6,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.buckets import bucket, overlap_pairs, overlap_runs, points_in_runs
+from ..plans.buckets import bucket, overlap_pairs, overlap_runs, points_in_runs, run_pieces
 from ..plans.islands import area, merge_runs, pixels_from_runs, runs_from_pixels, subtract, uncovered
-from ..session import cut, small, spread
+from ..session import cut, deal, small, spread
 from .components import connected_components, first_pixel
 from .morphology import drop_seams, drop_small_objects, expand_labels, outline
 
 
+#: Most reference centroids of an object whose pixels are compared with all of them.
+FEW_SITES = 64
+
+
 def _one() -> Column:
     return F.lit(1).cast("long")
 
@@ -251,17 +255,44 @@ def nearest_site(points: DataFrame, sites: DataFrame, keys: tuple[str, ...], rea
 
 
 def split_multi_cells(src: DataFrame, ref: DataFrame) -> DataFrame:
-    """Cut source objects that hold several reference centroids along their bisectors."""
+    """Cut source objects that hold several reference centroids along their bisectors.
+
+    A run of an object with few centroids finds the owners of its pixels from the list of all; the pixels of the others search buckets.
+    """
     kind = cut(centroid_containment(src, ref))
-    multi = kind.where("kind = 'multi'").select("chip", "label")
+    multi = kind.where("kind = 'multi'")
     single = src.join(kind.where("kind = 'single'").select("chip", "label"), ["chip", "label"], "left_semi")
-    pixels = pixels_from_runs(src.join(multi, ["chip", "label"], "left_semi")).select("chip", "label", "y", "x")
-    sites = _contained(src, ref).join(multi, ["chip", "label"], "left_semi").select(
-        "chip", "label", F.col("cx").alias("x"), F.col("cy").alias("y"), "ref")
-    owned = nearest_site(pixels.distinct(), sites, ("chip", "label"), 16, ("ref",))
-    parts = drop_seams(runs_from_pixels(owned.select("chip", F.col("s_ref").alias("label"), "y", "x")))
+    sites = _contained(src, ref).select("chip", "label", F.col("cx").alias("x"), F.col("cy").alias("y"), "ref")
+    few, many = (multi.where(cond).select("chip", "label") for cond in (F.col("n") <= FEW_SITES, F.col("n") > FEW_SITES))
+    owned = _owned_runs(src, sites.join(few, ["chip", "label"], "left_semi"))
+    if not many.isEmpty():
+        pixels = pixels_from_runs(src.join(many, ["chip", "label"], "left_semi")).select("chip", "label", "y", "x")
+        near = nearest_site(pixels.distinct(), sites.join(many, ["chip", "label"], "left_semi"), ("chip", "label"), 16, ("ref",))
+        owned = owned.unionByName(runs_from_pixels(near.select("chip", F.col("s_ref").alias("label"), "y", "x")))
     cols = ("chip", "y", "x0", "x1")
-    return mask_union(single.select(*cols), parts.select(*cols))
+    return mask_union(single.select(*cols), drop_seams(owned, whole=False).select(*cols))
+
+
+def _owned_runs(runs: DataFrame, sites: DataFrame) -> DataFrame:
+    """Runs cut where the nearest of their label's ``sites(chip, label, x, y, ref)`` changes; the label is then its ``ref``."""
+    lists = sites.groupBy("chip", "label").agg(F.collect_set(F.struct("x", "y", "ref")).alias("_s"))
+    held = deal(run_pieces(runs).select("chip", "label", "y", "x0", "x1"), "chip", "label").join(spread(lists), ["chip", "label"])
+
+    def owner(x: Column) -> Column:
+        def far(s: Column) -> Column:
+            dx, dy = x - s["x"], F.col("y") - s["y"]
+            return F.struct((dx * dx + dy * dy).alias("d2"), s["ref"].alias("ref"))
+        return F.array_min(F.transform("_s", far))["ref"]
+
+    piece = lambda ref, x0, x1: F.array(F.struct(ref.alias("label"), x0.alias("x0"), x1.alias("x1")))
+    none = F.slice(piece(owner(F.col("x0")), F.col("x0"), F.col("x0")), 1, 0)
+    state = lambda ref, at, done: F.struct(ref.alias("ref"), at.alias("at"), done.alias("done"))
+    pieces = F.aggregate(
+        F.sequence("x0", "x1"), state(owner(F.col("x0")), F.col("x0"), none),
+        lambda st, x: F.when(st["ref"].eqNullSafe(owner(x)), st).otherwise(
+            state(owner(x), x, F.concat(st["done"], piece(st["ref"], st["at"], x - 1)))),
+        lambda st: F.concat(st["done"], piece(st["ref"], st["at"], F.col("x1"))))
+    return held.select("chip", "y", F.explode(pieces).alias("_p")).select("chip", "_p.label", "y", "_p.x0", "_p.x1")
 
 
 def fit_mask(runs: DataFrame, extent: DataFrame, binx: int = 1) -> DataFrame:
