@@ -140,3 +140,12 @@ def test_joined_tiles_shuffle_border_runs_only(stored):
     assert got == [(1, 0, 2, 4), (1, 0, 6, 16), (1, 1, 7, 7), (2, 0, 17, 18)]
     inner = join_tiles(pieces.where("y = 0 and x1 = 4"), ("chip", "label", "y"), 8)
     assert [tuple(r) for r in inner.collect()] == [(0, 1, 0, 2, 4)]
+
+
+def test_cells_are_dealt_before_they_become_runs(spark, tmp_path):
+    """One task reads the small file of cells; the runs that an explode makes of them come from many."""
+    rows = [(c, c % 25, 1.0, "BUILDING") for c in range(300)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    text = plan(Tables(spark, str(tmp_path)).nuclei)
+    assert text.index("Generate") < text.index("REPARTITION_BY_NUM") < text.index("FileScan")
+    assert Tables(spark, str(tmp_path)).nuclei.select("chip", "label").distinct().count() == 300

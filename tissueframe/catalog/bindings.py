@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import spread
+from ..session import deal, spread
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
         "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -138,6 +138,9 @@ select l_orderkey, l_linenumber, p_brand feature_name, (l_extendedprice-floor(l_
 #: Bindings that join growing tables: by name, the sources that shuffle, as the planner takes their files for small.
 SPREAD: dict[str, tuple[str, ...]] = {"expression": ("orders", "cells", "part"), "transcript": ("part",)}
 
+#: Bindings that make many rows of one: by name, the source and its key that are dealt to many tasks before, as one task reads a small file.
+DEAL: dict[str, tuple[str, str]] = {"mask_run": ("cells", "c")}
+
 _NAME = re.compile(r"\{(\w+)\}")
 _SERIES = re.compile(r"SERIES\(([^,]+(?:\([^)]*\)[^,]*)*), ([^()]*(?:\([^()]*\)[^()]*)*)\)")
 
@@ -166,6 +169,9 @@ class Tables:
         text = BINDINGS[name]
         sources = {dep: getattr(self, dep) for dep in set(_NAME.findall(text))}
         sources |= {dep: spread(sources[dep]) for dep in SPREAD.get(name, ())}
+        if name in DEAL:
+            dep, key = DEAL[name]
+            sources[dep] = deal(sources[dep], key, share=4)
         return self.spark.sql(_spark(text), **sources)
 
     def sql(self, text: str) -> DataFrame:
