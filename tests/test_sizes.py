@@ -149,3 +149,33 @@ def test_cells_are_dealt_before_they_become_runs(spark, tmp_path):
     text = plan(Tables(spark, str(tmp_path)).nuclei)
     assert text.index("Generate") < text.index("REPARTITION_BY_NUM") < text.index("FileScan")
     assert Tables(spark, str(tmp_path)).nuclei.select("chip", "label").distinct().count() == 300
+
+
+def test_fields_and_their_places_shuffle_both_sides(stored):
+    from tissueframe.operators import stitching
+    pixels = stored([(0, 0, c, 0, x, 10 * c + x) for c in range(2) for x in range(3)], "slide long, r long, c long, y long, x long, v long")
+    loc = stored([(0, 0, 0, 0, 0), (0, 0, 1, 2, 0)], "slide long, r long, c long, x long, y long")
+    whole = stitching.mosaic(pixels, loc, 2)
+    assert "Broadcast" not in plan(whole)
+    assert sorted((r.x, r.v) for r in whole.collect()) == [(0, 0), (1, 1), (2, 10), (3, 11), (4, 12)]
+    mixed = stitching.blend_tiles(pixels, loc, 1)
+    text = plan(mixed)
+    # the two of the join and one for both axes
+    assert "Broadcast" not in text and text.count("Exchange") == 3
+    assert sorted((r.x, r.v) for r in mixed.collect()) == [(0, 0.0), (1, 1.0), (2, 2.0), (3, 11.0), (4, 12.0)]
+
+
+def test_field_pixels_are_made_where_the_join_wants_them(spark, tmp_path):
+    """Fields are dealt before the explode, and the join with their places does not shuffle the pixels again."""
+    import __spark_entry__ as entry
+    spark.createDataFrame([(p,) for p in range(45)], "p_partkey long").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    for name in ("g06_blend_tiles", "g07_mosaic"):
+        got = entry.queries()[name](spark, str(tmp_path))
+        text = plan(got)
+        assert "Broadcast" not in text and text.rindex("Generate") < text.index("REPARTITION_BY_NUM", text.rindex("Generate"))
+        assert got.count() == _mosaic_size(45)
+
+
+def _mosaic_size(fields: int) -> int:
+    """Pixels of fields of 6 by 6 on a lattice of 4, twenty in a row."""
+    return len({(p // 20 * 4 + y, p % 20 * 4 + x) for p in range(fields) for y in range(6) for x in range(6)})

@@ -174,9 +174,9 @@ class Tables:
             sources[dep] = deal(sources[dep], key, share=4)
         return self.spark.sql(_spark(text), **sources)
 
-    def sql(self, text: str) -> DataFrame:
-        """Spark SQL over bindings named as ``{name}``."""
-        return self.spark.sql(_spark(text), **{d: getattr(self, d) for d in set(_NAME.findall(text))})
+    def sql(self, text: str, **given: DataFrame) -> DataFrame:
+        """Spark SQL over bindings named as ``{name}``, or over the tables ``given`` by that name."""
+        return self.spark.sql(_spark(text), **{d: given[d] if d in given else getattr(self, d) for d in set(_NAME.findall(text))})
 
 
 def _closure(name: str, out: list[str]) -> None:

@@ -4,6 +4,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators import stitching, tiling
+from ..session import deal
 from . import query
 
 R = lambda *names, n=6: [F.round(c, n).alias(c) for c in names]
@@ -94,8 +95,9 @@ FOVPX = """fpx as (select slide, r, c, y, x, (k*7+y*3+x*5)%251 v from (select sl
 
 
 def _fov_pixels(t):
+    # fields are dealt before they become pixels, which then are where the join with their places wants them
     return t.sql("""select slide, r, c, y, x, (k*7+y*3+x*5)%251 v from (select slide, r, c, k, y, SERIES(0, 5) x from
- (select slide, r, c, k, SERIES(0, 5) y from {fov}) a) b""")
+ (select slide, r, c, k, SERIES(0, 5) y from {fov}) a) b""", fov=deal(t.fov, "slide", "r", "c"))
 
 
 @query("g06_blend_tiles", "with " + FOVPX + """,

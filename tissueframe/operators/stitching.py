@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import small
+from ..session import deal, small, spread
 
 KEYS = ("slide", "axis")
 
@@ -278,9 +278,15 @@ def fov_global_location(fov: DataFrame, jitter: DataFrame, w: int, h: int, overl
             .applyInPandas(one, "slide long, r long, c long, x long, y long"))
 
 
+def _placed(pixels: DataFrame, loc: DataFrame) -> DataFrame:
+    """Field pixels ``(slide, r, c, y, x, v)`` with the origin ``_ox, _oy`` of their field; places grow with the fields, so both sides shuffle."""
+    at = loc.select("slide", "r", "c", F.col("x").alias("_ox"), F.col("y").alias("_oy"))
+    return pixels.join(spread(at), ["slide", "r", "c"])
+
+
 def mosaic(pixels: DataFrame, loc: DataFrame, cols: int) -> DataFrame:
     """Place field pixels ``(slide, r, c, y, x, v)``; later fields in row order win."""
-    placed = pixels.join(loc.select("slide", "r", "c", F.col("x").alias("_ox"), F.col("y").alias("_oy")), ["slide", "r", "c"])
+    placed = _placed(pixels, loc)
     return (placed.groupBy("slide", (F.col("y") + F.col("_oy")).alias("y"), (F.col("x") + F.col("_ox")).alias("x"))
             .agg(F.max(F.struct((F.col("r") * cols + F.col("c")).alias("k"), "v")).alias("m"))
             .select("slide", "y", "x", F.col("m.v").alias("v")))
@@ -292,7 +298,7 @@ def blend_tiles(pixels: DataFrame, loc: DataFrame, overlap: int) -> DataFrame:
     Weight of a field rises as ``sin(90 deg * i / overlap)`` from its left and top
     edge; a pixel covered twice mixes both fields, each axis in turn.
     """
-    placed = pixels.join(loc.select("slide", "r", "c", F.col("x").alias("_ox"), F.col("y").alias("_oy")), ["slide", "r", "c"])
+    placed = _placed(pixels, loc)
     ramp = lambda c: F.when(F.col(c) < overlap, F.sin(F.radians(F.col(c) * (90.0 / overlap)))).otherwise(1.0)
     p = placed.select("slide", "r", "c", (F.col("y") + F.col("_oy")).alias("gy"), (F.col("x") + F.col("_ox")).alias("gx"),
                       "v", ramp("x").alias("wx"), ramp("y").alias("wy"))
@@ -303,6 +309,7 @@ def blend_tiles(pixels: DataFrame, loc: DataFrame, overlap: int) -> DataFrame:
         pair = df.withColumn("_old", F.lag("v").over(win)).withColumn("_last", F.lead("v").over(win).isNull())
         return pair.where("_last").withColumn("v", fade(F.col("_old"), F.col("v"), F.col(w))).drop("_old", "_last")
 
-    across = mix(p, ("slide", "r", "gy", "gx"), "c", "wx")
+    # one shuffle by the pixel of the mosaic serves both axes
+    across = mix(deal(p, "slide", "gy", "gx"), ("slide", "r", "gy", "gx"), "c", "wx")
     down = mix(across, ("slide", "gy", "gx"), "r", "wy")
     return down.select("slide", F.col("gy").alias("y"), F.col("gx").alias("x"), F.col("v"))
