@@ -179,3 +179,34 @@ def test_field_pixels_are_made_where_the_join_wants_them(spark, tmp_path):
 def _mosaic_size(fields: int) -> int:
     """Pixels of fields of 6 by 6 on a lattice of 4, twenty in a row."""
     return len({(p // 20 * 4 + y, p % 20 * 4 + x) for p in range(fields) for y in range(6) for x in range(6)})
+
+
+def test_scale_search_makes_no_row_for_a_candidate(spark, stored):
+    import math
+    import random
+    rng = random.Random(5)
+    steps = ((7, 9, 8), (6, 10, 11))
+    rows = [(0, f, i, rng.randrange(60), rng.randrange(60)) for f in range(3) for i in range(12 + f)]
+    scales = (0.8, 1.0, 1.25)
+    points = stored(rows, "chip long, fov long, id long, x long, y long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")  # a centre goes on over batches
+    try:
+        got = registration.scale_search(points, ("chip", "fov"), scales, n=2, rate=1e9, template=steps)
+        assert "Generate" not in plan(got)
+        found = {r.fov: (r.scale, r.ix, r.iy, r.votes) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def gap(u, pitch, i):
+        lines = registration.track_prefix(pitch)
+        return min(abs((u - (q - lines[i]) + sum(pitch) / 2) % sum(pitch) - sum(pitch) / 2) for q in lines)
+
+    for f in range(3):
+        own = [(i, x, y) for _, g, i, x, y in rows if g == f]
+        mx, my = (sum(p[a] for p in own) / len(own) for a in (1, 2))
+        near = sorted(own, key=lambda p: (round((p[1] - mx) ** 2 + (p[2] - my) ** 2, 6), p[0]))[:2]
+        best = [min((round(sum(math.hypot(gap((x - cx) / s, steps[0], i), gap((y - cy) / s, steps[1], j)) * s for _, x, y in own), 6), s, i, j)
+                    for s in scales for i in range(3) for j in range(3)) for _, cx, cy in near]
+        votes = {s: [k for k, b in enumerate(best) if b[1] == s] for _, s, _, _ in best}
+        s = max(votes, key=lambda v: (len(votes[v]), -votes[v][0], v))
+        assert found[f] == (s, *best[votes[s][0]][2:], len(votes[s]))

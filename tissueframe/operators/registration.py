@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import geometry
 from ..plans.buckets import bucket, near_join, square_distance
+from ..plans.groups import starts
 from ..plans.islands import merge_runs
 from ..plans.tiles import TILE, paint_pixels, tiles_of
 from ..session import cut, deal, small, spread
@@ -20,6 +23,8 @@ from .masks import nearest_site
 PITCH = (240, 300, 330, 390, 390, 330, 300, 240, 420)
 #: Steps along x and along y.
 TEMPLATE = (PITCH, PITCH)
+#: Points whose distances to all candidates of a scale search are held at a time.
+CHUNK = 4096
 
 
 def track_prefix(pitch) -> tuple[int, ...]:
@@ -495,41 +500,95 @@ def rotate_search(points: DataFrame, keys: tuple[str, ...], search: int = 45, re
                       F.col("v.votes").cast("long").alias("votes"))
 
 
+def _gaps(u: np.ndarray, pitch) -> np.ndarray:
+    """Distance of each ``u`` to the nearest line of a lattice that has a line at 0, for each line of the period as that one."""
+    lines, period = np.array(track_prefix(pitch), float), float(sum(pitch))
+    out = np.empty((len(u), len(lines)))
+    for i, start in enumerate(lines):
+        gap = np.mod(u[:, None] - (lines - start) + period / 2, period)
+        gap -= period / 2
+        out[:, i] = np.abs(gap, out=gap).min(axis=1)
+    return out
+
+
+def _lattice_costs(rows: DataFrame, keys: tuple[str, ...], scales: tuple[float, ...], template) -> DataFrame:
+    """``(keys, rank, scale, cost, ix, iy)``: the start indices of least cost for each centre and scale.
+
+    ``rows(keys, rank, x, y, cx, cy)`` are sorted by keys and rank in their partitions and pass as a stream: a centre is
+    held as its sums, one for each scale and pair of start indices, however many points it has.
+    """
+    types, by = dict(rows.dtypes), [*keys, "rank"]
+    wide = len(template[1])
+    size = len(template[0]) * wide
+
+    def best(names: pa.Table, sums: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+        cost = np.round(sums, 6)
+        at = cost.argmin(axis=2)
+        least = np.take_along_axis(cost, at[:, :, None], axis=2).reshape(-1)
+        again = np.repeat(np.arange(len(sums)), len(scales))
+        columns = [names.column(c).combine_chunks().take(pa.array(again)) for c in by]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(np.tile(np.array(scales, float), len(sums))), pa.array(least, mask=np.repeat(known == 0, len(scales))),
+             pa.array((at.reshape(-1) // wide).astype(np.int32)), pa.array((at.reshape(-1) % wide).astype(np.int32))],
+            names=[*by, "scale", "cost", "ix", "iy"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = sums = known = None  # of the last centre, which may go on
+        for batch in batches:
+            for a in range(0, batch.num_rows, CHUNK):
+                part = pa.Table.from_batches([batch.slice(a, CHUNK)])
+                x, y, cx, cy = (part.column(c).cast("double").to_numpy() for c in ("x", "y", "cx", "cy"))
+                full = np.logical_and.reduce([part.column(c).is_valid().to_numpy() for c in ("x", "y", "cx", "cy")])
+                heads = part.select(by) if names is None else pa.concat_tables([names, part.select(by)])
+                first = starts(heads, by)
+                own = 0 if names is None else 1
+                begin = np.maximum(first - own, 0)  # in the part
+                if own and len(first) > 1 and first[1] == 1:
+                    begin = begin[1:]  # the centre that was held ended with the last part
+                count = np.add.reduceat(full.astype(np.int64), begin)
+                total = np.empty((len(begin), len(scales), size))
+                for i, s in enumerate(scales):
+                    dx, dy = _gaps((x - cx) / s, template[0]), _gaps((y - cy) / s, template[1])
+                    cost = np.sqrt((dx * dx)[:, :, None] + (dy * dy)[:, None, :]).reshape(len(x), size) * s
+                    cost[~full] = 0
+                    total[:, i] = np.add.reduceat(cost, begin)
+                if own:
+                    if len(begin) == len(first):
+                        total[0] += sums
+                        count[0] += known
+                    else:
+                        total, count = np.concatenate([sums[None], total]), np.concatenate([[known], count])
+                heads = heads.take(pa.array(first))
+                if len(first) > 1:
+                    yield best(heads.slice(0, len(first) - 1), total[:-1], count[:-1])
+                names, sums, known = heads.slice(len(first) - 1), total[-1], count[-1]
+        if names is not None:
+            yield best(names, sums[None], np.array([known]))
+
+    head = ", ".join(f"`{c}` {types[c]}" for c in by)
+    return rows.mapInArrow(run, f"{head}, scale double, cost double, ix int, iy int")
+
+
 def scale_search(points: DataFrame, keys: tuple[str, ...], scales: tuple[float, ...], n: int = 3,
                  rate: float = 1.2, template=TEMPLATE) -> DataFrame:
     """Template scale per group, by vote of the central points.
 
     The template is a lattice, so the distance to its nearest point splits into
     one term per axis, each a modular expression; all scales and all start
-    indices are scored in one aggregation.  A candidate is valid while its
-    lattice is not much denser than the points.
+    indices are summed up for a centre as its points pass, none is a row.  A
+    candidate is valid while its lattice is not much denser than the points.
     """
     center = center_points(points, n, keys).select(*keys, "rank", F.col("x").alias("cx"), F.col("y").alias("cy"))
     box = small(points.groupBy(*keys).agg(F.count("*").alias("_n"), (F.max("x") - F.min("x")).alias("_w"),
                                           (F.max("y") - F.min("y")).alias("_h")))
-
-    def off(u: Column, pitch) -> Column:
-        idx = F.array(*[F.lit(i) for i in range(len(pitch))])
-        pre = F.array(*[F.lit(float(p)) for p in track_prefix(pitch)])
-        period = float(sum(pitch))
-
-        def nearest(i):
-            start = F.element_at(pre, i + 1)
-            gap = F.transform(pre, lambda q: F.abs(F.pmod(u - (q - start) + period / 2, F.lit(period)) - period / 2))
-            return F.array_min(gap)
-        return F.transform(idx, nearest)
-
+    tried = deal(points, *keys).join(spread(center), [*keys]).select(*keys, "rank", "x", "y", "cx", "cy")
+    cost = _lattice_costs(tried.sortWithinPartitions(*keys, "rank"), keys, scales, template)
     s = F.col("scale")
-    tried = (points.join(center, [*keys]).withColumn("scale", F.explode(F.array(*[F.lit(v) for v in scales])))
-             .withColumn("ox", off((F.col("x") - F.col("cx")) / s, template[0])).withColumn("oy", off((F.col("y") - F.col("cy")) / s, template[1])))
-    cell = (tried.select(*keys, "rank", "scale", "oy", F.posexplode("ox").alias("ix", "dx"))
-            .select(*keys, "rank", "scale", "ix", "dx", F.posexplode("oy").alias("iy", "dy")))
-    cost = cell.groupBy(*keys, "rank", "scale", "ix", "iy").agg(F.sum(F.hypot("dx", "dy") * s).alias("cost"))
     step_x, step_y = (sum(p) / len(p) for p in template)
     lattice = (F.floor(F.col("_w") / (s * step_x)) + 1) * (F.floor(F.col("_h") / (s * step_y)) + 1)
     valid = (lattice / F.col("_n") <= rate) | (lattice - F.col("_n") <= 10)
     best = (cost.join(box, [*keys]).where(valid).groupBy(*keys, "rank")
-            .agg(F.min(F.struct(F.round("cost", 6).alias("cost"), "scale", "ix", "iy")).alias("b")))
+            .agg(F.min(F.struct("cost", "scale", "ix", "iy")).alias("b")))
     vote = best.groupBy(*keys, F.col("b.scale").alias("scale")).agg(
         F.count("*").alias("votes"), F.min(F.struct("rank", "b.ix", "b.iy")).alias("f"))
     top = vote.groupBy(*keys).agg(F.max(F.struct("votes", (-F.col("f.rank")).alias("r"), "scale",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ def _checked(fn: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType, wha
     return run
 
 
-def _starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+def starts(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
     """Where the groups of a table sorted by ``keys`` begin."""
     new = np.zeros(table.num_rows, bool)
     new[0] = True
@@ -55,11 +55,11 @@ def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd
         return df.groupBy(*keys).applyInPandas(fn, kind)
     schema = to_arrow_schema(kind)
 
-    def made(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def made(table: pa.Table, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
         # without nulls a column has the same type in all groups
         whole = None if any(c.null_count for c in table.columns) else table.to_pandas(use_threads=False)
         found: list[pd.DataFrame] = []
-        for a, b in zip(starts, [*starts[1:], table.num_rows]):
+        for a, b in zip(heads, [*heads[1:], table.num_rows]):
             rows = table.slice(a, b - a).to_pandas(use_threads=False) if whole is None else whole.iloc[a:b].reset_index(drop=True)
             out = fn(rows)
             if found and not out.dtypes.equals(found[0].dtypes):
@@ -81,10 +81,10 @@ def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd
                 continue
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
-            starts = _starts(table, keys)
-            if len(starts) > 1:
-                yield from made(table.slice(0, starts[-1]), starts[:-1])
-            held = table.slice(starts[-1])
+            heads = starts(table, keys)
+            if len(heads) > 1:
+                yield from made(table.slice(0, heads[-1]), heads[:-1])
+            held = table.slice(heads[-1])
         if held is not None:
             yield from made(held, np.zeros(1, int))
 
