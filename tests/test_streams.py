@@ -95,3 +95,16 @@ def test_dnb_stream_equals_the_batch_heat_map(spark):
     incremental.stream_dnb(spark, source, out, state, 2).awaitTermination()
     want = sorted(map(tuple, cells.dnb_heatmap(spark.createDataFrame(points, incremental.POINTS)).collect()))
     assert sorted(map(tuple, incremental.read_dnb(spark, out).collect())) == want
+
+
+def test_cell_sums_are_kept_by_gene_and_spot_without_python(spark):
+    """A crowded cell is many rows of state, which many tasks hold; no row of the stream goes through Python."""
+    runs = spark.createDataFrame([(0, 1, 0, 0, 99)], "chip long, label long, y long, x0 long, x1 long")
+    source, out, state = (scratch(spark, x) for x in ("in", "out", "state"))
+    points = [(0, "ab"[x % 2], x, 0, 1) for x in range(100)]
+    spark.createDataFrame(points, incremental.POINTS).coalesce(1).write.parquet(source)
+    query = incremental.stream_cell_counts(spark, source, runs, out, state, 1)
+    query.awaitTermination()
+    kept = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert {s["operatorName"] for s in kept} == {"stateStoreSave"} and max(s["numRowsTotal"] for s in kept) == 2 + 100
+    assert [tuple(r) for r in incremental.read_cell_counts(spark, out).collect()] == [(0, 1, 100, 100, 2, 100)]

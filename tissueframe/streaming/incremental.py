@@ -1,17 +1,13 @@
 """Chunk-wise heat-maps and cell tables with Structured Streaming.
 
-State is one running sum per spot, and per cell its sums, genes and spots, so it is bounded by the chip; each micro-batch
+State is one running sum per spot, and one per gene and per spot of a cell, so it is bounded by the chip; each micro-batch
 adds the rows it changed to a running table (``tables``) and reading takes the newest per key.  The order in which chunks
 arrive does not matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.cells import saturate
 from ..operators.masks import centroids
@@ -21,7 +17,9 @@ from .tables import RunningTable
 POINTS = "chip bigint, gene string, x bigint, y bigint, mid bigint"
 SPOT, CELL = ("chip", "x", "y"), ("chip", "cell_id")
 SPOT_SUM = "chip bigint, x bigint, y bigint, mid bigint"
-CELL_SUMS = "chip bigint, cell_id bigint, mid bigint, n bigint, n_gene bigint, n_dnb bigint"
+#: A gene of a cell (without a place) or a spot of it (without a gene).
+PART = (*CELL, "part", "gene", "x", "y")
+PART_SUMS = "chip bigint, cell_id bigint, part string, gene string, x bigint, y bigint, mid bigint, n bigint"
 
 
 def _source(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
@@ -44,59 +42,31 @@ def read_dnb(spark: SparkSession, out: str, bits: int = 8) -> DataFrame:
     return RunningTable(spark, out, SPOT).read(SPOT_SUM).withColumn("mid", saturate(F.col("mid"), bits))
 
 
-class CellSums(StatefulProcessor):
-    """Keyed state of one cell: its sums, a map of its genes and a map of its spots.
-
-    A chunk touches only the genes and spots it holds, so the work of a batch follows the batch and not the cell.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._sums = handle.getValueState("sums", "mid bigint, n bigint, n_gene bigint, n_dnb bigint")
-        self._genes = handle.getMapState("genes", "known boolean, gene string", "mid bigint")
-        self._spots = handle.getMapState("spots", "x bigint, y bigint", "n bigint")
-
-    @staticmethod
-    def _count(state, found: pd.Series, key) -> int:
-        """Add the sums of a chunk to a map; how many of its entries are new."""
-        new = 0
-        for name, total in found.items():
-            at = key(name)
-            old = state.getValue(at) if state.containsKey(at) else None
-            new += old is None
-            state.updateValue(at, (int(total) + (old[0] if old else 0),))
-        return new
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        mid, n, n_gene, n_dnb = self._sums.get() if self._sums.exists() else (0, 0, 0, 0)
-        for part in rows:
-            mid += int(part["mid"].fillna(0).sum())
-            n += len(part)
-            gene = part["gene"].where(part["gene"].notna(), None)
-            counted = part["mid"].fillna(0)
-            n_gene += self._count(self._genes, counted.groupby([gene.notna(), gene.fillna("")]).sum(), lambda g: (bool(g[0]), g[1]))
-            n_dnb += self._count(self._spots, part.groupby(["x", "y"]).size(), lambda s: (int(s[0]), int(s[1])))
-        self._sums.update((mid, n, n_gene, n_dnb))
-        yield pd.DataFrame({"chip": [int(key[0])], "cell_id": [int(key[1])], "mid": [mid], "n": [n], "n_gene": [n_gene], "n_dnb": [n_dnb]})
-
-    def close(self) -> None:
-        pass
-
-
 def stream_cell_counts(spark: SparkSession, source: str, runs: DataFrame, out: str, state: str, files_per_batch: int = 1):
-    """Running counts, genes and spots per cell against a static mask; returns the streaming query.
+    """Running sums of the genes and spots of each cell against a static mask; returns the streaming query.
 
-    The state lives in RocksDB on the executors and in the folder ``state``, from which a new query goes on.
+    Keyed state is a row for each gene and each spot of a cell, so a chunk touches only what it holds and a crowded cell
+    is dealt to many tasks.  The state lives in RocksDB on the executors and in the folder ``state``, from which a new
+    query goes on.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     points = points_in_runs(_source(spark, source, files_per_batch), runs.select("chip", "label", "y", "x0", "x1"), "inner")
-    cells = points.select("chip", F.col("label").alias("cell_id"), "gene", "x", "y", "mid").groupBy(*CELL)
-    sums = cells.transformWithStateInPandas(CellSums(), CELL_SUMS, "Update", "None")
-    return _run(sums, RunningTable(spark, out, CELL), state)
+    row = lambda part, gene, x, y, mid: F.struct(
+        F.lit(part).alias("part"), gene.cast("string").alias("gene"), x.cast("long").alias("x"), y.cast("long").alias("y"), mid.cast("long").alias("mid"))
+    none = F.lit(None)
+    both = F.array(row("gene", F.col("gene"), none, none, F.col("mid")), row("spot", none, F.col("x"), F.col("y"), none))
+    parts = points.select("chip", F.col("label").alias("cell_id"), F.explode(both).alias("p")).select(*CELL, "p.*")
+    sums = parts.groupBy(*PART).agg(F.sum("mid").cast("long").alias("mid"), F.count("*").alias("n"))
+    return _run(sums, RunningTable(spark, out, PART), state)
 
 
 def read_cell_counts(spark: SparkSession, out: str) -> DataFrame:
     """Newest sums of the cells that hold points: ``(chip, cell_id, mid, n, n_gene, n_dnb)``."""
-    return RunningTable(spark, out, CELL).read(CELL_SUMS)
+    gene, spot = F.col("part") == "gene", F.col("part") == "spot"
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return RunningTable(spark, out, PART).read(PART_SUMS).groupBy(*CELL).agg(
+        whole(F.sum(F.when(gene, F.col("mid")))).alias("mid"), whole(F.sum(F.when(gene, F.col("n")))).alias("n"),
+        F.count(F.when(gene, 1)).alias("n_gene"), F.count(F.when(spot, 1)).alias("n_dnb"))
 
 
 def read_cell_obs(spark: SparkSession, out: str, runs: DataFrame) -> DataFrame:
