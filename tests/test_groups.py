@@ -133,3 +133,21 @@ def test_small_groups_come_in_batches_of_many(spark):
     # types that pandas would get otherwise take the plain way
     other = groups.group_apply(df.withColumn("k", F.col("k").cast("double")), ("k",), lambda p: p[["k"]].iloc[:1], "k double")
     assert "FlatMapGroupsInPandas" in other._jdf.queryExecution().executedPlan().toString() and other.count() == 4
+
+
+def test_many_groups_at_once(spark):
+    """A function of many groups sees whole groups, also those that go on over batches."""
+    rows = [(g, i) for g in range(9) for i in range(4 + g)]
+    df = spark.createDataFrame(rows, "g long, v long")
+
+    def sums(pdf):
+        return pdf.groupby("g", as_index=False).agg(v=("v", "sum"), n=("v", "size"))
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = sorted(map(tuple, groups.group_apply(df, ("g",), sums, "g long, v long, n long", many=True).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(g, sum(range(4 + g)), 4 + g) for g in range(9)]
+    with pytest.raises(ValueError, match="no combiner"):
+        groups.group_apply(df, ("g",), sums, "g long, v long, n long", combine=sums, many=True)

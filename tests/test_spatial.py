@@ -228,3 +228,42 @@ def test_reflected_landmarks(spark):
                                "grp long, x double, y double, u double, v double")
     r = registration.landmark_fit(df).first()
     assert r["scale_x"] < 0 < r["scale_y"] and abs(r["angle"]) <= 90
+
+
+def test_gmm_shuffles_a_background_point_once(spark, monkeypatch):
+    """Points in the boxes of many cells, over tile borders, equal each cell's own candidates scored one by one."""
+    rng = np.random.default_rng(4)
+    cells_ = [(0, 1 + i, 12 * (i % 3) - 4, 12 * (i // 3)) for i in range(9)]
+    rows = {(0, "ab"[int(g)], int(x), int(y), int(m), 0) for g, x, y, m in zip(
+        rng.integers(0, 2, 300), rng.integers(-20, 45, 300), rng.integers(-15, 40, 300), rng.integers(1, 9, 300))}
+    rows |= {(0, "a", cx + int(dx), cy + int(dy), int(m), cell) for _, cell, cx, cy in cells_[:8]
+             for dx, dy, m in zip(rng.integers(-3, 4, 6), rng.integers(-3, 4, 6), rng.integers(1, 9, 6))}
+    rows.add((0, "a", 0, 0, None, 0))
+    r, thr, sent = 16, 12.0, []
+    plain = cluster.group_apply
+    monkeypatch.setattr(cluster, "group_apply", lambda df, keys, *a, **o: sent.append((keys, df)) or plain(df, keys, *a, **o))
+    df = spark.createDataFrame(sorted(rows, key=str), "chip long, gene string, x long, y long, mid long, cell_id long")
+    centre = spark.createDataFrame(cells_, "chip long, cell_id long, cx long, cy long")
+    got = {tuple(v) for v in cluster.gmm_correct(df, centre, r, thr).collect()}
+    tiles = [d for keys, d in sent if keys == ("chip", "ty", "tx")]
+    assert len(tiles) == 1 and tiles[0].where("not site").count() == sum(v[5] == 0 for v in rows)
+    want = {}
+    top = {}
+    for _, _, x, y, m, cell in rows:
+        if cell == 0 and m is not None:
+            top[x, y] = max(m, top.get((x, y), 0))
+    for _, cell, cx, cy in cells_:
+        box = [v for v in rows if abs(v[2] - cx) < r and abs(v[3] - cy) < r]
+        own = [v for v in box if v[5] == cell]
+        x = np.array([[v[2], v[3], v[4]] for v in own], float).reshape(-1, 3)
+        able, mu, var, pi = cluster._fit_spherical(x, np.zeros(len(x), int), np.array([cell]), 3)
+        claimed = list(own)
+        if len(able):
+            for v in (v for v in box if v[5] == 0 and (v[2], v[3]) in top):
+                p = np.array([v[2], v[3], top[v[2], v[3]]], float)
+                dens = sum(w * (2 * np.pi * s) ** -1.5 * np.exp(-((p - m) ** 2).sum() / (2 * s)) for m, s, w in zip(mu[0], var[0], pi[0]))
+                if dens > np.exp(-thr):
+                    claimed.append(v)
+        for v in claimed:
+            want[v[:5]] = min(cell, want.get(v[:5], cell))
+    assert got == {(*k, c) for k, c in want.items()} and len(got) > 60

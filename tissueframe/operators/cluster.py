@@ -6,12 +6,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..plans.buckets import near_join, square_distance
+from ..plans.buckets import bucket, near_join, square_distance
 from ..plans.groups import group_apply
-from ..session import cut
+from ..session import cut, spread
 from . import neighbours, reduction
 from .components import consecutive_labels
 
+#: Pairs of a mixture and a position that are scored at a time.
+PAIRS = 200_000
+
 
 def pca_features(df: DataFrame, col: str, k: int = 30) -> DataFrame:
     """Scale an array column and project it on its ``k`` first components, as the array column ``pca``.
@@ -101,34 +104,55 @@ def community_labels(edges: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
                      [*keys, "label"]).select(*at, "community")
 
 
-def _fit_spherical(x: np.ndarray, k: int, seed: int, rounds: int = 100):
-    """Spherical Gaussian mixture by expectation maximisation; None if it cannot be fitted."""
-    if len(x) < k or len(np.unique(x, axis=0)) < k:
-        return None
+def _first_centres(x: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` of the points, drawn one after another by the squared distance to those drawn before."""
     rng = np.random.default_rng(seed)
     mu = [x[rng.integers(len(x))]]
     for _ in range(1, k):
         d2 = np.min([((x - m) ** 2).sum(1) for m in mu], axis=0)
         mu.append(x[rng.choice(len(x), p=d2 / d2.sum())])
-    mu, dim = np.array(mu, float), x.shape[1]
-    var, pi, last = np.full(k, x.var(axis=0).mean() + 1e-6), np.full(k, 1.0 / k), -np.inf
-    for _ in range(rounds):
-        dens = _log_density(x, mu, var, pi)
-        top = dens.max(axis=1, keepdims=True)
-        norm = top[:, 0] + np.log(np.exp(dens - top).sum(axis=1))
-        resp = np.exp(dens - norm[:, None])
-        n = resp.sum(axis=0) + 1e-10
-        mu, pi = (resp.T @ x) / n[:, None], n / n.sum()
-        var = (resp * ((x[:, None] - mu[None]) ** 2).sum(axis=2)).sum(axis=0) / (n * dim) + 1e-6
-        if abs(norm.mean() - last) < 1e-3:
-            break
-        last = norm.mean()
-    return mu, var, pi
+    return np.array(mu, float)
+
+
+def _fit_spherical(x: np.ndarray, group: np.ndarray, seeds: np.ndarray, k: int, rounds: int = 100):
+    """Spherical Gaussian mixtures of many groups by expectation maximisation.
+
+    ``group`` numbers the rows of ``x`` from 0, ``seeds`` has one for each group.  Groups of one size go through the
+    rounds together, each until it settles.  Returns the groups that can be fitted, their means, variances and weights.
+    """
+    order = np.lexsort((*x.T[::-1], group))
+    x, group, dim = x[order].astype(float), group[order], x.shape[1]
+    new = np.append(True, (group[1:] != group[:-1]) | (x[1:] != x[:-1]).any(axis=1)) if len(x) else np.zeros(0, bool)
+    n, different = np.bincount(group, minlength=len(seeds)), np.bincount(group[new], minlength=len(seeds))
+    head = np.cumsum(n) - n
+    able = np.flatnonzero(different >= k)
+    mu, var, pi = np.zeros((len(able), k, dim)), np.zeros((len(able), k)), np.full((len(able), k), 1.0 / k)
+    for size in np.unique(n[able]):
+        at = np.flatnonzero(n[able] == size)
+        y = x[head[able[at]][:, None] + np.arange(size)]
+        mu[at] = [_first_centres(own, k, int(seed)) for own, seed in zip(y, seeds[able[at]])]
+        var[at] = (y.var(axis=1).mean(axis=1) + 1e-6)[:, None]
+        last = np.full(len(at), -np.inf)
+        for _ in range(rounds):
+            dens = _log_density(y, mu[at], var[at], pi[at])
+            top = dens.max(axis=2, keepdims=True)
+            norm = top[..., 0] + np.log(np.exp(dens - top).sum(axis=2))
+            resp = np.exp(dens - norm[..., None])
+            total = resp.sum(axis=1) + 1e-10
+            mu[at], pi[at] = (resp.transpose(0, 2, 1) @ y) / total[..., None], total / size
+            var[at] = (resp * ((y[:, :, None] - mu[at][:, None]) ** 2).sum(axis=3)).sum(axis=1) / (total * dim) + 1e-6
+            mean = norm.mean(axis=1)
+            open_ = ~(np.abs(mean - last) < 1e-3)
+            if not open_.any():
+                break
+            at, y, last = at[open_], y[open_], mean[open_]
+    return able, mu, var, pi
 
 
 def _log_density(x, mu, var, pi):
-    d2 = ((x[:, None] - mu[None]) ** 2).sum(axis=2)
-    return np.log(pi) - 0.5 * (x.shape[1] * np.log(2 * np.pi * var) + d2 / var)
+    """Of points ``(..., n, dim)`` under each part ``(..., k, dim)`` of their mixture."""
+    d2 = ((x[..., :, None, :] - mu[..., None, :, :]) ** 2).sum(axis=-1)
+    return np.log(pi)[..., None, :] - 0.5 * ((x.shape[-1] * np.log(2 * np.pi * var))[..., None, :] + d2 / var[..., None, :])
 
 
 def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float = 20.0, k: int = 3) -> DataFrame:
@@ -138,32 +162,67 @@ def gmm_correct(assigned: DataFrame, cells: DataFrame, r: int = 50, thr: float =
     in negative log-likelihood they join the cell.  Own points outside the box of half-width ``r`` go.  A point goes to the smallest
     cell id that claims it.  Copies are collapsed first, so a cell receives at
     most the distinct rows of its box.
+
+    A mixture is a few numbers, so mixtures go to the tiles that their cell's box reaches and a background point is
+    shuffled once, however many boxes it lies in.  A tile has no more positions than a box.  Points without a count take
+    no part in the fit, and positions without a count are no candidates.
     """
-    from .cells import background_candidates, dedupe_first
+    from .cells import dedupe_first
 
-    keys = ("chip", "gene", "x", "y", "mid")
+    keys, by, tile = ("chip", "gene", "x", "y", "mid"), ("chip", "cell_id"), ("chip", "ty", "tx")
+    size = max(1, 2 * int(r) - 1)
     flat = cut(assigned.select(*keys, "cell_id").distinct())
-    box = cells.select("chip", "cell_id", "cx", "cy")
-    own = flat.join(box, ["chip", "cell_id"]).where((F.col("cell_id") > 0) & (F.abs(F.col("x") - F.col("cx")) < r)
-                                                    & (F.abs(F.col("y") - F.col("cy")) < r)).drop("cx", "cy")
-    cand = background_candidates(flat, cells, r)
-    peak = cand.groupBy("chip", "cell_id", "x", "y").agg(F.max("mid").alias("top"))
-    cand = cand.join(peak, ["chip", "cell_id", "x", "y"])
-
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        cols = ["chip", "cell_id", "gene", "x", "y", "mid"]
-        mine, back = rows[rows["top"].isna()], rows[rows["top"].notna()]
-        if not len(mine):
-            return mine[cols]
-        fit = _fit_spherical(mine.sort_values(["x", "y", "mid"])[["x", "y", "mid"]].to_numpy(float), k, int(mine["cell_id"].iloc[0]))
-        if fit is None or not len(back):
-            return mine[cols]
-        dens = _log_density(back[["x", "y", "top"]].to_numpy(float), *fit)
-        top = dens.max(axis=1, keepdims=True)
-        score = -(top[:, 0] + np.log(np.exp(dens - top).sum(axis=1)))
-        return pd.concat([back.loc[score < thr, cols], mine[cols]])
-
-    # own points have no largest count of their position; a cell's rows are those of its box
-    both = own.withColumn("top", F.lit(None).cast("long")).unionByName(cand.select(*own.columns, F.col("top").cast("long").alias("top")))
-    grown = group_apply(both, ("chip", "cell_id"), one, "chip long, cell_id long, gene string, x long, y long, mid long")
-    return dedupe_first(grown.where("cell_id > 0"), keys)
+    box = cells.select(*by, F.col("cx").cast("double").alias("cx"), F.col("cy").cast("double").alias("cy"))
+    own = flat.where("cell_id > 0").join(spread(box), [*by]).where((F.abs(F.col("x") - F.col("cx")) < r) & (F.abs(F.col("y") - F.col("cy")) < r))
+    own = cut(own.select(*keys, "cell_id"))
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        group = rows.groupby([*by], sort=False).ngroup().to_numpy()
+        names = rows.drop_duplicates([*by])[[*by]].to_numpy()
+        able, mu, var, pi = _fit_spherical(rows[["x", "y", "mid"]].to_numpy(float), group, names[:, 1], k)
+        of, mu = names[np.repeat(able, k)], mu.reshape(-1, 3)
+        return pd.DataFrame({"chip": of[:, 0], "cell_id": of[:, 1], "mx": mu[:, 0], "my": mu[:, 1], "mm": mu[:, 2], "var": var.reshape(-1), "pi": pi.reshape(-1)})
+
+    shape = ("mx", "my", "mm", "var", "pi")
+    fits = group_apply(own.where("mid is not null").select(*by, "x", "y", "mid"), by, fitted,
+                       "chip long, cell_id long, " + ", ".join(f"{c} double" for c in shape), many=True)
+    reach = lambda c: F.explode(F.sequence(bucket(F.col(c) - r, size), bucket(F.col(c) + r, size)))
+    sites = (fits.join(spread(box.distinct()), [*by]).withColumn("ty", reach("cy")).withColumn("tx", reach("cx")))
+    zero = lambda kind, *names: [F.lit(0).cast(kind).alias(c) for c in names]
+    back = flat.where("cell_id = 0 and x is not null and y is not null")
+    both = (sites.select(*tile, "cell_id", "cx", "cy", *shape, F.lit("").alias("gene"), *zero("long", "x", "y", "mid"), F.lit(True).alias("site"))
+            .unionByName(back.select("chip", bucket("y", size).alias("ty"), bucket("x", size).alias("tx"), *zero("long", "cell_id"),
+                                     *zero("double", "cx", "cy", *shape), "gene", "x", "y", "mid", F.lit(False).alias("site"))))
+
+    def claimed(rows: pd.DataFrame) -> pd.DataFrame:
+        is_site = rows["site"].to_numpy(bool)
+        mine, back = rows[is_site], rows[~is_site]
+        owner = np.zeros(len(back), np.int64)
+        if len(mine) and len(back):
+            x, y = back["x"].to_numpy(np.int64), back["y"].to_numpy(np.int64)
+            _, first, at = np.unique((x - x.min()) * size + (y - y.min()), return_index=True, return_inverse=True)
+            top = np.full(len(first), -np.inf)
+            np.fmax.at(top, at, back["mid"].to_numpy(float))
+            spots = np.column_stack([x[first], y[first], top])
+            open_, taken = np.isfinite(top), np.zeros(len(first), np.int64)
+            # every mixture has k rows; the smallest cell comes first
+            mine = mine.sort_values(["cell_id", "cx", "cy"], kind="stable")
+            cell = mine["cell_id"].to_numpy(np.int64)[::k]
+            cx, cy, *fit = mine[["cx", "cy", *shape]].to_numpy(float).T.reshape(-1, len(cell), k)
+            mu, var, pi = np.stack(fit[:3], axis=2), fit[3], fit[4]
+            step = max(1, PAIRS // len(spots))
+            for i in range(0, len(cell), step):
+                free = np.flatnonzero(open_)
+                inside = ((np.abs(spots[free, 0] - cx[i: i + step, :1]) < r) & (np.abs(spots[free, 1] - cy[i: i + step, :1]) < r))
+                c, spot = np.nonzero(inside)
+                c, spot = c + i, free[spot]
+                dens = _log_density(spots[spot][:, None], mu[c], var[c], pi[c])[:, 0]
+                best = dens.max(axis=1, initial=-np.inf)
+                won = np.flatnonzero(-(best + np.log(np.exp(dens - best[:, None]).sum(axis=1))) < thr)[::-1]
+                taken[spot[won]] = cell[c[won]]
+                open_[spot[won]] = False
+            owner = taken[at]
+        return back.assign(cell_id=owner)[owner != 0][[*tile, "cell_id", "gene", "x", "y", "mid"]]
+
+    grown = group_apply(both, tile, claimed, "chip long, ty long, tx long, cell_id long, gene string, x long, y long, mid long").select(*keys, "cell_id")
+    return dedupe_first(own.unionByName(grown).where("cell_id > 0"), keys)

@@ -44,11 +44,13 @@ def starts(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd.DataFrame], kind: StructType) -> DataFrame:
+def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd.DataFrame], kind: StructType,
+           many: bool = False) -> DataFrame:
     """``fn`` on the rows of each group, as ``applyInPandas`` does, for many small groups.
 
     Rows are shuffled and sorted by the keys and come in batches of many groups, so that a group costs a slice and not
-    a stream of its own; the last group of a batch waits for the next.  Types that pandas would get otherwise take the plain way.
+    a stream of its own; the last group of a batch waits for the next.  With ``many`` the function gets the whole groups of
+    a batch at once.  Types that pandas would get otherwise take the plain way.
     """
     types = dict(df.dtypes)
     if not {types[k] for k in keys} <= KEYS or not {*types.values(), *(f.dataType.simpleString() for f in kind)} <= VALUES:
@@ -56,6 +58,11 @@ def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd
     schema = to_arrow_schema(kind)
 
     def made(table: pa.Table, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if many:
+            out = fn(table.to_pandas(use_threads=False))
+            if len(out):
+                yield packed([out])
+            return
         # without nulls a column has the same type in all groups
         whole = None if any(c.null_count for c in table.columns) else table.to_pandas(use_threads=False)
         found: list[pd.DataFrame] = []
@@ -92,7 +99,8 @@ def _apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd
 
 
 def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-                combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None, limit: int = ROWS, fan: int = 64) -> DataFrame:
+                combine: Callable[[pd.DataFrame], pd.DataFrame] | None = None, limit: int = ROWS, fan: int = 64,
+                many: bool = False) -> DataFrame:
     """Apply ``fn`` to the rows of each group; rows of ``schema`` hold the keys.
 
     With ``combine`` a group of more than ``limit`` rows is dealt to parts by a hash of its rows, ``fn`` makes partial
@@ -103,7 +111,11 @@ def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame
     Without ``combine`` a group cannot be split, and one of more than ``limit`` rows is an error that names it: the
     caller bounds the group (a tile, a cell's box) or gives a combiner.  Null keys are a group; empty tables give empty
     tables; the columns that the function gives are checked by name.
+
+    With ``many`` (and no ``combine``) ``fn`` takes the rows of several whole groups at once and tells them apart itself.
     """
+    if many and combine:
+        raise ValueError("a function of many groups has no combiner")
     kind = StructType.fromDDL(schema)
     missing = [k for k in keys if k not in kind.names]
     if missing:
@@ -112,7 +124,7 @@ def group_apply(df: DataFrame, keys: tuple[str, ...], fn: Callable[[pd.DataFrame
     rows = cut(df)
     hot = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit))
     if hot.isEmpty():
-        out = _apply(rows, keys, work, kind)
+        out = _apply(rows, keys, work, kind, many)
         return _apply(out, keys, _checked(combine, kind, "the combiner"), kind) if combine else out
     if not combine:
         found = hot.orderBy(F.desc("_n")).first()
