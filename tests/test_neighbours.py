@@ -87,3 +87,24 @@ def test_a_block_is_sent_once_to_each_of_few_parts(spark, monkeypatch, parts, pa
     assert {(r["chip"], r["src"], r["dst"], round(r["dist"], 9), r["rank"]) for r in got.collect()} == brute(rows, 6)
     most = max(1, part // 10)
     assert all(r["n"] >= 12 and r["p"] <= max(parts, -(-r["n"] // most)) for r in seen) and len(seen) == 2
+
+
+def test_small_groups_are_one_block_each(spark, monkeypatch):
+    """Pivots do not cut a group that fits a block, so its points are sent to one part, not to one for each pivot."""
+    from tissueframe.operators import neighbours
+
+    rng = np.random.default_rng(3)
+    rows = [(g, i, rng.normal(size=3).tolist()) for g in range(6) for i in range(20)]
+    df = spark.createDataFrame(rows, "g long, id long, f array<double>")
+    seen, plain = [], neighbours.compared
+    monkeypatch.setattr(neighbours, "compared", lambda bounded, pairs, *a: seen.append((bounded, pairs)) or plain(bounded, pairs, *a))
+    got = {(r["g"], r["src"], r["rank"]): r["dst"] for r in neighbours.knn(df, "id", "f", 4, ("g",)).collect()}
+    bounded, pairs = seen[0]
+    cuts = bounded.select("g", "block").distinct().count()
+    assert cuts <= 6 + int(spark.conf.get("spark.sql.shuffle.partitions")) and pairs.count() <= 4 * cuts
+    for g in range(6):
+        x = np.array([f for h, _, f in rows if h == g])
+        d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+        np.fill_diagonal(d, np.inf)
+        want = np.argsort(d.round(9), axis=1, kind="stable")[:, :4]
+        assert all(got[g, i, k + 1] == want[i, k] for i in range(20) for k in range(4))

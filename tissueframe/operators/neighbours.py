@@ -1,6 +1,7 @@
 """Exact k nearest neighbours of feature vectors by metric pruning.
 
-1. A few pivots are taken from the points.  Every point belongs to its nearest pivot and keeps its distance to it.
+1. A few pivots are taken from the points, a group takes as many of them as it fills blocks.  Every point belongs to its
+   nearest pivot and keeps its distance to it.
 2. Points are sorted by pivot and distance over range partitions and cut into blocks of at most ``BLOCK`` points, each a
    shell around its pivot with an inner and an outer radius.  A region with very many points is many blocks.
 3. Inside its own block a point finds ``k`` neighbours, which bound its k-th distance from above.  The largest bound of a
@@ -52,7 +53,10 @@ def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def blocks(points: DataFrame, by: tuple[str, ...], pivots: np.ndarray, size: int) -> DataFrame:
-    """``(by, id, f, pivot, r, block)`` of points ``(by, id, f)``, written."""
+    """``(by, id, f, pivot, r, block)`` of points ``(by, id, f)``, written.
+
+    A group of n points takes the first n / ``size`` pivots, as many blocks of a few points would cost more than they rule out.
+    """
     types = dict(points.dtypes)
     head = "".join(f"`{c}` {types[c]}, " for c in by)
 
@@ -60,7 +64,8 @@ def blocks(points: DataFrame, by: tuple[str, ...], pivots: np.ndarray, size: int
         for part in it:
             if len(part):
                 d = _distances(np.stack(part["f"].to_numpy()), pivots)
-                yield part.assign(pivot=d.argmin(axis=1).astype("int32"), r=d.min(axis=1))
+                d[np.arange(len(pivots)) >= part["several"].to_numpy()[:, None]] = np.inf
+                yield part.drop(columns="several").assign(pivot=d.argmin(axis=1).astype("int32"), r=d.min(axis=1))
 
     def numbered(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -77,7 +82,10 @@ def blocks(points: DataFrame, by: tuple[str, ...], pivots: np.ndarray, size: int
             yield part.assign(block=out)
 
     order = [*by, "pivot", "r", "id"]
-    near = cut(points.mapInPandas(nearest, f"{head}id {types['id']}, f array<double>, pivot int, r double"))
+    several = points.groupBy(*[F.col(c).alias(f"_{c}") for c in by]).agg(F.ceil(F.count("*") / size).alias("several"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    counted = points.join(several, same) if by else points.crossJoin(F.broadcast(several))  # without groups it is one row
+    near = cut(counted.select(*by, "id", "f", "several").mapInPandas(nearest, f"{head}id {types['id']}, f array<double>, pivot int, r double"))
     ranged = near.repartitionByRange(*order).sortWithinPartitions(*order)
     return cut(ranged.mapInPandas(numbered, f"{head}id {types['id']}, f array<double>, pivot int, r double, block long"))
 
@@ -217,7 +225,7 @@ def knn(df: DataFrame, id_col: str, col: str, k: int, by: tuple[str, ...] = (),
     if not chosen:
         return points.select(*by, F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("dist"),
                              F.lit(0).cast("long").alias("rank")).limit(0)
-    centre = np.unique(np.array(chosen, float), axis=0)
+    centre = np.random.default_rng(7).permutation(np.unique(np.array(chosen, float), axis=0))
     filed = blocks(points, by, centre, block)
     keys = [*by, "block"]
 
@@ -231,7 +239,7 @@ def knn(df: DataFrame, id_col: str, col: str, k: int, by: tuple[str, ...] = (),
             bound = np.partition(d, k - 1, axis=1)[:, k - 1] * (1 + SLACK) + SLACK
         return part.assign(bound=bound)
 
-    bounded = cut(filed.groupBy(*keys).applyInPandas(
+    bounded = cut(deal(filed, *keys).groupBy(*keys).applyInPandas(
         own, f"{head}id {types['id']}, f array<double>, pivot int, r double, block long, bound double"))
 
     def ranges(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
